@@ -1,0 +1,42 @@
+"""All jobs in order: land, clean, aggregate, train."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import SparkSession
+
+from tripmart.config import CleaningRules, KpiSink, default_sources
+from tripmart.plans.gold import run_gold
+from tripmart.plans.runs import RunMetrics, record
+from tripmart.plans.silver import run_silver
+from tripmart.plans.training import run_training
+from tripmart.operators.learning import Training
+from tripmart.sources.landing import land
+
+
+@dataclass
+class PipelineResult:
+    landed: dict[str, int]
+    silver: RunMetrics
+    kpis: dict[str, int]
+    training: Training
+
+
+def run_pipeline(
+    spark: SparkSession,
+    raw: str,
+    lake: str,
+    rules: CleaningRules = CleaningRules(),
+    sink: KpiSink | None = None,
+) -> PipelineResult:
+    """Run every stage; stages hand over through tables below ``lake`` only."""
+    lake = lake.rstrip("/")
+    landed = land(spark, default_sources(raw), f"{lake}/bronze")
+    metrics = run_silver(spark, f"{lake}/bronze/taxi", f"{lake}/silver/taxi", rules)
+    record(spark, metrics, f"{lake}/run_metrics")
+    kpis = run_gold(
+        spark, f"{lake}/silver/taxi", sink or KpiSink(path=f"{lake}/gold")
+    )
+    training = run_training(spark, f"{lake}/silver/taxi", f"{lake}/models/taxi_price")
+    return PipelineResult(landed, metrics, kpis, training)
