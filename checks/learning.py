@@ -27,7 +27,7 @@ _BUCKET = f"CAST('0x' || substr(md5({_KEYS}), 1, 8) AS BIGINT) % 100"
 
 
 def _rows(spark, sf_dir):
-    return learning.training_rows(inputs.silver_trips(spark, sf_dir))
+    return learning.training_rows(inputs.stored_silver(spark, sf_dir))
 
 
 @check("ml_training_rows", f"WITH {_TRAINING} SELECT * FROM training")
@@ -74,7 +74,7 @@ index_{c} AS (
     ),
 )
 def ml_label_indexes(spark, sf_dir):
-    rows = learning.training_rows(inputs.stored_silver(spark, sf_dir))
+    rows = _rows(spark, sf_dir)
     indexed = learning.label_indexer().fit(rows).transform(rows)
     entries = F.array(
         *[
@@ -105,7 +105,7 @@ def ml_label_indexes(spark, sf_dir):
     + " GROUP BY payment_type",
 )
 def ml_feature_vectors(spark, sf_dir):
-    rows = learning.training_rows(inputs.stored_silver(spark, sf_dir))
+    rows = _rows(spark, sf_dir)
     vectors = learning.fit_features(rows).transform(rows)
     values = vectors.select("payment_type", vector_to_array("features").alias("v"))
     sums = [F.sum(F.col("v")[i]).alias(f"f{i}") for i in range(len(FEATURES))]
@@ -120,15 +120,12 @@ def ml_feature_vectors(spark, sf_dir):
 )
 def ml_linear_one_feature(spark, sf_dir):
     """The linear estimator on a single feature, where a closed form exists."""
-    rows = learning.training_rows(inputs.stored_silver(spark, sf_dir))
+    rows = _rows(spark, sf_dir)
     assembled = VectorAssembler(inputCols=["fare_amount"], outputCol="features").transform(rows)
     model = learning.estimators()[learning.LINEAR].fit(assembled)
-    line = assembled.agg(
-        F.lit(float(model.coefficients[0])).alias("slope"),
-        F.lit(float(model.intercept)).alias("intercept"),
-        F.count("*").alias("n"),
-    )
-    return line.select(F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"))
+    line = [(float(model.coefficients[0]), float(model.intercept))]
+    fitted = spark.createDataFrame(line, "slope double, intercept double")
+    return fitted.select(*[F.round(c, 6).alias(c) for c in fitted.columns])
 
 
 # fixed predictors whose errors SQL can compute as well
@@ -172,9 +169,7 @@ def ml_best_model(spark, sf_dir):
 
 
 def _linear_predictions(spark, sf_dir):
-    train, test = learning.content_split(
-        learning.training_rows(inputs.stored_silver(spark, sf_dir))
-    )
+    train, test = learning.content_split(_rows(spark, sf_dir))
     features = learning.fit_features(train)
     model = learning.estimators()[learning.LINEAR].fit(features.transform(train))
     return model.transform(features.transform(test))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,12 @@ from pyspark.sql import types as T
 from tripmart.functions.labels import WEEKDAY_LABELS, weekday_label, weekday_position
 from tripmart.functions.numeric import present
 from tripmart.operators.kpis import top_by_count
-from tripmart.operators.quantiles import ColumnRange, column_ranges, exact_quantiles
+from tripmart.operators.quantiles import (
+    ColumnRange,
+    column_ranges,
+    column_statistics,
+    exact_quantiles,
+)
 
 # fixed values: columns that are described and correlated
 NUMERIC_COLUMNS = (
@@ -57,28 +62,27 @@ def describe(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFra
 
     One scan for the moments and a few more for the quartiles (see ``quantiles``).
     """
-    moments = []
-    for name in columns:
-        value = present(F.col(name))
-        moments += [
-            *ColumnRange.aggregates(name),
-            F.avg(value).alias(f"{name}|mean"),
-            F.stddev_samp(value).alias(f"{name}|std"),
-            F.min(value).alias(f"{name}|min"),
-            F.max(value).alias(f"{name}|max"),
-        ]
-    row = df.agg(*moments).first()
-    ranges = {name: ColumnRange.of(row, name) for name in columns}
+    value = F.col("value")
+    ranges, rows = column_statistics(
+        df,
+        columns,
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
     quartiles = exact_quantiles(df, columns, QUARTILES, ranges)
+
+    def statistic(name: str, which: str) -> float | None:
+        return rows[name][which] if name in rows else None
+
     summary = [
         (
             name,
             ranges[name].count,
-            row[f"{name}|mean"],
-            row[f"{name}|std"],
-            row[f"{name}|min"],
+            *[statistic(name, which) for which in ("mean", "std", "min")],
             *quartiles[name],
-            row[f"{name}|max"],
+            statistic(name, "max"),
         )
         for name in columns
     ]
@@ -298,24 +302,29 @@ def correlation_matrix(
     A pair uses the rows where both columns have a value. A constant column gives null; the
     built-in ``corr`` would fail on it under ANSI mode.
     """
-    aggregates, entries = [], []
+    n = len(columns)
+    cells = []
+    for i, j in combinations_with_replacement(range(n), 2):
+        x, y = present(F.col(columns[i])), present(F.col(columns[j]))
+        cells += [F.lit(i * n + j), F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)]
+    nb_pairs = F.lit(n * (n + 1) // 2)
+    spread = F.sqrt(F.var_pop("first")) * F.sqrt(F.var_pop("second"))
+    moments = (
+        df.select(F.stack(nb_pairs, *cells).alias("pair", "first", "second"))
+        .groupBy("pair")
+        .agg(F.covar_pop("first", "second").alias("shared"), spread.alias("spread"))
+    )
+    i, j = F.expr(f"id div {n}"), F.expr(f"id % {n}")
+    r = F.when(i == j, F.when(F.col("spread") > 0, F.lit(1.0))).otherwise(
+        F.try_divide("shared", "spread")
+    )
 
-    def entry(x: str, y: str, r: Column) -> Column:
-        return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r"))
+    def name(place: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, columns)), (place + 1).cast("int"))
 
-    for name in columns:
-        spread = f"{name}|{name}"
-        aggregates.append(F.var_pop(present(F.col(name))).alias(spread))
-        entries.append(entry(name, name, F.when(F.col(f"`{spread}`") > 0, F.lit(1.0))))
-    for x, y in combinations(columns, 2):
-        both = present(F.col(x)).isNotNull() & present(F.col(y)).isNotNull()
-        first, second = F.when(both, present(F.col(x))), F.when(both, present(F.col(y)))
-        shared, spread = f"{x}|{y}", f"{x}|{y}|spread"
-        aggregates += [
-            F.covar_pop(first, second).alias(shared),
-            (F.sqrt(F.var_pop(first)) * F.sqrt(F.var_pop(second))).alias(spread),
-        ]
-        r = F.try_divide(F.col(f"`{shared}`"), F.col(f"`{spread}`"))
-        entries += [entry(x, y, r), entry(y, x, r)]
-    moments = df.agg(*aggregates)
-    return moments.select(F.inline(F.array(*entries)))
+    return (
+        df.sparkSession.range(n * n)
+        .withColumn("pair", F.least(i, j) * n + F.greatest(i, j))
+        .join(moments, "pair", "left")
+        .select(name(i).alias("x"), name(j).alias("y"), r.alias("r"))
+    )

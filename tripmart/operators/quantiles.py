@@ -14,9 +14,9 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tripmart.functions.numeric import present
@@ -28,27 +28,49 @@ BINS = 1024
 class ColumnRange:
     """What one scan tells about a column. Infinities are counted apart from finite values."""
 
-    count: int
-    below: int  # number of -inf
-    finite: int
-    low: float | None
-    high: float | None
-
-    @staticmethod
-    def aggregates(name: str) -> list[Column]:
-        value = present(F.col(name))
-        finite = F.when(F.abs(value) < math.inf, value)
-        return [
-            F.count(value).alias(f"{name}|count"),
-            F.count_if(value == -math.inf).alias(f"{name}|below"),
-            F.count(finite).alias(f"{name}|finite"),
-            F.min(finite).alias(f"{name}|low"),
-            F.max(finite).alias(f"{name}|high"),
-        ]
-
-    @classmethod
-    def of(cls, row, name: str) -> ColumnRange:
-        return cls(*[row[f"{name}|{p}"] for p in ("count", "below", "finite", "low", "high")])
+    count: int = 0
+    below: int = 0  # number of -inf
+    finite: int = 0
+    low: float | None = None
+    high: float | None = None
+
+
+def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The values of some columns as rows ``(slot, value)``, without nulls and NaN.
+
+    Aggregates over this form have one short piece of generated code instead of one per column.
+    """
+    cells = [c for i, name in enumerate(columns) for c in (F.lit(i), present(F.col(name)))]
+    listed = df.select(F.stack(F.lit(len(columns)), *cells).alias("slot", "value"))
+    return listed.where(F.col("value").isNotNull())
+
+
+def column_statistics(
+    df: DataFrame, columns: Sequence[str], *more: Column
+) -> tuple[dict[str, ColumnRange], dict[str, Row]]:
+    """Range of each column, and ``more`` aggregates over its ``value``, in one scan."""
+    value = F.col("value")
+    finite = F.when(F.abs(value) < math.inf, value)
+    counted = (
+        long_form(df, columns)
+        .groupBy("slot")
+        .agg(
+            F.count("*").alias("count"),
+            F.count_if(value == -math.inf).alias("below"),
+            F.count(finite).alias("finite"),
+            F.min(finite).alias("low"),
+            F.max(finite).alias("high"),
+            *more,
+        )
+    )
+    rows = {columns[row["slot"]]: row for row in counted.collect()}
+    ranges = {
+        name: ColumnRange(*[rows[name][f.name] for f in fields(ColumnRange)])
+        if name in rows
+        else ColumnRange()
+        for name in columns
+    }
+    return ranges, rows
 
 
 @dataclass(frozen=True)
@@ -60,32 +82,25 @@ class _Interval:
 
 
 def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnRange]:
-    row = df.agg(*[a for name in columns for a in ColumnRange.aggregates(name)]).first()
-    return {name: ColumnRange.of(row, name) for name in columns}
+    return column_statistics(df, columns)[0]
 
 
-def _bin_of(value: Column, interval: _Interval) -> Column:
-    # halved where the width itself would overflow
-    scale = 1.0 if math.isfinite(interval.high - interval.low) else 0.5
-    low = interval.low * scale
-    width = interval.high * scale - low
-    place = F.floor((value * scale - low) / width * BINS)
-    return F.least(place, F.lit(BINS - 1)).cast("int")
-
-
-def _count_bins(df: DataFrame, intervals: Sequence[_Interval]) -> dict[int, list]:
-    entries = []
+def _count_bins(df: DataFrame, intervals: Sequence[_Interval]) -> dict[int, list[Row]]:
+    """Size and extremes of the non-empty bins of each interval, in ascending order."""
+    cells = []
     for number, interval in enumerate(intervals):
-        value = present(F.col(interval.column))
-        inside = value.between(interval.low, interval.high)
-        entry = F.struct(
-            F.lit(number).alias("interval"), _bin_of(value, interval).alias("bin"),
-            value.alias("value"),
-        )
-        entries.append(F.when(inside, entry))
+        # halved where the width itself would overflow
+        scale = 1.0 if math.isfinite(interval.high - interval.low) else 0.5
+        width = interval.high * scale - interval.low * scale
+        parameters = (interval.low, interval.high, width, scale)
+        cells += [F.lit(number), present(F.col(interval.column)), *map(F.lit, parameters)]
+    names = ("interval", "value", "from", "to", "width", "scale")
+    listed = df.select(F.stack(F.lit(len(intervals)), *cells).alias(*names))
+    value, start, scale = F.col("value"), F.col("from"), F.col("scale")
+    place = F.floor((value * scale - start * scale) / F.col("width") * BINS)
     counted = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("interval", "bin")
+        listed.where(value.between(start, F.col("to")))
+        .groupBy("interval", F.least(place, F.lit(BINS - 1)).cast("int").alias("bin"))
         .agg(
             F.count("*").alias("size"), F.min("value").alias("low"), F.max("value").alias("high")
         )
