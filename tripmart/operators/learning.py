@@ -31,6 +31,8 @@ SPLIT_KEYS = (
     "payment_type",
 )
 DEFAULT_BINS = 32
+# split statistics a task may hold; more of it means fewer passes over the rows per tree level
+FOREST_MEMORY_MB = 512
 # an index holds all its labels on the driver and in every task
 MAX_LABELS = 100_000
 
@@ -135,6 +137,7 @@ def estimators(bins: int = DEFAULT_BINS) -> dict[str, object]:
             maxDepth=DEPTH,
             seed=SEED,
             maxBins=bins,
+            maxMemoryInMB=FOREST_MEMORY_MB,
         ),
     }
 
