@@ -252,7 +252,7 @@ def box_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.lit(q3).cast("double").alias("q3"),
                 F.min(F.when(inside, value)).alias("whisker_low"),
                 F.max(F.when(inside, value)).alias("whisker_high"),
-                F.count_if(~inside).alias("nb_outliers"),
+                (F.count(value) - F.count(F.when(inside, value))).alias("nb_outliers"),
             )
         )
     return df.agg(F.array(*per_column).alias("boxes")).select(F.inline("boxes"))
