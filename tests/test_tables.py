@@ -1,16 +1,24 @@
 from __future__ import annotations
 
+import math
+from datetime import date
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from plans import plan_of
-from tripmart.config import CleaningRules, KpiSink, scratch_path
-from tripmart.operators.cleaning import clean
+from tripmart.config import CleaningRules, KpiSink, scratch_path, session_settings
+from tripmart.operators.cleaning import clean, picked_up_between
 from tripmart.operators.kpis import CATALOGUE, kpi_table
 from tripmart.plans.gold import run_gold, write_gold
 from tripmart.plans.runs import measured, record
-from tripmart.plans.silver import run_silver
+from tripmart.plans.silver import (
+    BYTES_PER_TASK,
+    run_silver,
+    run_silver_by_month,
+    shuffle_partitions_for,
+)
 from tripmart.sinks.tables import read_kpi, write_kpi, write_silver
 from tripmart.sources.trips import read_bronze, read_silver
 
@@ -65,6 +73,56 @@ def test_silver_job_counts(spark, trips, tmp_path):
     assert {(r["job"], r["rows_rejected"]) for r in runs.collect()} == {("silver", 2), ("other", 2)}
 
 
+def test_months_on_their_own_give_the_same_table(spark, trips, tmp_path):
+    december = {"pickup_datetime": "2023-12-31 23:50:00", "dropoff_datetime": "2024-01-01 00:10:00"}
+    new_year = {"pickup_datetime": "2024-01-01 00:00:00", "dropoff_datetime": "2024-01-01 00:10:00"}
+    raw = trips({}, {}, APRIL, december, december, new_year, {"pickup_datetime": None})
+    raw.write.parquet(str(tmp_path / "b"))
+    run_silver(spark, str(tmp_path / "b"), str(tmp_path / "whole"))
+    months = [(2023, 12), (2024, 1), (2024, 3), (2024, 4)]
+    done = run_silver_by_month(spark, str(tmp_path / "b"), str(tmp_path / "parts"), months)
+    assert {m: (r.rows_in, r.rows_out) for m, r in done.items()} == {
+        (2023, 12): (2, 1), (2024, 1): (1, 1), (2024, 3): (2, 1), (2024, 4): (1, 1)
+    }
+    whole = read_silver(spark, str(tmp_path / "whole"))
+    assert same_rows(whole, read_silver(spark, str(tmp_path / "parts")))
+    # text times are understood as well, and a stray text is no trip of any month
+    text = raw.withColumn("pickup_datetime", F.col("pickup_datetime").cast("string"))
+    assert picked_up_between(text, date(2023, 12, 1), date(2024, 1, 1)).count() == 2
+
+
+def test_range_of_days_reaches_the_scan(spark, trips, tmp_path):
+    trips({}).write.parquet(str(tmp_path / "b"))
+    days = picked_up_between(
+        read_bronze(spark, str(tmp_path / "b")), date(2024, 3, 1), date(2024, 4, 1)
+    )
+    assert "GreaterThanOrEqual(pickup_datetime,2024-03-01T00:00" in plan_of(days)
+
+
+def test_empty_tables_can_be_written(spark, trips, tmp_path):
+    nothing = clean(trips({"fare_amount": -1.0}))
+    assert write_silver(nothing, str(tmp_path / "s")) == 0
+    sink = KpiSink(path=str(tmp_path / "g"))
+    counts = write_gold(nothing, sink)
+    assert counts.pop("kpi_global_summary") == 1 and set(counts.values()) == {0}
+
+
+def test_settings_last_for_the_block_only(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with session_settings(spark, spark__sql__shuffle__partitions=77):
+        assert spark.conf.get(name) == "77"
+    assert spark.conf.get(name) == before
+    assert shuffle_partitions_for(spark, 0) == int(before)
+    assert shuffle_partitions_for(spark, 10**13) == math.ceil(10**13 / BYTES_PER_TASK)
+
+
+def test_declared_schema_saves_the_look_at_footers(spark, trips, tmp_path):
+    trips({}).write.parquet(str(tmp_path / "b"))
+    declared = trips({}).schema
+    assert read_bronze(spark, str(tmp_path / "b"), schema=declared).count() == 1
+
+
 def test_drifting_files_are_conformed(spark, trips, tmp_path):
     folder = str(tmp_path / "b")
     trips({}).drop("note").write.parquet(folder)

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from tripmart.config import KpiSink, default_sources
 from tripmart.plans.gold import run_gold
 from tripmart.plans.pipeline import run_pipeline
-from tripmart.plans.silver import run_silver
+from tripmart.plans.silver import run_silver, run_silver_by_month
 from tripmart.plans.training import run_training
 from tripmart.sources.landing import land
 
@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("bronze")
     job.add_argument("silver")
     job.add_argument("--only-months", action="store_true", help="replace only months that occur")
+    job.add_argument("--month", action="append", help="clean just this month, as 2024-03")
     job = jobs.add_parser("gold", help="compute all KPI tables")
     job.add_argument("silver")
     job.add_argument("out", nargs="?")
@@ -46,6 +47,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tripmart-{args.job}").getOrCreate()
     if args.job == "land":
         print(land(spark, default_sources(args.raw), args.bronze))
+    elif args.job == "silver" and args.month:
+        months = [tuple(map(int, month.split("-"))) for month in args.month]
+        print(run_silver_by_month(spark, args.bronze, args.silver, months))
     elif args.job == "silver":
         print(run_silver(spark, args.bronze, args.silver, replace_all=not args.only_months))
     elif args.job == "gold":

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, SparkSession
@@ -33,6 +34,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tripmart-{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def session_settings(spark: SparkSession, **settings: object) -> Iterator[None]:
+    """Settings for the actions inside the block; ``__`` in a name stands for a dot."""
+    names = {name.replace("__", "."): str(value) for name, value in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @dataclass(frozen=True)
 class CleaningRules:
     """Plausibility bounds of a trip. Closed ranges, except that a duration is above zero.

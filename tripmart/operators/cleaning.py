@@ -7,6 +7,7 @@ filters below the deduplication by itself, so the declared order costs nothing.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import and_, or_
 
@@ -84,6 +85,20 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year(pickup), "month": F.month(pickup)})
 
 
+def picked_up_between(df: DataFrame, start: date, end: date) -> DataFrame:
+    """Raw trips of a range of days, ``end`` excluded.
+
+    Equal rows have equal pickup times, so a range can be cleaned on its own with the same
+    result. The bounds have the type of the column, hence row groups of other days are skipped.
+    """
+    raw = rename_present(df)
+    pickup, kind = F.col("pickup_datetime"), raw.schema["pickup_datetime"].dataType
+    if isinstance(kind, T.StringType):
+        pickup, kind = pickup.try_cast("timestamp"), T.TimestampType()
+    first, last = (F.lit(day.isoformat()).cast(kind) for day in (start, end))
+    return raw.where((pickup >= first) & (pickup < last))
+
+
 def clean(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """The whole cleaning pipeline."""
     use_utc(df.sparkSession)

@@ -2,14 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import math
+from collections.abc import Iterable
+from datetime import date
 
-from tripmart.config import CleaningRules
-from tripmart.operators.cleaning import clean
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmart.config import CleaningRules, session_settings
+from tripmart.operators.cleaning import clean, picked_up_between
 from tripmart.plans.runs import RunMetrics, measured
 from tripmart.sinks.tables import write_silver
+from tripmart.sources.documents import file_inventory
 from tripmart.sources.trips import read_bronze
 
+# raw bytes, as compressed in the files, that one task of the deduplication takes on
+BYTES_PER_TASK = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(spark: SparkSession, nb_bytes: int) -> int:
+    """Enough partitions for so many raw bytes; never fewer than the session asks for."""
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(asked, math.ceil(nb_bytes / BYTES_PER_TASK))
+
+
+def _clean_and_write(
+    raw: DataFrame, silver: str, rules: CleaningRules, replace_all: bool, nb_bytes: int
+) -> RunMetrics:
+    spark = raw.sparkSession
+
+    def run() -> int:
+        partitions = shuffle_partitions_for(spark, nb_bytes)
+        with session_settings(spark, spark__sql__shuffle__partitions=partitions):
+            return write_silver(clean(raw, rules), silver, replace_all)
+
+    return measured("silver", raw.count(), run)
+
+
+def raw_bytes(spark: SparkSession, bronze: str) -> int:
+    return file_inventory(spark, bronze, "*.parquet").agg(F.sum("nb_bytes")).first()[0] or 0
+
 
 def run_silver(
     spark: SparkSession,
@@ -24,8 +56,30 @@ def run_silver(
     without columns reads nothing else, and the number of output rows from the write.
     """
     raw = read_bronze(spark, bronze)
-    return measured(
-        "silver",
-        raw.count(),
-        lambda: write_silver(clean(raw, rules), silver, replace_all),
-    )
+    return _clean_and_write(raw, silver, rules, replace_all, raw_bytes(spark, bronze))
+
+
+def run_silver_by_month(
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    months: Iterable[tuple[int, int]],
+    rules: CleaningRules = CleaningRules(),
+) -> dict[tuple[int, int], RunMetrics]:
+    """Clean some months, one after the other, and replace just these in the clean table.
+
+    Full rows have to be shuffled to find copies, and a shuffle has as many blocks as map tasks
+    times partitions. Month by month, a table of years becomes many shuffles of moderate size
+    with the same result, and late files cost the months they belong to. Pickup times are
+    clustered in raw files, so a run skips the row groups of other months.
+    """
+    raw, nb_bytes = read_bronze(spark, bronze), raw_bytes(spark, bronze)
+    months = list(months)
+    done = {}
+    for year, month in months:
+        end = date(year + month // 12, month % 12 + 1, 1)
+        trips = picked_up_between(raw, date(year, month, 1), end)
+        done[year, month] = _clean_and_write(
+            trips, silver, rules, replace_all=False, nb_bytes=nb_bytes // len(months)
+        )
+    return done

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.config import KpiSink
+from tripmart.config import KpiSink, session_settings
 from tripmart.operators.kpis import Kpi
 from tripmart.schema import SILVER_PARTITIONS
 
+# shuffled bytes per file of the clean table; Spark's default of 64 MB makes files too small
+FILE_SHUFFLE_BYTES = "256m"
+
 
 def _counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     """Count rows while they are written.
@@ -30,12 +33,14 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> int:
     """
     gathered = trips.hint("rebalance", *SILVER_PARTITIONS)
     counted, seen = _counted(gathered, "silver")
-    (
+    writer = (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(*SILVER_PARTITIONS)
-        .parquet(path)
     )
+    advised = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": FILE_SHUFFLE_BYTES}
+    with session_settings(trips.sparkSession, **advised):
+        writer.parquet(path)
     return seen.get["rows"]
 
 

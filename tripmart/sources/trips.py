@@ -56,15 +56,21 @@ def _common_type(name: str, kinds: set[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def read_bronze(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+def read_bronze(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.parquet",
+    schema: T.StructType | None = None,
+) -> DataFrame:
     """Raw trips of a folder, under their plain column names.
 
     Monthly files differ in columns and, over the years, in types. Files with agreeing types
     are read as one scan; a column whose type differs between scans is cast to its declared
-    type. Without such a difference, rows stay exactly as they are in the files.
+    type. Without such a difference, rows stay exactly as they are in the files. With a
+    ``schema`` that fits all files, their footers need not be compared.
     """
     use_utc(spark)
-    merged = _merged_schema(spark.read.option("pathGlobFilter", pattern), path)
+    merged = schema or _merged_schema(spark.read.option("pathGlobFilter", pattern), path)
     if merged is not None:
         whole = spark.read.option("pathGlobFilter", pattern).schema(merged).parquet(path)
         return rename_present(whole)
