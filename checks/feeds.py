@@ -17,7 +17,13 @@ from tripmart.functions.text import (
     url_slug,
 )
 from tripmart.operators import weather
-from tripmart.sources.documents import file_inventory, item_counts, read_news, read_weather
+from tripmart.sources.documents import (
+    file_inventory,
+    item_counts,
+    landed_weather,
+    read_news,
+    read_weather,
+)
 from tripmart.sources.landing import land
 
 
@@ -183,6 +189,15 @@ def news_item_counts(spark, sf_dir):
     return counted.agg(F.sum("nb_items").alias("nb_items"))
 
 
+@check("landed_weather_hours", f"WITH {WEATHER} SELECT * FROM weather")
+def landed_weather_hours(spark, sf_dir):
+    """The weather once more, from files that were landed as rows."""
+    source = SourceSpec("weather", _written_weather(spark, sf_dir), "*.json")
+    target = scratch_path(spark, "landed")
+    land(spark, [source], target)
+    return weather.hourly_weather(landed_weather(spark.read.parquet(f"{target}/weather")))
+
+
 @check(
     "landed_documents",
     f"WITH {WEATHER} SELECT count(DISTINCT date_trunc('month', weather_hour)) AS nb_files, "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripmart.operators import learning
 from tripmart.operators.cleaning import clean
-from tripmart.plans.pipeline import run_pipeline
+from tripmart.plans.full_run import run_all
 from tripmart.plans.training import run_training
 from tripmart.sinks.tables import write_silver
 
@@ -110,10 +110,10 @@ def test_linear_price_is_learnt_and_saved(spark, trips, tmp_path):
     )
 
 
-def test_pipeline_from_raw_files_to_model(spark, trips, tmp_path):
+def test_all_jobs_from_raw_files_to_model(spark, trips, tmp_path):
     raw = many(trips, n=120, zones=4).select(*trips({}).columns)
     raw.write.parquet(str(tmp_path / "raw" / "taxi"))
-    result = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "lake"))
+    result = run_all(spark, str(tmp_path / "raw"), str(tmp_path / "lake"))
     assert result.landed["taxi"] > 0 and result.landed["news"] == 0
     assert result.silver.rows_in == result.silver.rows_out == 120
     assert result.kpis["kpi_global_summary"] == 1

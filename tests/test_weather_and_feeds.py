@@ -15,6 +15,8 @@ from tripmart.sources.documents import (
     file_inventory,
     flatten,
     item_counts,
+    landed_news,
+    landed_weather,
     read_kpi_export,
     read_news,
     read_weather,
@@ -86,7 +88,6 @@ FEED = """<?xml version="1.0"?>
 <rss version="2.0"><channel><title>c</title>
 <item><title>A</title><link>http://x</link><pubDate>Mon, 06 Sep 2021 16:45:00 GMT</pubDate>
 <source url="http://s">S</source></item>
-<ITEM ></ITEM>
 <item><title>B</title><link>http://y</link></item><items/></channel></rss>
 """
 
@@ -108,9 +109,10 @@ def test_news_items(spark, news_folder):
 
 
 def test_item_counts_and_inventory(spark, news_folder):
-    row = item_counts(spark, str(news_folder)).first()
-    assert (row["file_name"], row["nb_items"]) == ("rss_q-nyc_20240102T030405Z.xml", 3)
-    listed = file_inventory(spark, str(news_folder)).first()
+    (news_folder / "other.xml").write_text("<ITEM >\n<item>x</item><items>\n<item\n>")
+    counts = {r["file_name"]: r["nb_items"] for r in item_counts(spark, str(news_folder)).collect()}
+    assert counts == {"rss_q-nyc_20240102T030405Z.xml": 2, "other.xml": 2}
+    listed = file_inventory(spark, str(news_folder), "rss*").first()
     assert listed["size_kib"] == len(FEED) / 1024
 
 
@@ -192,6 +194,18 @@ def test_landing(spark, trips, tmp_path, weather_folder):
     assert spark.read.parquet(str(tmp_path / "bronze" / "taxi")).count() == 2
 
 
+def test_landed_documents_read_like_files(spark, tmp_path, weather_folder, news_folder):
+    land(spark, default_sources(str(tmp_path)), str(tmp_path / "bronze"))
+    landed = spark.read.parquet(str(tmp_path / "bronze" / "weather"))
+    files = read_weather(spark, str(weather_folder))
+    key = "fetched_at"
+    assert landed_weather(landed).orderBy(key).collect() == files.orderBy(key).collect()
+    feeds = spark.read.parquet(str(tmp_path / "bronze" / "news"))
+    found = landed_news(feeds).orderBy("title").collect()
+    assert found == read_news(spark, str(news_folder)).orderBy("title").collect()
+    assert [r["title"] for r in found] == ["A", "B"]
+
+
 def test_landing_nothing_is_an_error(spark, tmp_path):
     with pytest.raises(NothingLanded):
         land(spark, default_sources(str(tmp_path / "missing")), str(tmp_path / "bronze"))

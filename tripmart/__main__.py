@@ -7,8 +7,8 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tripmart.config import KpiSink, default_sources
+from tripmart.plans.full_run import run_all
 from tripmart.plans.gold import run_gold
-from tripmart.plans.pipeline import run_pipeline
 from tripmart.plans.silver import run_silver, run_silver_by_month
 from tripmart.plans.training import run_training
 from tripmart.sources.landing import land
@@ -59,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         training.comparison.show(truncate=False)
         print(training.best)
     else:
-        result = run_pipeline(spark, args.raw, args.lake)
+        result = run_all(spark, args.raw, args.lake)
         print(result.landed, result.silver, result.kpis, result.training.best)
 
 

@@ -58,7 +58,7 @@ class CleaningRules:
     ``min_total`` and the two dates are stricter rules that are off by default.
     """
 
-    # fixed values: the bounds the reference results depend on
+    # fixed values: bounds of a plausible trip
     min_fare: float = 0.0
     max_fare: float = 500.0
     min_distance: float = 0.1

@@ -16,20 +16,20 @@ from tripmart.sources.landing import land
 
 
 @dataclass
-class PipelineResult:
+class FullRun:
     landed: dict[str, int]
     silver: RunMetrics
     kpis: dict[str, int]
     training: Training
 
 
-def run_pipeline(
+def run_all(
     spark: SparkSession,
     raw: str,
     lake: str,
     rules: CleaningRules = CleaningRules(),
     sink: KpiSink | None = None,
-) -> PipelineResult:
+) -> FullRun:
     """Run every stage; stages hand over through tables below ``lake`` only."""
     lake = lake.rstrip("/")
     landed = land(spark, default_sources(raw), f"{lake}/bronze")
@@ -39,4 +39,4 @@ def run_pipeline(
         spark, f"{lake}/silver/taxi", sink or KpiSink(path=f"{lake}/gold")
     )
     training = run_training(spark, f"{lake}/silver/taxi", f"{lake}/models/taxi_price")
-    return PipelineResult(landed, metrics, kpis, training)
+    return FullRun(landed, metrics, kpis, training)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +12,21 @@ from tripmart.functions.text import kibibytes, tag_openings
 from tripmart.schema import NEWS_ITEM, WEATHER
 
 
-def _fetched_at():
-    return file_stamp(F.col("_metadata.file_name")).alias("fetched_at")
+_FEED = T.StructType(
+    [
+        T.StructField(
+            "channel", T.StructType([T.StructField("item", T.ArrayType(NEWS_ITEM))])
+        )
+    ]
+)
+
+
+def _fetched_at(file_name: str = "_metadata.file_name") -> Column:
+    return file_stamp(F.col(file_name)).alias("fetched_at")
+
+
+def _landed_text() -> Column:
+    return F.decode("content", "UTF-8")
 
 
 def read_weather(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
@@ -36,16 +49,35 @@ def read_news(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFra
         .schema(NEWS_ITEM)
         .load(path)
     )
+    return _news_columns(items.select("*", _fetched_at()))
+
+
+def _news_columns(items: DataFrame) -> DataFrame:
     return items.select(
         "title",
         "link",
         feed_timestamp(F.col("pubDate")).alias("published_at"),
         F.col("source._VALUE").alias("source"),
         F.col("source._url").alias("source_url"),
-        _fetched_at(),
+        "fetched_at",
     )
 
 
+def landed_weather(landed: DataFrame) -> DataFrame:
+    """``read_weather`` over weather files that were landed as rows."""
+    use_utc(landed.sparkSession)
+    document = F.from_json(_landed_text(), WEATHER).alias("document")
+    return landed.select(document, _fetched_at("path")).select("document.*", "fetched_at")
+
+
+def landed_news(landed: DataFrame) -> DataFrame:
+    """``read_news`` over feed files that were landed as rows."""
+    use_utc(landed.sparkSession)
+    feed = F.from_xml(_landed_text(), _FEED).alias("feed")
+    feeds = landed.select(feed, _fetched_at("path"))
+    return _news_columns(feeds.select("fetched_at", F.inline("feed.channel.item")))
+
+
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Name, size and age of raw files; their content is not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
