@@ -154,7 +154,8 @@ def trips_with_weather(spark, sf_dir):
     "weather_price_correlations",
     f"WITH {_ENRICHED} "
     + " UNION ALL ".join(
-        f"SELECT 'total_amount' AS x, '{y}' AS y, round(corr(total_amount, {y}), 6) AS r "
+        f"SELECT 'total_amount' AS x, '{y}' AS y, "
+        f"round(nullif(corr(total_amount, {y}), 'nan'::DOUBLE), 6) AS r "
         "FROM enriched"
         for y in ("precipitation", "temperature_2m")
     ),

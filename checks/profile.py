@@ -169,7 +169,8 @@ def profile_top_pickup_zones(spark, sf_dir):
 
 def _pairs_sql(columns, source="silver") -> str:
     cells = [
-        f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), {DIGITS}) AS r FROM {source}"
+        f"SELECT '{x}' AS x, '{y}' AS y, "
+        f"round(nullif(corr({x}, {y}), 'nan'::DOUBLE), {DIGITS}) AS r FROM {source}"
         for a, b in combinations(columns, 2)
         for x, y in ((a, b), (b, a))
     ]

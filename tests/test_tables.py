@@ -15,6 +15,7 @@ from tripmart.plans.gold import run_gold, write_gold
 from tripmart.plans.runs import measured, record
 from tripmart.plans.silver import (
     BYTES_PER_TASK,
+    MAX_PARTITIONS,
     run_silver,
     run_silver_by_month,
     shuffle_partitions_for,
@@ -39,6 +40,17 @@ def test_silver_round_trip(spark, trips, tmp_path):
     assert len(list((tmp_path / "s").glob("year=*/month=*/*.parquet"))) == 2
 
 
+@pytest.mark.parametrize(("stored", "expected"), [("int", "bigint"), ("double", "double")])
+def test_codes_are_widened_but_not_changed(spark, trips, tmp_path, stored, expected):
+    raw = trips({"PULocationID": None}, {}).withColumn(
+        "PULocationID", F.col("PULocationID").cast(stored)
+    )
+    write_silver(clean(raw), str(tmp_path / "s"))
+    rows = read_silver(spark, str(tmp_path / "s"))
+    assert dict(rows.dtypes)["PULocationID"] == expected
+    assert {r["PULocationID"] for r in rows.collect()} == {None, 10}
+
+
 def test_month_filter_prunes_partitions(spark, trips, tmp_path):
     write_silver(clean(trips({}, APRIL)), str(tmp_path / "s"))
     march = read_silver(spark, str(tmp_path / "s"), months=[(2024, 3)])
@@ -114,7 +126,8 @@ def test_settings_last_for_the_block_only(spark):
         assert spark.conf.get(name) == "77"
     assert spark.conf.get(name) == before
     assert shuffle_partitions_for(spark, 0) == int(before)
-    assert shuffle_partitions_for(spark, 10**13) == math.ceil(10**13 / BYTES_PER_TASK)
+    assert shuffle_partitions_for(spark, 10**12) == math.ceil(10**12 / BYTES_PER_TASK)
+    assert shuffle_partitions_for(spark, 10**15) == MAX_PARTITIONS
 
 
 def test_declared_schema_saves_the_look_at_footers(spark, trips, tmp_path):

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tripmart.config import CleaningRules, use_utc
 from tripmart.functions.numeric import positive_ratio
 from tripmart.functions.temporal import is_weekend_day, minutes_between
-from tripmart.schema import REQUIRED, TRIP_RENAMES, TRIP_TYPES
+from tripmart.schema import CODE_TYPES, REQUIRED, TRIP_RENAMES, TRIP_TYPES
 
 
 def rename_present(df: DataFrame, names: dict[str, str] = TRIP_RENAMES) -> DataFrame:
@@ -57,6 +57,13 @@ def with_types(df: DataFrame, types: dict[str, T.DataType] = TRIP_TYPES) -> Data
     return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in types.items()})
 
 
+def with_wide_codes(df: DataFrame) -> DataFrame:
+    """Codes stored as smaller integers become bigints, so that all files of a table agree."""
+    narrow = (T.ByteType, T.ShortType, T.IntegerType)
+    codes = [n for n in CODE_TYPES if n in df.columns and isinstance(df.schema[n].dataType, narrow)]
+    return df.withColumns({name: F.col(name).cast(CODE_TYPES[name]) for name in codes})
+
+
 def in_time_order(df: DataFrame) -> DataFrame:
     return df.where(F.col("dropoff_datetime") > F.col("pickup_datetime"))
 
@@ -107,6 +114,7 @@ def clean(df: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
         .transform(without_copies)
         .transform(with_required)
         .transform(with_types)
+        .transform(with_wide_codes)
         .transform(in_time_order)
         .transform(with_trip_measures)
         .transform(within_bounds, rules)

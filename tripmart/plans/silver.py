@@ -18,12 +18,17 @@ from tripmart.sources.trips import read_bronze
 
 # raw bytes, as compressed in the files, that one task of the deduplication takes on
 BYTES_PER_TASK = 128 * 1024 * 1024
+# a shuffle has map tasks times partitions blocks; rather larger partitions that spill than more
+MAX_PARTITIONS = 50_000
 
 
 def shuffle_partitions_for(spark: SparkSession, nb_bytes: int) -> int:
-    """Enough partitions for so many raw bytes; never fewer than the session asks for."""
+    """Enough partitions for so many raw bytes; never fewer than the session asks for.
+
+    From ``MAX_PARTITIONS`` on, cleaning month by month is the better way.
+    """
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(asked, math.ceil(nb_bytes / BYTES_PER_TASK))
+    return max(asked, min(math.ceil(nb_bytes / BYTES_PER_TASK), MAX_PARTITIONS))
 
 
 def _clean_and_write(

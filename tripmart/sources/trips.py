@@ -108,9 +108,9 @@ def read_silver(
     """
     use_utc(spark)
     stored = spark.read.parquet(path)
-    known = [field for field in SILVER if field.name in stored.columns]
-    others = [field for field in stored.schema if field.name not in SILVER.names]
-    silver = spark.read.schema(T.StructType(known + others)).parquet(path)
+    declared = [name for name in SILVER.names if name in stored.columns]
+    others = [name for name in stored.columns if name not in SILVER.names]
+    silver = stored.select(*declared, *others)
     if months is None:
         return silver
     wanted = [(F.col("year") == year) & (F.col("month") == month) for year, month in months]
