@@ -17,8 +17,10 @@ from tripmart.operators.kpis import (
     repeated_keys,
     top_by_count,
 )
+from tripmart.plans.gold import write_gold
 from tripmart.sinks.tables import read_kpi, write_kpi
 from tripmart.sources.documents import read_kpi_export
+from tripmart.sources.trips import union_by_name
 
 _TOP = "ORDER BY nb_trips DESC, {key} NULLS FIRST LIMIT {limit}"
 
@@ -85,6 +87,24 @@ def kpi_repeated_keys(spark, sf_dir):
     return repeated_keys(finer, "kpi_tip_by_payment")
 
 
+@check(
+    "gold_job_counts",
+    f"WITH {SILVER} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS kpi, count(*) AS nb_rows FROM ({sql})" for name, sql in KPI_SQL.items()
+    ),
+)
+def gold_job_counts(spark, sf_dir):
+    """The job that writes all KPI tables, and the size of what it wrote."""
+    sink = KpiSink(path=scratch_path(spark, "gold"))
+    write_gold(inputs.stored_silver(spark, sf_dir), sink)
+    sizes = [
+        read_kpi(spark, kpi, sink).agg(F.count("*").alias("nb_rows")).withColumn("kpi", F.lit(name))
+        for name, kpi in CATALOGUE.items()
+    ]
+    return union_by_name(sizes).select("kpi", "nb_rows")
+
+
 @check("kpi_sink_parquet", f"WITH {SILVER} {KPI_SQL['kpi_daily_revenue']}")
 def kpi_sink_parquet(spark, sf_dir):
     kpi = CATALOGUE["kpi_daily_revenue"]

@@ -17,6 +17,8 @@ from tripmart.functions.temporal import (
     period_label,
 )
 from tripmart.operators import cleaning
+from tripmart.plans.runs import record
+from tripmart.plans.silver import run_silver
 from tripmart.sinks.tables import write_silver
 from tripmart.sources.landing import land
 from tripmart.sources.trips import read_bronze, read_silver, union_by_name
@@ -182,6 +184,19 @@ def silver_row_accounting(spark, sf_dir):
     return cleaning.row_accounting(inputs.bronze_trips(spark, sf_dir))
 
 
+@check(
+    "silver_job_counts",
+    f"""WITH {SILVER}, counts AS (
+      SELECT (SELECT count(*) FROM bronze) AS rows_in, (SELECT count(*) FROM silver) AS rows_out)
+    SELECT 'silver' AS job, rows_in, rows_out, rows_in - rows_out AS rows_rejected FROM counts""",
+)
+def silver_job_counts(spark, sf_dir):
+    """The job from raw files to the clean table, and what it put on record."""
+    silver, runs = scratch_path(spark, "silver"), scratch_path(spark, "runs")
+    record(spark, run_silver(spark, _written_bronze(spark, sf_dir), silver), runs)
+    return spark.read.parquet(runs).select("job", "rows_in", "rows_out", "rows_rejected")
+
+
 # scalar functions, on all orders, events or trips
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -194,6 +195,21 @@ def test_sinks_need_their_settings(trips):
     assert sink.options["connection.uri"] == "mongodb://u:p@h/taxi_gold?authSource=admin"
 
 
+def session_on(master: str):
+    """Stands for a session without a shared folder."""
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_of_this_machine_is_for_local_sessions_only():
+    first, second = scratch_path(session_on("local[2]"), "x"), scratch_path(session_on("local"), "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session_on("spark://host:7077"), "x")
+
+
 def test_scratch_follows_the_session(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tripmart-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, below the folder the cluster shares.
 
@@ -29,8 +35,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tripmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/tripmart-{label}-{uuid.uuid4().hex}"
 
 
