@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import cache
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -20,22 +18,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tripmart-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, below the folder the cluster shares.
 
-    ``spark.checkpoint.dir`` names that folder. Only a local session may fall back to a folder
-    of this machine; on a cluster the executors could not see it.
+    ``spark.checkpoint.dir`` names that folder. Without it the warehouse folder is used, which is
+    always set and shared as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_scratch()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tripmart-{label}-{uuid.uuid4().hex}"
 
 
