@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
-from tripmart.llm import secrets, sharding
-from tripmart.llm.common import table
+from tripmart.llm import packing, secrets, sharding, toxicity
+from tripmart.llm.common import is_held_out, table
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"))
+    # the checksum stands for the ids, so that packing moves lengths and not ids
+    slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(slim)
 
 
 def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +25,15 @@ def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sentence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", is_held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted",
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
