@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
-from tripmart.llm import packing, secrets, sharding, toxicity
+from tripmart.llm import near_vectors, packing, secrets, sharding, toxicity
 from tripmart.llm.common import is_held_out, table
 
 
@@ -38,6 +38,10 @@ def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_lattice_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     name: (lambda spark, sf_dir, query=query: query(use_utc(spark), sf_dir))
     for name, query in list(globals().items())
