@@ -201,6 +201,17 @@ def pack_group(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return number, offset, fill
 
 
+def _packer(capacity: int, level: int):
+    def packed(frame):
+        number, offset, fill = pack_group(frame["length"].to_numpy(), capacity)
+        base = (level << 56) + (int(frame["__group"].iloc[0]) << 24)
+        return frame.drop(columns="__group").assign(
+            sequence_id=base + number, offset=offset, __fill=fill
+        )
+
+    return packed
+
+
 def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; every other column is kept.
 
@@ -222,16 +233,9 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS)
         groups = max(1, -(-waiting.count() // group_rows))
         seed = F.lit(level)
 
-        def packed(frame, level=level):
-            number, offset, fill = pack_group(frame["length"].to_numpy(), capacity)
-            base = (level << 56) + (int(frame["__group"].iloc[0]) << 24)
-            return frame.drop(columns="__group").assign(
-                sequence_id=base + number, offset=offset, __fill=fill
-            )
-
         key = [c for c in ("doc_id", "piece") if c in names] or names
         spread = waiting.withColumn("__group", F.pmod(F.xxhash64(*key, seed), F.lit(groups)))
-        result = stored(spread.groupBy("__group").applyInPandas(packed, schema), "packed")
+        result = stored(spread.groupBy("__group").applyInPandas(_packer(capacity, level), schema), "packed")
         if groups == 1:
             done.append(result)
             break
