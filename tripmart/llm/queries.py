@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
-from tripmart.llm import near_vectors, packing, secrets, sharding, toxicity
+from tripmart.llm import language, near_vectors, packing, secrets, sharding, toxicity
 from tripmart.llm.common import is_held_out, table
 
 
@@ -34,6 +34,12 @@ def op6_sentence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = language.label(docs, language.train(docs))
+    return labelled.select("doc_id", is_held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
