@@ -10,10 +10,10 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import is_held_out, slices
+from tripmart.llm.common import is_held_out, slices, stored
 
 MAX_TRAINING_DOCUMENTS = 12_000
 MIN_DOCUMENTS = 5
@@ -63,53 +63,43 @@ class SentenceModel:
         return score, [(a, b, float(x)) for (a, b), x in zip(where, p)]
 
 
-def fit(bags: list[list[list[str]]], labels: list[int], epochs: int = 60) -> SentenceModel:
-    """Weights that maximise the likelihood of document labels under noisy-or.
+def contrast(n_clean: int, n_toxic: int, clean: Column, toxic: Column) -> Column:
+    """How differently a feature is spread over clean and toxic documents, against its spread."""
+    return F.abs(toxic / n_toxic - clean / n_clean) / F.sqrt(clean + toxic)
 
-    ``bags`` holds the features of each sentence of each document. Features are those in at
-    least ``MIN_DOCUMENTS`` documents, the ``MAX_FEATURES`` that differ most between labels.
-    Without both labels present the model has only a bias.
+
+def fit(
+    names: list[str],
+    docs: np.ndarray,
+    rows: np.ndarray,
+    columns: np.ndarray,
+    y: np.ndarray,
+    epochs: int = 60,
+) -> SentenceModel:
+    """Weights that maximise the likelihood of document labels ``y`` under noisy-or.
+
+    ``docs`` has the document of each sentence; ``rows`` and ``columns`` say which sentence holds
+    which feature. Without both labels present the model has only a bias.
     """
-    y = np.array(labels, dtype=np.float64)
+    y = np.asarray(y, dtype=np.float64)
     if not len(y) or y.min() == y.max():
-        return SentenceModel({}, -40.0 if not len(y) or y.max() == 0 else 40.0)
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for bag, label in zip(bags, labels):
-        seen[int(label)].update({f for s in bag for f in s})
-    n_clean, n_toxic = float((y == 0).sum()), float((y == 1).sum())
-
-    def contrast(f: str) -> float:
-        a, b = seen[1][f] / n_toxic, seen[0][f] / n_clean
-        return abs(a - b) / np.sqrt((seen[1][f] + seen[0][f]) / len(y))
-
-    known = [f for f in set(seen[0]) | set(seen[1]) if seen[0][f] + seen[1][f] >= MIN_DOCUMENTS]
-    known = sorted(known, key=lambda f: (-contrast(f), f))[:MAX_FEATURES]
-    number = {f: i for i, f in enumerate(known)}
-    docs, rows, columns, row = [], [], [], 0
-    for i, bag in enumerate(bags):
-        for sentence in bag:
-            hits = [number[f] for f in sentence if f in number]
-            docs.append(i)
-            rows += [row] * len(hits)
-            columns += hits
-            row += 1
-    docs, rows, columns = (np.array(x, dtype=np.int64) for x in (docs, rows, columns))
-    w = np.zeros(len(known) + 1)
+        return SentenceModel({}, 40.0 if len(y) and y.max() else -40.0)
+    w = np.zeros(len(names) + 1)
     w[-1] = -6.0
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, epochs + 1):
-        z = np.bincount(rows, w[columns], minlength=row) + w[-1]
+        z = np.bincount(rows, w[columns], minlength=len(docs)) + w[-1]
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         clean = np.exp(np.bincount(docs, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y)))
         toxic = np.maximum(1 - clean, 1e-9)
-        # d(log likelihood)/dz of a sentence is p for toxic documents times clean/toxic, else -p
+        # d(log likelihood)/dz of a sentence is p times clean/toxic in toxic documents, else -p
         g = p * np.where(y[docs] == 1, clean[docs] / toxic[docs], -1.0)
-        gradient = np.append(np.bincount(columns, g[rows], minlength=len(known)), g.sum()) / len(y)
+        gradient = np.append(np.bincount(columns, g[rows], minlength=len(names)), g.sum()) / len(y)
         gradient[:-1] -= L2 * w[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         w += 0.3 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-    kept = {f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-3}
+    kept = {f: float(x) for f, x in zip(names, w) if abs(x) > 1e-3}
     return SentenceModel(kept, float(w[-1]))
 
 
@@ -122,9 +112,10 @@ def train(
 ) -> SentenceModel:
     """A model from labelled documents that are not held out, at most about ``max_documents`` of them.
 
-    The sample takes ids in the order of their hash, so it is the same in every run; its bound
-    is what the driver holds. Rows without a label are not used. Of repeated labels the largest
-    counts.
+    The sample takes ids in the order of their hash, so it is the same in every run. Features are
+    those in at least ``MIN_DOCUMENTS`` of its documents, the ``MAX_FEATURES`` that differ most
+    between labels; they are counted on the executors, and the driver gets only their numbers for
+    each sentence. Rows without a label are not used. Of repeated labels the largest counts.
     """
     known = (
         labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("__label"))
@@ -135,28 +126,74 @@ def train(
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(max_documents)
     )
-
-    def words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in slices(frames, 500):
-            lines = [
-                "\n".join(" ".join(sorted(set(features(t[a:b])))) for a, b in sentences(t))
-                for t in frame["text"]
-            ]
-            yield pd.DataFrame({"id": frame["id"], "label": frame["label"], "lines": lines})
-
-    sample = (
+    sample = stored(
         docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
         .where("__text is not null")
         .join(F.broadcast(known), "__id")  # at most max_documents ids and labels
-        .select(F.col("__id").alias("id"), F.col("__label").alias("label"), F.col("__text").alias("text"))
-        .mapInPandas(words, "id long, label int, lines string")
+        .select(
+            F.col("__id").cast("string").alias("id"), F.col("__label").alias("label"), F.col("__text").alias("text")
+        ),
+        "toxicity",
+    )
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        return fit([], np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), np.array(list(sizes)))
+
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames, 1_000):
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, label in zip(frame["text"], frame["label"]):
+                seen[label > 0].update(set(features(text)))
+            names = sorted(seen[0].keys() | seen[1].keys())
+            yield pd.DataFrame(
+                {"f": names, "clean": [seen[0][f] for f in names], "toxic": [seen[1][f] for f in names]}
+            )
+
+    counted = sample.mapInPandas(spread, "f string, clean long, toxic long").groupBy("f").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
+    )
+    n_clean = sizes.get(0, 0)
+    rank = contrast(n_clean, sum(sizes.values()) - n_clean, F.col("clean"), F.col("toxic"))
+    names = [
+        r["f"]
+        for r in counted.where(F.col("clean") + F.col("toxic") >= MIN_DOCUMENTS)
+        .orderBy(rank.desc(), "f")
+        .limit(MAX_FEATURES)
+        .collect()
+    ]
+    number = {f: i for i, f in enumerate(names)}
+
+    def hits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames, 1_000):
+            found = [
+                [
+                    [number[f] for f in sorted(set(features(text[a:b]))) if f in number]
+                    for a, b in sentences(text)
+                ]
+                for text in frame["text"]
+            ]
+            yield pd.DataFrame(
+                {
+                    "id": frame["id"],
+                    "label": frame["label"],
+                    "sizes": [np.array([len(s) for s in bag], dtype=np.int32) for bag in found],
+                    "hits": [np.array([i for s in bag for i in s], dtype=np.int32) for bag in found],
+                }
+            )
+
+    bags = sample.mapInPandas(
+        hits, "id string, label int, sizes array<int>, hits array<int>"
+    ).toPandas()
+    bags = bags.iloc[sorted(range(len(bags)), key=lambda i: (bags["id"][i], len(bags["hits"][i])))]
+    per_document = [len(s) for s in bags["sizes"]]
+    per_sentence = np.concatenate([*bags["sizes"], np.zeros(0, np.int32)]).astype(np.int64)
+    return fit(
+        names,
+        np.repeat(np.arange(len(bags)), per_document),
+        np.repeat(np.arange(len(per_sentence)), per_sentence),
+        np.concatenate([*bags["hits"], np.zeros(0, np.int32)]).astype(np.int64),
+        bags["label"].to_numpy() > 0,
     )
-    bags, y = [], []
-    rows = sorted(sample.toLocalIterator(), key=lambda r: (r["id"], r["lines"]))
-    for row in rows:
-        bags.append([line.split(" ") for line in row["lines"].split("\n")])
-        y.append(row["label"])
-    return fit(bags, y)
 
 
 def score(
