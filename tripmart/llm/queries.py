@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
-from tripmart.llm import language, near_vectors, packing, secrets, sharding, toxicity
+from tripmart.llm import language, near_vectors, ngram_join, packing, secrets, sharding, toxicity
 from tripmart.llm.common import is_held_out, table
 
 
@@ -17,6 +17,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(slim)
 
 
+def op4_signature_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select(
