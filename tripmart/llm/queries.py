@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
-from tripmart.llm import language, near_vectors, ngram_join, packing, secrets, sharding, toxicity
+from tripmart.llm import language, near_vectors, ngram_join, packing, secrets, sharding, surrogates, toxicity
 from tripmart.llm.common import is_held_out, table
 
 
@@ -52,6 +52,17 @@ def op9_lattice_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op10_surrogate_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = surrogates.replace_personal_data(docs, key="example key", found_col="found")
+    return clean.select(
+        "doc_id",
+        "text",
+        F.size("found").alias("n_entities"),
+        F.array_join(F.transform("found", lambda e: e["kind"]), ",").alias("kinds"),
+    )
+
+
 QUERIES = {
     name: (lambda spark, sf_dir, query=query: query(use_utc(spark), sf_dir))
     for name, query in list(globals().items())
