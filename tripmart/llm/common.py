@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import gc
+import os
 from collections.abc import Iterator
+from dataclasses import dataclass
+from pathlib import Path
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import scratch_path
 
-DOCUMENT = ("doc_id", "text")
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +27,75 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     A lost executor costs no recomputation of what lies before, and later plans see real sizes.
     """
-    path = scratch_path(df.sparkSession, label)
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    free_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the session drop shuffle files of finished work now.
+
+    They go when the driver collects the plans that wrote them, which may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table that :func:`stored` wrote and nothing will read again."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Python workers import this package from where the driver has it, unless it is installed.
+
+    A cluster without that folder gets the package by ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+    return spark
+
+
+@dataclass(frozen=True)
+class IdFilter:
+    """A bitmap of fixed size that holds every wanted id and, the fuller it is, more of others.
+
+    It saves work before an exact join and never decides on a row.
+    """
+
+    words: Broadcast
+
+    BITS = 1 << 23
+
+    @staticmethod
+    def place(column: str, direct: bool = False) -> Column:
+        """Where an id is; a column that is a hash already is taken ``direct``."""
+        value = F.col(column) if direct else F.xxhash64(column)
+        return F.pmod(value, F.lit(IdFilter.BITS))
+
+    @classmethod
+    def of(cls, ids: DataFrame, column: str, direct: bool = False) -> IdFilter:
+        rows = (
+            ids.select(cls.place(column, direct).alias("at"))
+            .groupBy(F.expr("at div 64").alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+            .toPandas()
+        )
+        words = np.zeros(cls.BITS // 64, dtype=np.int64)
+        words[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"]
+        return cls(ids.sparkSession.sparkContext.broadcast(words.view(np.uint64)))
+
+    def may_hold(self, places: np.ndarray) -> np.ndarray:
+        words = self.words.value[places // 64]
+        return (words >> (places % 64).astype(np.uint64)) & np.uint64(1) == 1
 
 
 def is_held_out(id_col: str, modulus: int, remainder: int) -> Column:

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import connected_components, slices, stored
+from tripmart.llm.common import IdFilter, connected_components, release, slices, stored
 from tripmart.llm.shingles import mix, shingle_sets
 
 BITS = 2_048
@@ -130,21 +130,28 @@ def _slim(docs: DataFrame, width: int, num: int, den: int, id_type: str) -> Data
                     "n": [len(s) for s in sets],
                     "node": [_node(s) for s in sets],
                     "prefix": [s[: kept_for_prefix(len(s), num, den)].astype(np.int64) for s in sets],
+                    "bits": [np.frombuffer(signature(s), dtype="<i8") for s in sets],
                 }
             )
 
-    return docs.mapInPandas(make, f"doc_id {id_type}, n long, node long, prefix array<long>")
+    schema = f"doc_id {id_type}, n long, node long, prefix array<long>, bits array<long>"
+    return docs.mapInPandas(make, schema)
+
 
+def _whole_sets(docs: DataFrame, wanted: IdFilter, width: int) -> DataFrame:
+    """(node, shingles) of the documents whose id may be wanted; a node may come twice."""
 
-def _full(docs: DataFrame, width: int, schema: str, make_row) -> DataFrame:
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in slices(frames, 500):
-            sets = _sets(frame, width)
-            yield pd.DataFrame(
-                {"node": [_node(s) for s in sets], "value": [make_row(s) for s in sets]}
-            )
+        for frame in frames:
+            some = frame[wanted.may_hold(frame["place"].to_numpy())]
+            for part in slices([some], 500):
+                sets = _sets(part, width)
+                yield pd.DataFrame(
+                    {"node": [_node(s) for s in sets], "shingles": [s.astype(np.int64) for s in sets]}
+                )
 
-    return docs.mapInPandas(make, schema)
+    placed = docs.select("text", IdFilter.place("doc_id").alias("place"))
+    return placed.mapInPandas(make, "node long, shingles array<long>")
 
 
 def _overlap_is_enough(num: int, den: int) -> Column:
@@ -195,28 +202,30 @@ def ngram_components(
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     slim = stored(_slim(texts, width, num, den, id_type), "shingles")
-    classes = (
-        slim.where("n > 0")
-        .groupBy("node", "n")
-        .agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
+    shingles = slim.where("n > 0").select("node", "n", F.explode("prefix").alias("shingle"))
+    shared = (
+        shingles.groupBy("shingle")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low <> high")
+        .select("shingle")
     )
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
-    postings = stored(
-        classes.select("node", "rep", "n", band.alias("band"), F.explode("prefix").alias("shingle")),
-        "postings",
+    # equal sets become one member here, before anything is counted
+    members = stored(
+        shingles.join(shared, "shingle").select("shingle", "node", "n").distinct(), "members"
     )
     # trees: (shingle, band) with the sets of the band, and of the next one as a second role
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
-    roles = F.explode(F.array(F.struct(F.col("band").alias("tree"), F.lit(True).alias("own")),
-                              F.struct((F.col("band") - 1).alias("tree"), F.lit(False).alias("own"))))
-    members = stored(
-        postings.join(shared, "shingle").select("shingle", "node", "n", roles.alias("r")).select(
-            "shingle", "node", "n", "r.tree", "r.own"
-        ),
-        "members",
+    roles = F.explode(
+        F.array(
+            F.struct(band.alias("tree"), F.lit(True).alias("own")),
+            F.struct((band - 1).alias("tree"), F.lit(False).alias("own")),
+        )
+    )
+    in_roles = members.select("shingle", "node", "n", roles.alias("r")).select(
+        "shingle", "node", "n", "r.tree", "r.own"
     )
     trees = (
-        members.groupBy("shingle", "tree")
+        in_roles.groupBy("shingle", "tree")
         .agg(
             F.count("*").alias("k"),
             F.min(F.when(F.col("own"), F.col("node"))).alias("first"),
@@ -229,58 +238,50 @@ def ngram_components(
         .agg(F.min(F.struct("shingle", "tree")).alias("t"))
         .select("t.shingle", "t.tree", "k", "first")
     )
-    forest = stored(members.join(trees, ["shingle", "tree"]), "trees")
-
-    word_list = "node long, value array<long>"
-    needed = forest.select("node").distinct().join(postings.select("node", "rep").distinct(), "node")
-    some_texts = texts.join(needed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    forest = stored(in_roles.join(trees, ["shingle", "tree"]), "trees")
+    release(members)
+    # what the rest needs of each set in some tree, and of every row
+    in_forest = forest.select("node").distinct()
     bits = stored(
-        _full(
-            some_texts, width, word_list,
-            lambda s: np.frombuffer(signature(s), dtype="<i8"),
-        ).dropDuplicates(["node"]),
+        slim.join(in_forest, "node", "left_semi")
+        .groupBy("node")
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.max_by("bits", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("bits"),
+        )
+        .withColumn(
+            "ones", F.aggregate(F.transform("bits", F.bit_count), F.lit(0), lambda s, v: s + v).cast("long")
+        ),
         "signatures",
-    ).withColumn(
-        "ones",
-        F.aggregate(F.transform("value", F.bit_count), F.lit(0), lambda s, v: s + v).cast("long"),
     )
-
-    def with_bits(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(
-                bits.select(
-                    F.col("node").alias(side), F.col("value").alias(f"bits_{side}"),
-                    F.col("ones").alias(f"ones_{side}"),
-                ),
-                side,
-            ).withColumn(f"spare_{side}", F.col(f"n_{side}") - F.col(f"ones_{side}"))
-        return pairs
+    rows_of = stored(slim.select("doc_id", "n", "node"), "nodes")
+    release(slim)
 
     def checked(pairs: DataFrame, label: str) -> DataFrame:
         """The pairs (a, b) that are linked, by their whole sets."""
         pairs = stored(pairs.select("a", "b").distinct(), f"{label}-pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        owners = nodes.join(classes.select("node", "rep"), "node").select(F.col("rep").alias("doc_id"))
-        sets = stored(
-            _full(
-                texts.join(owners.distinct(), "doc_id", "left_semi"), width, word_list,
-                lambda s: s.astype(np.int64),
-            ).join(nodes, "node", "left_semi").dropDuplicates(["node"]),
-            f"{label}-sets",
-        )
+        wanted = IdFilter.of(nodes.join(bits.select("node", "rep"), "node"), "rep")
+        sets = stored(_whole_sets(texts, wanted, width), f"{label}-sets")
         joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-        return stored(joined.where(_overlap_is_enough(num, den)).select("a", "b"), f"{label}-links")
+        linked = stored(joined.where(_overlap_is_enough(num, den)).select("a", "b"), f"{label}-links")
+        release(sets)
+        return linked
 
-    sizes = classes.select("node", "n")
-    first_pairs = (
+    pairs = (
         forest.where("node <> first")
         .select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
         .distinct()
-        .join(sizes.toDF("a", "n_a"), "a")
-        .join(sizes.toDF("b", "n_b"), "b")
-        .where((F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num))
     )
-    links = checked(with_bits(first_pairs).where(_signatures_allow(num, den)), "first")
+    sizes = rows_of.select("node", "n").distinct()
+    for side in ("a", "b"):
+        about = bits.join(sizes, "node").select(
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"),
+            (F.col("n") - F.col("ones")).alias(f"spare_{side}"),
+        )
+        pairs = pairs.join(about, side)
+    fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+    links = checked(pairs.where(fits & _signatures_allow(num, den)), "first")
     joined = connected_components(links, "first-components")
 
     placed = stored(
@@ -302,7 +303,7 @@ def ngram_components(
         *rows, F.lit(True).alias("home"), F.col("block").alias("i"), every.alias("j")
     ).where("own").union(
         in_blocks.select(*rows, F.lit(False), every.alias("i"), F.col("block").alias("j"))
-    ).join(bits.select("node", "value"), "node")
+    ).join(bits.select("node", "bits"), "node")
 
     def candidates(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
         home, member = frame[frame["home"]], frame[~frame["home"]]
@@ -313,7 +314,7 @@ def ngram_components(
         mask = frame["home"].to_numpy()
 
         def tree(part: pd.DataFrame, comp: np.ndarray) -> SignatureTree:
-            bitmaps = np.array(part["value"].tolist(), dtype=np.int64).view(np.uint64)
+            bitmaps = np.array(part["bits"].tolist(), dtype=np.int64).view(np.uint64)
             return SignatureTree(bitmaps, part["n"].to_numpy(), comp)
 
         ours, theirs = home["node"].to_numpy(), member["node"].to_numpy()
@@ -345,16 +346,14 @@ def ngram_components(
         "tree",
     )
     components = connected_components(links.union(more), "components").select("node", "component")
-    named = classes.select("node", "rep").join(components, "node", "left").withColumn(
+    classes = rows_of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    named = classes.join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_node = named.join(least, "component").select("node", "component_id")
-    return (
-        slim.join(of_node, "node", "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        )
+    of_node = stored(named.join(least, "component").select("node", "component_id"), "classes")
+    return rows_of.join(of_node, "node", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
