@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripmart.config import use_utc
-from tripmart.llm import language, near_vectors, ngram_join, packing, secrets, sharding, surrogates, toxicity
-from tripmart.llm.common import is_held_out, table
+from tripmart.llm import (
+    language,
+    near_vectors,
+    ngram_join,
+    packing,
+    secrets,
+    sharding,
+    surrogates,
+    tiling,
+    token_counts,
+    toxicity,
+)
+from tripmart.llm.common import is_held_out, ready, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +29,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(slim)
 
 
+def op2_line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"))
+
+
+def op3_tiled_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", "item_words", "matched_words", "coverage", F.size("tiles").alias("n_tiles")
+    )
+
+
 def op4_signature_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
@@ -63,9 +86,13 @@ def op10_surrogate_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
-    name: (lambda spark, sf_dir, query=query: query(use_utc(spark), sf_dir))
+    name: (lambda spark, sf_dir, query=query: query(use_utc(ready(spark)), sf_dir))
     for name, query in list(globals().items())
-    if name.startswith("op") and callable(query)
+    if callable(query) and (name.startswith("op") or name == "pipeline")
 }
 ORACLES: dict[str, str] = {}

@@ -10,6 +10,10 @@ _ODD = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+# the same, with everything in ASCII that is neither letter nor digit as a blank
+PLAIN = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)
+)
 _IS_BLANK = np.isin(np.arange(256), list(BLANKS))
 _BYTES[_IS_BLANK] = 0
 
@@ -29,14 +33,16 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(powers, dtype=np.uint64)
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    texts: list[bytes], change: bytes = LOWER
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and first byte of every word of every text, and the number of words per text.
 
-    Words are runs of bytes that are not ASCII blanks, with A-Z in lower case. The first byte is
-    counted from the start of its text.
+    Words are runs of bytes that are not ASCII blanks after each byte was replaced by ``change``.
+    The first byte is counted from the start of its text.
     """
     joined = b" ".join(texts) + b" "
-    raw = np.frombuffer(joined.translate(LOWER), dtype=np.uint8)
+    raw = np.frombuffer(joined.translate(change), dtype=np.uint8)
     blank = _IS_BLANK[raw]
     starts = np.nonzero(~blank & np.concatenate([[True], blank[:-1]]))[0]
     if not len(starts):

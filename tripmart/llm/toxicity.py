@@ -10,7 +10,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import is_held_out, slices, stored
@@ -196,6 +196,18 @@ def train(
     )
 
 
+def score_column(spark: SparkSession, model: SentenceModel):
+    """A column function from a text to its score, to filter documents in place."""
+    shared = spark.sparkContext.broadcast((dict(model.weights), model.bias))
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        here = SentenceModel(*shared.value)
+        return pd.Series([here.document(text)[0] for text in texts], dtype="float64")
+
+    return scored
+
+
 def score(
     docs: DataFrame,
     model: SentenceModel,
