@@ -228,21 +228,22 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS)
     schema = ", ".join(
         f"`{n}` {t}" for n, t in zip([*names, "sequence_id", "offset", "__fill"], [*types, "long", "long", "long"])
     )
-    waiting, done, level = stored(kept, "pieces"), [], 0
+    waiting, done, level, before = stored(kept, "pieces"), [], 0, None
     while True:
-        groups = max(1, -(-waiting.count() // group_rows))
+        count = waiting.count()
+        groups = max(1, -(-count // group_rows))
         seed = F.lit(level)
 
         key = [c for c in ("doc_id", "piece") if c in names] or names
         spread = waiting.withColumn("__group", F.pmod(F.xxhash64(*key, seed), F.lit(groups)))
         result = stored(spread.groupBy("__group").applyInPandas(_packer(capacity, level), schema), "packed")
-        if groups == 1:
+        if groups == 1 or (before is not None and count > before / 2):  # packing again gains little
             done.append(result)
             break
         full = F.col("__fill") >= capacity - capacity // 64
         done.append(result.where(full))
         again = result.where(~full).drop("sequence_id", "offset", "__fill")
-        waiting, level = again, level + 1
+        waiting, level, before = again, level + 1, count
     out = done[0]
     for part in done[1:]:
         out = out.union(part)
