@@ -184,10 +184,25 @@ def news_items(spark, sf_dir):
     return read_news(spark, _written_news(spark, sf_dir)).drop("fetched_at")
 
 
-@check("news_item_counts", "SELECT count(*) AS nb_items FROM pages")
+@check(
+    "news_item_counts",
+    "SELECT 'source-' || (page_id % 7) AS folder, count(*) AS nb_items FROM pages GROUP BY 1 "
+    "UNION ALL SELECT 'none', 0",
+)
 def news_item_counts(spark, sf_dir):
-    counted = item_counts(spark, _written_news(spark, sf_dir))
-    return counted.agg(F.sum("nb_items").alias("nb_items"))
+    """Items of feed files, a folder for each source, and a file without a line."""
+    path = scratch_path(spark, "news")
+    items = inputs.news_items(spark, sf_dir)
+    counted = None
+    for n in range(7):
+        feed = items.where(F.col("source._VALUE") == f"Source {n}").write.format("xml")
+        feed.option("rootTag", "rss").option("rowTag", "item").save(f"{path}/source-{n}")
+    spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/none")
+    for name in [*(f"source-{n}" for n in range(7)), "none"]:
+        total = item_counts(spark, f"{path}/{name}", pattern="part-*").agg(F.sum("nb_items").alias("nb_items"))
+        total = total.select(F.lit(name).alias("folder"), F.coalesce("nb_items", F.lit(0)).alias("nb_items"))
+        counted = total if counted is None else counted.union(total)
+    return counted
 
 
 @check("landed_weather_hours", f"WITH {WEATHER} SELECT * FROM weather")

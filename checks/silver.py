@@ -18,7 +18,7 @@ from tripmart.functions.temporal import (
 )
 from tripmart.operators import cleaning
 from tripmart.plans.runs import record
-from tripmart.plans.silver import run_silver
+from tripmart.plans.silver import run_silver, run_silver_by_month
 from tripmart.sinks.tables import write_silver
 from tripmart.sources.landing import land
 from tripmart.sources.trips import read_bronze, read_silver, union_by_name
@@ -44,7 +44,7 @@ def bronze_scan(spark, sf_dir):
 @check(
     "bronze_scan_drifting_types",
     f"WITH {BRONZE} SELECT * REPLACE (CASE WHEN payment_type = 1 THEN NULL ELSE tolls_amount END "
-    "AS tolls_amount) FROM bronze",
+    "AS tolls_amount, CAST(passenger_count AS DOUBLE) AS passenger_count) FROM bronze",
 )
 def bronze_scan_drifting_types(spark, sf_dir):
     """Files with other types and without a column, next to the usual ones."""
@@ -66,6 +66,52 @@ def landed_trips(spark, sf_dir):
     return read_bronze(spark, f"{target}/taxi")
 
 
+@check("landed_twice", f"WITH {BRONZE} SELECT * FROM bronze")
+def landed_twice(spark, sf_dir):
+    """Two folders landed one after the other, the second one twice."""
+    trips, target = inputs.bronze_trips(spark, sf_dir), scratch_path(spark, "landed")
+    for test in ("payment_type = 1", "payment_type <> 1"):
+        folder = scratch_path(spark, "bronze")
+        trips.where(test).withColumnsRenamed(PLAIN_TO_OFFICIAL).write.parquet(folder)
+        land(spark, [SourceSpec("taxi", folder, "*.parquet", layout="rows")], target)
+    land(spark, [SourceSpec("taxi", folder, "*.parquet", layout="rows")], target)
+    return read_bronze(spark, f"{target}/taxi")
+
+
+@check(
+    "silver_months_with_different_columns",
+    f"WITH {SILVER} SELECT *, CASE WHEN month = 4 THEN 'april' END AS note FROM silver "
+    "WHERE month IN (3, 4)",
+)
+def silver_months_with_different_columns(spark, sf_dir):
+    """Months written on different days, one of them with a column more."""
+    path, trips = scratch_path(spark, "silver"), inputs.silver_trips(spark, sf_dir)
+    write_silver(trips.where("month = 3"), path)
+    write_silver(trips.where("month = 4").withColumn("note", F.lit("april")), path, replace_all=False)
+    return read_silver(spark, path)
+
+
+@check("silver_month_emptied", f"WITH {SILVER} SELECT * FROM silver WHERE month <> 5")
+def silver_month_emptied(spark, sf_dir):
+    """All months cleaned, then the Mays again, when none of their trips is valid any more."""
+    silver, bronze = scratch_path(spark, "silver"), _written_bronze(spark, sf_dir)
+    run_silver(spark, bronze, silver)
+    years = [r[0] for r in read_silver(spark, silver).select("year").distinct().collect()]
+    broken = scratch_path(spark, "bronze")
+    trips = inputs.bronze_trips(spark, sf_dir).where(F.month("pickup_datetime") == 5)
+    trips.withColumn("fare_amount", F.lit(-1.0)).write.parquet(broken)
+    run_silver_by_month(spark, broken, silver, [(year, 5) for year in years])
+    return read_silver(spark, silver)
+
+
+@check("silver_in_batches", f"WITH {SILVER} SELECT * FROM silver")
+def silver_in_batches(spark, sf_dir):
+    """Many small batches instead of one."""
+    silver = scratch_path(spark, "silver")
+    run_silver(spark, _written_bronze(spark, sf_dir), silver, batch_bytes=200_000)
+    return read_silver(spark, silver)
+
+
 @check("silver_table_scan", f"WITH {SILVER} SELECT * FROM silver")
 def silver_table_scan(spark, sf_dir):
     return inputs.stored_silver(spark, sf_dir)

@@ -65,6 +65,9 @@ def test_too_many_labels_are_refused(trips):
     rows = learning.training_rows(many(trips))
     with pytest.raises(learning.TooManyLabels, match="PULocationID"):
         learning.check_label_counts(rows, limit=100)
+    with pytest.raises(learning.TooManyLabels):
+        learning.fit_features(rows, max_labels=100)
+    learning.fit_features(rows)
 
 
 def test_one_hot_is_optional(trips):

@@ -16,7 +16,6 @@ from tripmart.plans.gold import run_gold, write_gold
 from tripmart.plans.runs import measured, record
 from tripmart.plans.silver import (
     BYTES_PER_TASK,
-    MAX_PARTITIONS,
     run_silver,
     run_silver_by_month,
     shuffle_partitions_for,
@@ -33,7 +32,8 @@ def same_rows(a, b) -> bool:
 
 def test_silver_round_trip(spark, trips, tmp_path):
     silver = clean(trips({}, {"tip_amount": None}, APRIL))
-    assert write_silver(silver, str(tmp_path / "s")) == 3
+    written = write_silver(silver, str(tmp_path / "s"))
+    assert (written.rows, written.months) == (3, ((2024, 3), (2024, 4)))
     stored = read_silver(spark, str(tmp_path / "s"))
     assert same_rows(silver, stored)
     assert stored.schema["year"].dataType.simpleString() == "int"
@@ -64,7 +64,7 @@ def test_month_filter_prunes_partitions(spark, trips, tmp_path):
 def test_static_and_dynamic_overwrite(spark, trips, tmp_path, replace_all, left):
     write_silver(clean(trips({}, APRIL)), str(tmp_path / "s"))
     again = clean(trips({"fare_amount": 50.0}))
-    assert write_silver(again, str(tmp_path / "s"), replace_all) == 1
+    assert write_silver(again, str(tmp_path / "s"), replace_all).rows == 1
     stored = read_silver(spark, str(tmp_path / "s"))
     assert stored.count() == left
     assert stored.where("month = 3").first()["fare_amount"] == 50.0
@@ -92,6 +92,10 @@ def test_months_on_their_own_give_the_same_table(spark, trips, tmp_path):
     raw = trips({}, {}, APRIL, december, december, new_year, {"pickup_datetime": None})
     raw.write.parquet(str(tmp_path / "b"))
     run_silver(spark, str(tmp_path / "b"), str(tmp_path / "whole"))
+    for most in (1, 2_500):
+        run_silver(spark, str(tmp_path / "b"), str(tmp_path / "batches"), batch_bytes=most)
+        both = [read_silver(spark, str(tmp_path / name)) for name in ("whole", "batches")]
+        assert same_rows(*both)
     months = [(2023, 12), (2024, 1), (2024, 3), (2024, 4)]
     done = run_silver_by_month(spark, str(tmp_path / "b"), str(tmp_path / "parts"), months)
     assert {m: (r.rows_in, r.rows_out) for m, r in done.items()} == {
@@ -114,7 +118,7 @@ def test_range_of_days_reaches_the_scan(spark, trips, tmp_path):
 
 def test_empty_tables_can_be_written(spark, trips, tmp_path):
     nothing = clean(trips({"fare_amount": -1.0}))
-    assert write_silver(nothing, str(tmp_path / "s")) == 0
+    assert write_silver(nothing, str(tmp_path / "s")).rows == 0
     sink = KpiSink(path=str(tmp_path / "g"))
     counts = write_gold(nothing, sink)
     assert counts.pop("kpi_global_summary") == 1 and set(counts.values()) == {0}
@@ -128,7 +132,6 @@ def test_settings_last_for_the_block_only(spark):
     assert spark.conf.get(name) == before
     assert shuffle_partitions_for(spark, 0) == int(before)
     assert shuffle_partitions_for(spark, 10**12) == math.ceil(10**12 / BYTES_PER_TASK)
-    assert shuffle_partitions_for(spark, 10**15) == MAX_PARTITIONS
 
 
 def test_declared_schema_saves_the_look_at_footers(spark, trips, tmp_path):
@@ -195,19 +198,14 @@ def test_sinks_need_their_settings(trips):
     assert sink.options["connection.uri"] == "mongodb://u:p@h/taxi_gold?authSource=admin"
 
 
-def session_on(master: str):
-    """Stands for a session without a shared folder."""
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda name, default: default),
-        sparkContext=SimpleNamespace(master=master),
-    )
+def session_on(settings: dict):
+    """Stands for a session with just these settings."""
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)))
 
 
-def test_scratch_of_this_machine_is_for_local_sessions_only():
-    first, second = scratch_path(session_on("local[2]"), "x"), scratch_path(session_on("local"), "x")
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(session_on("spark://host:7077"), "x")
+def test_scratch_without_a_setting_is_below_the_warehouse():
+    first, second = (scratch_path(session_on({"spark.sql.warehouse.dir": "file:/w"}), "x") for _ in range(2))
+    assert first != second and first.startswith("file:/w/")
 
 
 def test_scratch_follows_the_session(spark):

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from urllib.parse import quote_plus
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ class KpiSink:
     kind: str = "parquet"  # parquet | json | table | mongodb
     path: str | None = None
     database: str | None = None
-    options: Mapping[str, str] = field(default_factory=dict)
+    options: Mapping[str, str] = field(default_factory=dict, repr=False)  # may hold a password
 
     @classmethod
     def mongodb_from_env(cls, env: Mapping[str, str] | None = None) -> KpiSink:
@@ -130,5 +131,6 @@ class KpiSink:
         user, password = env.get("MONGO_USER"), env.get("MONGO_PASSWORD")
         if not user or not password:
             raise ValueError("MONGO_USER and MONGO_PASSWORD must be set")
-        uri = f"mongodb://{user}:{password}@{host}/{database}?authSource=admin"
+        login = f"{quote_plus(user)}:{quote_plus(password)}"
+        uri = f"mongodb://{login}@{host}/{database}?authSource=admin"
         return cls(kind="mongodb", database=database, options={"connection.uri": uri})

@@ -23,8 +23,8 @@ def is_weekend_day(day_of_week: Column) -> Column:
 
 
 def period_label(year: Column, month: Column) -> Column:
-    """``2024-03`` from a year and a month number."""
-    return F.concat_ws("-", year.cast("string"), F.lpad(month.cast("string"), 2, "0"))
+    """``2024-03`` from a year and a month number; null where either is unknown."""
+    return F.concat(year.cast("string"), F.lit("-"), F.lpad(month.cast("string"), 2, "0"))
 
 
 def iso_timestamp(text: Column) -> Column:

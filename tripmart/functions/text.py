@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 # the generic URI split: group 3 is the path, group 4 the query
 _URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
-_BLANKS = " \t\n\r\f\v"
+# blanks at either end of a text: white space of Unicode and the separators U+001C to U+001F
+_BLANK = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}]+"
 DEFAULT_SLUG = "feed"
 
 
@@ -32,7 +33,9 @@ def tag_openings(markup: Column, tag: str) -> Column:
 
 def comma_list(text: Column) -> Column:
     """The trimmed, non-empty values of a comma-separated list."""
-    parts = F.transform(F.split(text, ","), lambda part: F.btrim(part, F.lit(_BLANKS)))
+    parts = F.transform(
+        F.split(text, ","), lambda part: F.regexp_replace(part, f"^{_BLANK}|{_BLANK}$", "")
+    )
     return F.filter(parts, lambda part: part != "")
 
 

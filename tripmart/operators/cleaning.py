@@ -92,6 +92,14 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year(pickup), "month": F.month(pickup)})
 
 
+def pickup_month(df: DataFrame) -> Column:
+    """First day of the month of a raw trip; null where the time is missing or no time."""
+    pickup = F.col("pickup_datetime")
+    if isinstance(df.schema["pickup_datetime"].dataType, T.StringType):
+        pickup = pickup.try_cast("timestamp")
+    return F.trunc(pickup.cast("date"), "month")
+
+
 def picked_up_between(df: DataFrame, start: date, end: date) -> DataFrame:
     """Raw trips of a range of days, ``end`` excluded.
 

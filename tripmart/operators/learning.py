@@ -33,8 +33,6 @@ SPLIT_KEYS = (
 DEFAULT_BINS = 32
 # split statistics a task may hold; more of it means fewer passes over the rows per tree level
 FOREST_MEMORY_MB = 512
-# an index holds all its labels on the driver and in every task
-MAX_LABELS = 100_000
 
 
 def training_rows(trips: DataFrame) -> DataFrame:
@@ -81,11 +79,11 @@ class TooManyLabels(ValueError):
 
 
 def check_label_counts(
-    df: DataFrame, columns: Sequence[str] = CATEGORICAL, limit: int = MAX_LABELS
+    df: DataFrame, limit: int, columns: Sequence[str] = CATEGORICAL
 ) -> None:
-    """Fail early, from one scan with small sketches, where an index would not fit."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    excess = [f"{c} (about {row[c]})" for c in columns if row[c] > limit]
+    """Fail early where a column has more labels than the caller allows, by an exact count."""
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in columns]).first()
+    excess = [f"{c} ({row[c]})" for c in columns if row[c] > limit]
     if excess:
         raise TooManyLabels(f"more than {limit} labels in {', '.join(excess)}")
 
@@ -115,9 +113,16 @@ def feature_stages(one_hot: bool = False) -> list:
     return stages
 
 
-def fit_features(train: DataFrame, one_hot: bool = False) -> PipelineModel:
-    """The feature pipeline, fitted once and shared by all estimators."""
-    check_label_counts(train)
+def fit_features(
+    train: DataFrame, one_hot: bool = False, max_labels: int | None = None
+) -> PipelineModel:
+    """The feature pipeline, fitted once and shared by all estimators.
+
+    The indexes live on the driver and in every task; ``max_labels`` refuses columns with more
+    labels than that, by default there is no limit.
+    """
+    if max_labels is not None:
+        check_label_counts(train, max_labels)
     return Pipeline(stages=feature_stages(one_hot)).fit(train)
 
 

@@ -45,7 +45,8 @@ CORRELATED_COLUMNS = (
 )
 HISTOGRAM_BINS = 60
 DENSITY_POINTS = 200
-DENSITY_BINS = 2000
+# bins per bandwidth of the kernel, and how many bandwidths it reaches: exp(-9**2 / 2) < 3e-18
+DENSITY_BINS, DENSITY_REACH = 16, 9
 QUARTILES = (0.25, 0.5, 0.75)
 
 _SUMMARY = T.StructType(
@@ -195,14 +196,16 @@ def density(
     df: DataFrame,
     column: str,
     points: int = DENSITY_POINTS,
-    source_bins: int = DENSITY_BINS,
+    bins_per_bandwidth: int = DENSITY_BINS,
     shown_bins: int = HISTOGRAM_BINS,
 ) -> DataFrame:
     """Gaussian kernel density on an even grid between the extremes, in counts per shown bin.
 
-    The bandwidth follows Scott's rule. The kernel is summed over a fine histogram instead of
-    the values, so the work after the scan is ``source_bins * points`` for any table size and a
-    value is displaced by half a fine bin at most. Two scans.
+    The bandwidth follows Scott's rule. The kernel is summed over a histogram whose bins are
+    a fixed part of the bandwidth, with the mean of the values in each bin for their place, so
+    the error is below a thousandth of the peak whatever the range. Only bins that hold values
+    exist, and each meets only the grid points in its reach. Two scans; the first one runs when this
+    is called and brings one row to the driver.
     """
     value = F.when(F.abs(present(F.col(column))) < math.inf, F.col(column).cast("double"))
     row = df.agg(
@@ -215,22 +218,27 @@ def density(
         return _empty(df, "point bigint, x double, density double")
     n, low, high = row["n"], row["low"], row["high"]
     bandwidth = row["std"] * n ** (-1.0 / 5.0)
-    width, step = (high - low) / source_bins, (high - low) / (points - 1)
+    width, step = bandwidth / bins_per_bandwidth, (high - low) / (points - 1)
     scale = (high - low) / shown_bins / (bandwidth * math.sqrt(2.0 * math.pi))
     binned = (
         df.where(value.isNotNull())
-        .groupBy(_place(value, low, width, source_bins).alias("bin"))
-        .agg(F.count("*").alias("size"))
+        .groupBy(F.floor((value - low) / width).alias("bin"))
+        .agg(F.count("*").alias("size"), F.avg(value - low).alias("centre"))
     )
-    centre = F.lit(low) + (F.col("bin") + 0.5) * width
-    x = F.lit(low) + F.col("point") * step
-    distance = (x - centre) / bandwidth
-    grid = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint")))
-    return (
-        binned.withColumn("point", grid)
+    distance = (F.col("point") * step - F.col("centre")) / bandwidth
+    reach = DENSITY_REACH * bandwidth
+    first = F.greatest(F.lit(0), F.ceil((F.col("centre") - reach) / step)).cast("bigint")
+    last = F.least(F.lit(points - 1), F.floor((F.col("centre") + reach) / step)).cast("bigint")
+    near = F.when(first <= last, F.sequence(first, last))
+    weights = (
+        binned.withColumn("point", F.explode(near))
         .groupBy("point")
         .agg(F.sum(F.col("size") * F.exp(distance * distance * -0.5)).alias("weight"))
-        .select("point", x.alias("x"), (F.col("weight") * scale).alias("density"))
+    )
+    grid = df.sparkSession.range(points).toDF("point")
+    x = F.lit(low) + F.col("point") * step
+    return grid.join(weights, "point", "left").select(
+        "point", x.alias("x"), (F.coalesce("weight", F.lit(0.0)) * scale).alias("density")
     )
 
 
@@ -250,8 +258,9 @@ def box_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.lit(q1).cast("double").alias("q1"),
                 F.lit(median).cast("double").alias("median"),
                 F.lit(q3).cast("double").alias("q3"),
-                F.min(F.when(inside, value)).alias("whisker_low"),
-                F.max(F.when(inside, value)).alias("whisker_high"),
+                # a whisker never ends inside the box
+                F.least(F.min(F.when(inside, value)), F.lit(q1)).alias("whisker_low"),
+                F.greatest(F.max(F.when(inside, value)), F.lit(q3)).alias("whisker_high"),
                 (F.count(value) - F.count(F.when(inside, value))).alias("nb_outliers"),
             )
         )

@@ -9,10 +9,6 @@ from tripmart.config import use_utc
 from tripmart.operators.profiling import correlation_matrix
 from tripmart.schema import WEATHER_VARIABLES
 
-# about a century of hours; five narrow columns, so some tens of megabytes at most
-BROADCAST_HOURS = 1_000_000
-
-
 def unzip_arrays(df: DataFrame, arrays: dict[str, Column], *keep: str) -> DataFrame:
     """One row per position of parallel arrays, with that ``position``.
 
@@ -30,20 +26,25 @@ def hourly_weather(raw: DataFrame) -> DataFrame:
 
     Times are wall-clock hours of the place, as those of the trips are, so they are compared
     without any zone shift. Where an hour occurs more than once (clock change, overlapping
-    files), the file retrieved last counts, and in it the first entry.
+    files), the file retrieved last counts, of files without a stamp or with the same one the one
+    whose name comes last, and in a file the first entry.
     """
     use_utc(raw.sparkSession)
     if "fetched_at" not in raw.columns:
         raw = raw.withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    if "file_name" not in raw.columns:
+        raw = raw.withColumn("file_name", F.lit(None).cast("string"))
     arrays = {name: F.col("hourly")[name] for name in ("time", *WEATHER_VARIABLES)}
     hour = F.date_trunc("hour", F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm")))
     values = F.struct(*WEATHER_VARIABLES)
     age = F.struct(
         F.coalesce(F.unix_seconds("fetched_at"), F.lit(0)).alias("fetched"),
+        F.coalesce("file_name", F.lit("")).alias("file"),
         (-F.col("position")).alias("place"),
+        F.coalesce(F.to_json(values), F.lit("")).alias("content"),
     )
     return (
-        unzip_arrays(raw, arrays, "fetched_at")
+        unzip_arrays(raw, arrays, "fetched_at", "file_name")
         .withColumn("weather_hour", hour)
         .where(F.col("weather_hour").isNotNull())
         .groupBy("weather_hour")
@@ -52,21 +53,12 @@ def hourly_weather(raw: DataFrame) -> DataFrame:
     )
 
 
-def is_within(df: DataFrame, max_rows: int) -> bool:
-    """Whether a table has at most so many rows; stops counting beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def with_weather(
-    trips: DataFrame, weather: DataFrame, max_broadcast: int = BROADCAST_HOURS
-) -> DataFrame:
+def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips with the weather of their pickup hour; every trip is kept, once.
 
-    The weather side is broadcast only after its row count has been checked. Beyond the bound
-    the join shuffles both sides, and adaptive execution splits hours that hold many trips.
+    Adaptive execution knows the size of the weather when it joins: it broadcasts a small side,
+    else shuffles both and splits hours that hold many trips.
     """
-    if is_within(weather, max_broadcast):
-        weather = F.broadcast(weather)
     hour = F.date_trunc("hour", F.col("pickup_datetime").cast("timestamp"))
     joined = trips.withColumn("weather_hour", hour).join(weather, "weather_hour", "left")
     return joined.select(*trips.columns, "weather_hour", *WEATHER_VARIABLES)

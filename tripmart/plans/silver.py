@@ -3,49 +3,84 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import CleaningRules, session_settings
-from tripmart.operators.cleaning import clean, picked_up_between
+from tripmart.operators.cleaning import clean, picked_up_between, pickup_month
 from tripmart.plans.runs import RunMetrics, measured
-from tripmart.sinks.tables import write_silver
+from tripmart.sinks.tables import drop_months, write_silver
 from tripmart.sources.documents import file_inventory
 from tripmart.sources.trips import read_bronze
 
+Month = tuple[int, int]
+
 # raw bytes, as compressed in the files, that one task of the deduplication takes on
 BYTES_PER_TASK = 128 * 1024 * 1024
-# a shuffle has map tasks times partitions blocks; rather larger partitions that spill than more
-MAX_PARTITIONS = 50_000
+# raw bytes that are shuffled together: some thousands of tasks
+BYTES_PER_BATCH = 512 * 1024 * 1024 * 1024
 
 
 def shuffle_partitions_for(spark: SparkSession, nb_bytes: int) -> int:
-    """Enough partitions for so many raw bytes; never fewer than the session asks for.
-
-    From ``MAX_PARTITIONS`` on, cleaning month by month is the better way.
-    """
+    """Enough partitions for so many raw bytes; never fewer than the session asks for."""
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(asked, min(math.ceil(nb_bytes / BYTES_PER_TASK), MAX_PARTITIONS))
+    return max(asked, math.ceil(nb_bytes / BYTES_PER_TASK))
 
 
-def _clean_and_write(
-    raw: DataFrame, silver: str, rules: CleaningRules, replace_all: bool, nb_bytes: int
-) -> RunMetrics:
-    spark = raw.sparkSession
+def raw_bytes(spark: SparkSession, bronze: str) -> int:
+    return file_inventory(spark, bronze, "*.parquet").agg(F.sum("nb_bytes")).first()[0] or 0
 
-    def run() -> int:
-        partitions = shuffle_partitions_for(spark, nb_bytes)
-        with session_settings(spark, spark__sql__shuffle__partitions=partitions):
-            return write_silver(clean(raw, rules), silver, replace_all)
 
-    return measured("silver", raw.count(), run)
+def rows_by_month(raw: DataFrame) -> dict[Month | None, int]:
+    """Raw rows of each pickup month, stray ones included; ``None`` for those without a time.
 
+    One scan of a single column. There are as many months as the calendar has, not more.
+    """
+    counted = raw.groupBy(pickup_month(raw).alias("month")).agg(F.count("*").alias("n")).collect()
+    return {r["month"] and (r["month"].year, r["month"].month): r["n"] for r in counted}
 
-def raw_bytes(spark: SparkSession, bronze: str) -> int:
-    return file_inventory(spark, bronze, "*.parquet").agg(F.sum("nb_bytes")).first()[0] or 0
+
+def batches_of(
+    rows: Mapping[Month | None, int], nb_bytes: int, most: int = BYTES_PER_BATCH
+) -> Iterator[tuple[list[Month], int]]:
+    """Consecutive months of about ``most`` raw bytes together, with those bytes.
+
+    Bytes are dealt to months by their rows. A single larger month is a batch of its own.
+    """
+    total = max(1, sum(rows.values()))
+    batch: list[Month] = []
+    size = 0
+    for month in sorted(m for m in rows if m is not None):
+        own = nb_bytes * rows[month] // total
+        if batch and size + own > most:
+            yield batch, size
+            batch, size = [], 0
+        batch.append(month)
+        size += own
+    yield batch, size
+
+
+def _days(batch: list[Month]) -> tuple[date, date]:
+    (first_year, first), (year, month) = batch[0], batch[-1]
+    return date(first_year, first, 1), date(year + month // 12, month % 12 + 1, 1)
+
+
+def _clean_batch(
+    raw: DataFrame, silver: str, rules: CleaningRules, batch: list[Month], nb_bytes: int, replace_all: bool
+) -> int:
+    """Clean some months and write them; months without a row left lose their old rows."""
+    spark = raw.sparkSession
+    trips = picked_up_between(raw, *_days(batch)) if batch else raw.limit(0)
+    with session_settings(
+        spark, spark__sql__shuffle__partitions=shuffle_partitions_for(spark, nb_bytes)
+    ):
+        written = write_silver(clean(trips, rules), silver, replace_all)
+    if not replace_all:
+        drop_months(spark, silver, set(batch) - set(written.months))
+    return written.rows
 
 
 def run_silver(
@@ -54,37 +89,49 @@ def run_silver(
     silver: str,
     rules: CleaningRules = CleaningRules(),
     replace_all: bool = True,
+    batch_bytes: int = BYTES_PER_BATCH,
 ) -> RunMetrics:
-    """Clean all raw trips and write them.
+    """Clean all raw trips and write them, in batches of consecutive months.
 
-    The data are read once. The number of input rows comes from the file footers, since a count
-    without columns reads nothing else, and the number of output rows from the write.
+    Full rows have to be shuffled to find copies, and a shuffle has as many blocks as map tasks
+    times partitions. Copies have equal pickup times, so batches of bounded size give the same
+    table. The first batch replaces the table, the others the months that they hold;
+    ``replace_all=False`` replaces only the months that occur in the raw trips. Pickup times are
+    clustered in raw files, so a batch skips the row groups of other months.
     """
     raw = read_bronze(spark, bronze)
-    return _clean_and_write(raw, silver, rules, replace_all, raw_bytes(spark, bronze))
+    rows = rows_by_month(raw)
+    nb_bytes = raw_bytes(spark, bronze)
+
+    def run() -> int:
+        kept = 0
+        for number, (batch, size) in enumerate(batches_of(rows, nb_bytes, batch_bytes)):
+            kept += _clean_batch(raw, silver, rules, batch, size, replace_all and not number)
+        return kept
+
+    return measured("silver", sum(rows.values()), run)
 
 
 def run_silver_by_month(
     spark: SparkSession,
     bronze: str,
     silver: str,
-    months: Iterable[tuple[int, int]],
+    months: Iterable[Month],
     rules: CleaningRules = CleaningRules(),
-) -> dict[tuple[int, int], RunMetrics]:
+) -> dict[Month, RunMetrics]:
     """Clean some months, one after the other, and replace just these in the clean table.
 
-    Full rows have to be shuffled to find copies, and a shuffle has as many blocks as map tasks
-    times partitions. Month by month, a table of years becomes many shuffles of moderate size
-    with the same result, and late files cost the months they belong to. Pickup times are
-    clustered in raw files, so a run skips the row groups of other months.
+    A month that has no clean trip any more is empty afterwards.
     """
-    raw, nb_bytes = read_bronze(spark, bronze), raw_bytes(spark, bronze)
-    months = list(months)
+    raw = read_bronze(spark, bronze)
+    rows, nb_bytes = rows_by_month(raw), raw_bytes(spark, bronze)
+    total = max(1, sum(rows.values()))
     done = {}
-    for year, month in months:
-        end = date(year + month // 12, month % 12 + 1, 1)
-        trips = picked_up_between(raw, date(year, month, 1), end)
-        done[year, month] = _clean_and_write(
-            trips, silver, rules, replace_all=False, nb_bytes=nb_bytes // len(months)
+    for month in months:
+        size = nb_bytes * rows.get(month, 0) // total
+        done[month] = measured(
+            "silver",
+            rows.get(month, 0),
+            lambda: _clean_batch(raw, silver, rules, [month], size, False),
         )
     return done

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +26,16 @@ def _counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> int:
-    """Write clean trips partitioned by month and return their number.
+@dataclass(frozen=True)
+class Written:
+    """Rows written, and the months that they belong to."""
+
+    rows: int
+    months: tuple[tuple[int, int], ...]
+
+
+def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> Written:
+    """Write clean trips partitioned by month.
 
     Rows of a month are brought together first, else every task would add a file to every
     month. The rebalance hint leaves it to adaptive execution to cut large months into files
@@ -32,7 +43,11 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> int:
     ``replace_all=False`` replaces only the months that occur in ``trips``.
     """
     gathered = trips.hint("rebalance", *SILVER_PARTITIONS)
-    counted, seen = _counted(gathered, "silver")
+    seen = Observation("silver")
+    month = F.col("year") * 100 + F.col("month")
+    counted = gathered.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(month).alias("months")
+    )
     writer = (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
@@ -41,7 +56,16 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> int:
     advised = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": FILE_SHUFFLE_BYTES}
     with session_settings(trips.sparkSession, **advised):
         writer.parquet(path)
-    return seen.get["rows"]
+    months = tuple(sorted(divmod(m, 100) for m in seen.get["months"]))
+    return Written(seen.get["rows"], months)
+
+
+def drop_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> None:
+    """Delete the folders of some months of the clean table; a missing one is no error."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for year, month in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={year}/month={month}")
+        folder.getFileSystem(settings).delete(folder, True)
 
 
 def _kpi_writer(df: DataFrame, name: str, sink: KpiSink) -> DataFrameWriter:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from tripmart.config import use_utc
 from tripmart.functions.temporal import feed_timestamp, file_stamp
 from tripmart.functions.text import kibibytes, tag_openings
 from tripmart.schema import NEWS_ITEM, WEATHER
+from tripmart.sources.trips import union_by_name
 
 
 _FEED = T.StructType(
@@ -21,6 +24,10 @@ _FEED = T.StructType(
 )
 
 
+def _file_name(path: str = "_metadata.file_name") -> Column:
+    return F.element_at(F.split(F.col(path), "/"), -1).alias("file_name")
+
+
 def _fetched_at(file_name: str = "_metadata.file_name") -> Column:
     return file_stamp(F.col(file_name)).alias("fetched_at")
 
@@ -33,7 +40,7 @@ def read_weather(spark: SparkSession, path: str, pattern: str = "*.json") -> Dat
     """Weather files, one row each, with the time of retrieval from the file name."""
     use_utc(spark)
     files = spark.read.schema(WEATHER).option("pathGlobFilter", pattern)
-    return files.json(path, multiLine=True).select("*", _fetched_at())
+    return files.json(path, multiLine=True).select("*", _fetched_at(), _file_name())
 
 
 def read_news(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
@@ -67,7 +74,9 @@ def landed_weather(landed: DataFrame) -> DataFrame:
     """``read_weather`` over weather files that were landed as rows."""
     use_utc(landed.sparkSession)
     document = F.from_json(_landed_text(), WEATHER).alias("document")
-    return landed.select(document, _fetched_at("path")).select("document.*", "fetched_at")
+    return landed.select(document, _fetched_at("path"), _file_name("path")).select(
+        "document.*", "fetched_at", "file_name"
+    )
 
 
 def landed_news(landed: DataFrame) -> DataFrame:
@@ -92,13 +101,22 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 def item_counts(
     spark: SparkSession, path: str, tag: str = "item", pattern: str = "*.xml"
 ) -> DataFrame:
-    """Openings of a tag per file. Such an opening never spans lines, so lines are counted."""
+    """Openings of a tag per file, 0 for an empty one.
+
+    Such an opening never spans lines, so lines are counted.
+    """
     lines = spark.read.option("pathGlobFilter", pattern).text(path)
     counted = lines.select(
         F.col("_metadata.file_name").alias("file_name"),
         tag_openings(F.col("value"), tag).alias("openings"),
     )
-    return counted.groupBy("file_name").agg(F.sum("openings").alias("nb_items"))
+    found = counted.groupBy("file_name").agg(F.sum("openings").alias("nb_items"))
+    # a scan has no row for a file without bytes, the listing has its name
+    names = {unquote(name.rsplit("/", 1)[1]) for name in lines.inputFiles()}
+    files = spark.createDataFrame([(name,) for name in sorted(names)], "file_name string")
+    return files.join(found, "file_name", "left").select(
+        "file_name", F.coalesce("nb_items", F.lit(0)).cast("bigint").alias("nb_items")
+    )
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -117,10 +135,20 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def read_kpi_export(spark: SparkSession, path: str) -> DataFrame:
-    """An exported KPI: a JSON array of documents, or one document per line.
+    """An exported KPI: files with a JSON array of documents, or with one document per line.
 
-    Document ids are dropped, whether plain or nested. Extended dates stay as dotted columns
-    (``pickup_date.$date``).
+    A file is an array when a line of it begins one; the names of the files, few in an export, come
+    to the driver. Document ids are dropped, whether plain or
+    nested. Extended dates stay as dotted columns (``pickup_date.$date``).
     """
-    documents = spark.read.json(path, multiLine=True)
-    return flatten(documents.drop("_id"))
+    lines = spark.read.text(path).select(F.ltrim("value").alias("v"), F.col("_metadata.file_path").alias("file"))
+    starts = F.col("v").startswith("[")  # no line of a document begins so, unless it is an array
+    files = lines.where("v <> ''").groupBy("file").agg(F.max(starts).alias("is_array")).collect()
+    parts = []
+    for is_array in (True, False):
+        paths = sorted(r["file"] for r in files if r["is_array"] == is_array)
+        if paths:
+            parts.append(spark.read.json(paths, multiLine=is_array))
+    if not parts:
+        raise ValueError(f"no document below {path}")
+    return flatten(union_by_name(parts).drop("_id"))

@@ -6,9 +6,10 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.config import SourceSpec
-from tripmart.sources.trips import read_bronze
+from tripmart.sources.trips import LANDED_FILE, trips_by_file
 
 
 class NothingLanded(RuntimeError):
@@ -35,8 +36,9 @@ def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dic
     A missing or empty source is skipped and counts 0; landing nothing at all is an error.
     Documents become rows ``(path, modificationTime, length, content)``, since each is small.
     Columnar files are copied as rows by splits, since one of them may exceed what a task can
-    hold; trips come under their plain column names. Landing a source again replaces what was
-    landed before.
+    hold; trips come under their plain column names. The landed table has a partition for each
+    file name: landing a file again replaces it and leaves the others, as copying into a folder
+    would.
     """
     landed: dict[str, int] = {}
     for source in sources:
@@ -46,8 +48,11 @@ def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dic
             continue
         place = f"{target.rstrip('/')}/{source.name}"
         if source.layout == "rows":
-            files = read_bronze(spark, source.folder, source.pattern)
-        files.write.mode("overwrite").parquet(place)
+            files = trips_by_file(spark, source.folder, source.pattern)
+        else:
+            files = files.withColumn(LANDED_FILE, F.element_at(F.split("path", "/"), -1))
+        writer = files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(LANDED_FILE).parquet(place)
     if not sum(landed.values()):
         raise NothingLanded("no file was found for any source")
     return landed

@@ -15,6 +15,9 @@ from tripmart.config import use_utc
 from tripmart.operators.cleaning import rename_present
 from tripmart.schema import BRONZE, SILVER
 
+# the column that says from which landed file a row came
+LANDED_FILE = "landed_file"
+
 _DECLARED = {field.name: field.dataType for field in BRONZE}
 
 
@@ -33,26 +36,38 @@ def _merged_schema(reader: DataFrameReader, *paths: str) -> T.StructType | None:
         raise
 
 
-def _schema_groups(spark: SparkSession, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+def _schema_groups(
+    spark: SparkSession, root: str, files: list[str]
+) -> list[tuple[T.StructType, list[str]]]:
     """Files that can be read together, with their common schema.
 
     The footers of a run of files are merged in one Spark job. Only where types contradict each
     other is the run halved, so a few changes of type over the years cost a few dozen jobs.
     """
-    merged = _merged_schema(spark.read, *files)
+    merged = _merged_schema(spark.read.option("basePath", root), *files)
     if merged is not None:
         return [(merged, files)]
     half = len(files) // 2
-    return _schema_groups(spark, files[:half]) + _schema_groups(spark, files[half:])
+    return _schema_groups(spark, root, files[:half]) + _schema_groups(spark, root, files[half:])
 
 
 def _common_type(name: str, kinds: set[T.DataType]) -> T.DataType:
+    """A type that holds the values of all kinds; declared types come later, in the cleaning.
+
+    Large whole numbers next to fractions have no common number type without loss, so an unknown
+    column becomes text then. Of a declared column it is known that a double holds its values.
+    """
     if len(kinds) == 1:
         return next(iter(kinds))
-    if name in _DECLARED:
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if all(isinstance(kind, whole) for kind in kinds):
+        return T.LongType()
+    if all(isinstance(kind, (*whole, T.FloatType, T.DoubleType)) for kind in kinds):
+        exact = not any(isinstance(kind, T.LongType) for kind in kinds)
+        return T.DoubleType() if exact or name in _DECLARED else T.StringType()
+    times = (T.TimestampType, T.TimestampNTZType, T.DateType)
+    if name in _DECLARED and all(isinstance(kind, times) for kind in kinds):
         return _DECLARED[name]
-    if all(isinstance(kind, T.NumericType) for kind in kinds):
-        return T.DoubleType()
     return T.StringType()
 
 
@@ -65,22 +80,39 @@ def read_bronze(
     """Raw trips of a folder, under their plain column names.
 
     Monthly files differ in columns and, over the years, in types. Files with agreeing types
-    are read as one scan; a column whose type differs between scans is cast to its declared
-    type. Without such a difference, rows stay exactly as they are in the files. With a
+    are read as one scan; a column whose type differs between scans is cast to a type that holds
+    the values of all. Without such a difference, rows stay exactly as they are in the files. With a
     ``schema`` that fits all files, their footers need not be compared.
     """
+    return rename_present(_read_drifting(spark, path, pattern, schema)).drop(LANDED_FILE)
+
+
+def trips_by_file(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """``read_bronze`` with the name of the file that each row came from."""
+    return rename_present(_read_drifting(spark, path, pattern, by_file=True))
+
+
+def _read_drifting(
+    spark: SparkSession,
+    path: str,
+    pattern: str,
+    schema: T.StructType | None = None,
+    by_file: bool = False,
+) -> DataFrame:
+    def named(scan: DataFrame) -> DataFrame:
+        return scan.withColumn(LANDED_FILE, F.col("_metadata.file_name")) if by_file else scan
+
     use_utc(spark)
     merged = schema or _merged_schema(spark.read.option("pathGlobFilter", pattern), path)
     if merged is not None:
-        whole = spark.read.option("pathGlobFilter", pattern).schema(merged).parquet(path)
-        return rename_present(whole)
+        return named(spark.read.option("pathGlobFilter", pattern).schema(merged).parquet(path))
     files = sorted(spark.read.option("pathGlobFilter", pattern).parquet(path).inputFiles())
     by_types: dict[tuple, tuple[T.StructType, list[str]]] = {}
-    for schema, members in _schema_groups(spark, files):
+    for schema, members in _schema_groups(spark, path, files):
         key = tuple(sorted((field.name, field.dataType.json()) for field in schema))
         by_types.setdefault(key, (schema, []))[1].extend(members)
     scans = [
-        rename_present(spark.read.schema(schema).parquet(*members))
+        rename_present(named(spark.read.option("basePath", path).schema(schema).parquet(*members)))
         for schema, members in by_types.values()
     ]
     kinds: dict[str, set[T.DataType]] = {}
@@ -103,11 +135,10 @@ def read_silver(
 ) -> DataFrame:
     """Clean trips; ``months`` as ``(year, month)`` limits the scan to those partitions.
 
-    The root is read once, whatever its number of part files. The declared columns come first
-    and the other source columns, whose names only the table knows, after them.
+    Months written on different days may have different source columns: all of them are there,
+    null where a month lacks them. The declared columns come first and the others after them.
     """
-    use_utc(spark)
-    stored = spark.read.parquet(path)
+    stored = _read_drifting(spark, path, "*.parquet")
     declared = [name for name in SILVER.names if name in stored.columns]
     others = [name for name in stored.columns if name not in SILVER.names]
     silver = stored.select(*declared, *others)
