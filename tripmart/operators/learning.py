@@ -203,30 +203,34 @@ class Training:
 def train_and_compare(trips: DataFrame, one_hot: bool = False) -> Training:
     """Fit both models on the train rows and compare them on the test rows.
 
-    The features are fitted once and the assembled train rows are kept (memory, then disk) for
-    the passes of both estimators; lost blocks are recomputed from the trips. Both models are
+    The features are fitted once. The assembled train rows are kept (memory, then disk) for the
+    passes of the linear model only; lost blocks are recomputed from the trips. Both models are
     scored in one scan of the test rows.
     """
     rows = training_rows(trips)
     train, test = content_split(rows)
     features = fit_features(train, one_hot)
     assembled = features.transform(train).select("features", TARGET)
-    assembled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = {
-            name: estimator.fit(assembled)
-            for name, estimator in estimators(forest_bins(features)).items()
-        }
-    finally:
-        assembled.unpersist()
+    fitted = {}
+    for name, estimator in estimators(forest_bins(features)).items():
+        # the forest keeps a binned copy of its own, so only the linear model needs the rows kept
+        kept = name != FOREST
+        if kept:
+            assembled.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted[name] = estimator.fit(assembled)
+        finally:
+            if kept:
+                assembled.unpersist()
     scored, columns = predict_all(features.transform(test), fitted)
     metrics = regression_metrics(scored, columns).collect()
+    sizes = {"train": train.count(), "test": test.count()}
     comparison = ranked(trips.sparkSession.createDataFrame(metrics))
     best = min(metrics, key=lambda row: (row["rmse"], row["model"]))["model"]
     pipelines = {
         name: PipelineModel(stages=[*features.stages, model]) for name, model in fitted.items()
     }
-    return Training(pipelines, comparison, best)
+    return Training(pipelines, comparison, best, sizes)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
