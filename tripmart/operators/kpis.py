@@ -131,17 +131,28 @@ def kpi_table(trips: DataFrame, kpi: Kpi | str, sort: bool = True) -> DataFrame:
     return _arrange(table, kpi, sort)
 
 
-def kpi_cells(trips: DataFrame, kpis: Iterable[Kpi] = CATALOGUE.values()) -> DataFrame:
+# month of the trips that a cell sums, where cells are kept by month
+CELL_MONTH = ("cell_year", "cell_month")
+
+
+def kpi_cells(
+    trips: DataFrame, kpis: Iterable[Kpi] = CATALOGUE.values(), by_month: bool = False
+) -> DataFrame:
     """Sums and counts of all KPIs at the ``GRAINS``, from one scan of the trips.
 
     The result has a row per day, hour, payment type and zone: its size follows the number of
-    distinct keys, not the number of trips.
+    distinct keys, not the number of trips. ``by_month`` keeps the cells of each month apart, with
+    the month in ``CELL_MONTH``, so that a month can be replaced.
     """
     dims = [name for grain in GRAINS for name in grain]
     parts = {name: part for kpi in kpis for m in kpi.measures for name, part in m.parts().items()}
     inputs = {m.column for kpi in kpis for m in kpi.measures if m.column}
-    dated = trips.transform(with_pickup_date).select(*dims, *sorted(inputs))
-    return dated.groupingSets([[dated[d] for d in grain] for grain in GRAINS], *dims).agg(
+    months = list(CELL_MONTH) if by_month else []
+    parted = trips.withColumns(dict(zip(CELL_MONTH, (F.col("year"), F.col("month")))))
+    dated = parted.transform(with_pickup_date).select(*months, *dims, *sorted(inputs))
+    # the month is in every grouping and comes first, so it leaves the grouping number as it is
+    sets = [[dated[d] for d in (*months, *grain)] for grain in GRAINS]
+    return dated.groupingSets(sets, *months, *dims).agg(
         F.grouping_id().cast("int").alias("grain"),
         *[part.alias(name) for name, part in parts.items()],
     )

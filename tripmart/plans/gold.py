@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 from tripmart.config import KpiSink
-from tripmart.operators.kpis import CATALOGUE, Kpi, kpi_cells, kpi_from_cells
-from tripmart.sinks.tables import write_kpi
+from tripmart.operators.kpis import CATALOGUE, CELL_MONTH, Kpi, kpi_cells, kpi_from_cells
+from tripmart.sinks.tables import drop_months, write_kpi
 from tripmart.sources.trips import read_silver
 
 
@@ -21,22 +21,53 @@ def write_gold(trips: DataFrame, sink: KpiSink) -> dict[str, int]:
     submitted together, since each alone would leave the cluster idle.
     """
     cells = kpi_cells(trips).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def write(kpi: Kpi) -> int:
-        return write_kpi(kpi_from_cells(cells, kpi, sort=False), kpi, sink)
-
     try:
         cells.count()  # fills the cache, so that no two jobs compute the cells
-        with ThreadPoolExecutor(len(CATALOGUE)) as pool:
-            return dict(zip(CATALOGUE, pool.map(write, CATALOGUE.values())))
+        return finish_kpis(cells, sink)
     finally:
         cells.unpersist()
 
 
+def finish_kpis(cells: DataFrame, sink: KpiSink) -> dict[str, int]:
+    """Every KPI from cells that are at hand, and the row counts."""
+
+    def write(kpi: Kpi) -> int:
+        return write_kpi(kpi_from_cells(cells, kpi, sort=False), kpi, sink)
+
+    with ThreadPoolExecutor(len(CATALOGUE)) as pool:
+        return dict(zip(CATALOGUE, pool.map(write, CATALOGUE.values())))
+
+
+def refresh_cells(
+    spark: SparkSession, silver: str, cells: str, months: list[tuple[int, int]] | None = None
+) -> None:
+    """Replace the stored cells of some months, or of all, by those of the clean table."""
+    fresh = kpi_cells(read_silver(spark, silver, months), by_month=True)
+    mode = "static" if months is None else "dynamic"
+    writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer.partitionBy(*CELL_MONTH).parquet(cells)
+    if months is not None:
+        kept = read_silver(spark, silver, months).select("year", "month").distinct().collect()
+        gone = set(months) - {(r["year"], r["month"]) for r in kept}
+        drop_months(spark, cells, gone, *CELL_MONTH)
+
+
 def run_gold(
     spark: SparkSession,
     silver: str,
     sink: KpiSink,
     months: list[tuple[int, int]] | None = None,
+    cells: str | None = None,
 ) -> dict[str, int]:
-    return write_gold(read_silver(spark, silver, months), sink)
+    """Write all KPI tables from the whole clean table.
+
+    With a folder for ``cells``, the sums and counts of each month are stored there; ``months``
+    then reads only these months of the clean table, and the KPIs are finished from the cells of
+    all months.
+    """
+    if cells is None:
+        if months is not None:
+            raise ValueError("to refresh some months, the cells of the others have to be stored")
+        return write_gold(read_silver(spark, silver), sink)
+    refresh_cells(spark, silver, cells, months)
+    return finish_kpis(spark.read.parquet(cells), sink)

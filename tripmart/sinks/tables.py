@@ -60,11 +60,17 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> Writt
     return Written(seen.get["rows"], months)
 
 
-def drop_months(spark: SparkSession, path: str, months: Iterable[tuple[int, int]]) -> None:
-    """Delete the folders of some months of the clean table; a missing one is no error."""
+def drop_months(
+    spark: SparkSession,
+    path: str,
+    months: Iterable[tuple[int, int]],
+    year_col: str = "year",
+    month_col: str = "month",
+) -> None:
+    """Delete the folders of some months of a table; a missing one is no error."""
     jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for year, month in months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year={year}/month={month}")
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{year_col}={year}/{month_col}={month}")
         folder.getFileSystem(settings).delete(folder, True)
 
 
