@@ -13,17 +13,35 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import IdFilter, connected_components, release, slices, stored
 from tripmart.llm.shingles import mix, shingle_sets
 
-BITS = 2_048
+LEAST_BITS, BITS_PER_SHINGLE = 1_024, 3
 FANOUT = 8
-BLOCK = 512
+BLOCK = 2_048
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    """The bitmap of a set: one bit per shingle, at a place that its hash gives."""
-    places = np.unique(shingles >> np.uint64(64 - int(math.log2(BITS))))
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[places.astype(np.int64)] = 1
-    return np.packbits(bits).tobytes()
+def signature(shingles: np.ndarray) -> np.ndarray:
+    """The bitmap of a set as 64-bit words: one bit per shingle, at a place that its hash gives.
+
+    The number of bits is a power of two in proportion to the set, so that large sets do not fill
+    it. Bitmaps of different lengths are comparable once the longer is folded.
+    """
+    width = LEAST_BITS
+    while width < BITS_PER_SHINGLE * len(shingles):
+        width *= 2
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def folded(bitmaps: list[np.ndarray], length: int | None = None) -> np.ndarray:
+    """The bitmaps that the same sets have at one smaller length in words; by default the least."""
+    lengths = np.array([len(b) for b in bitmaps])
+    length = int(lengths.min()) if length is None else length
+    out = np.empty((len(bitmaps), length), dtype=np.uint64)
+    for own in np.unique(lengths):
+        rows = np.nonzero(lengths == own)[0]
+        wide = np.stack([bitmaps[r] for r in rows]).view(np.uint64)
+        out[rows] = np.bitwise_or.reduce(wide.reshape(len(rows), own // length, length), axis=1)
+    return out
 
 
 def kept_for_prefix(n: int, num: int, den: int) -> int:
@@ -31,6 +49,11 @@ def kept_for_prefix(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1 if n else 0
 
 
+def kept_for_index(n: int, num: int, den: int) -> int:
+    """The same against partners that are not smaller: the overlap has to be larger then."""
+    return n - -(-2 * num * n // (num + den)) + 1 if n else 0
+
+
 class SignatureTree:
     """Levels of nodes over sets: the union of bitmaps, and ranges of sizes, of all sets below.
 
@@ -130,11 +153,12 @@ def _slim(docs: DataFrame, width: int, num: int, den: int, id_type: str) -> Data
                     "n": [len(s) for s in sets],
                     "node": [_node(s) for s in sets],
                     "prefix": [s[: kept_for_prefix(len(s), num, den)].astype(np.int64) for s in sets],
-                    "bits": [np.frombuffer(signature(s), dtype="<i8") for s in sets],
+                    "n_index": [kept_for_index(len(s), num, den) for s in sets],
+                    "bits": [signature(s) for s in sets],
                 }
             )
 
-    schema = f"doc_id {id_type}, n long, node long, prefix array<long>, bits array<long>"
+    schema = f"doc_id {id_type}, n long, node long, prefix array<long>, n_index int, bits array<long>"
     return docs.mapInPandas(make, schema)
 
 
@@ -160,17 +184,51 @@ def _overlap_is_enough(num: int, den: int) -> Column:
     return den * shared.cast("long") >= num * union.cast("long")
 
 
-def _signatures_allow(num: int, den: int) -> Column:
-    """The bound of a pair of tree leaves, on bitmaps as arrays of 64-bit words."""
+def _signatures_allow(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) of the pairs that their bitmaps leave possible: the bound of two leaves of a tree."""
+
+    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames, 5_000):
+            length = np.minimum(frame["bits_a"].map(len), frame["bits_b"].map(len)).to_numpy()
+            for own in np.unique(length):
+                part = frame[length == own]
+                n_a, n_b = part["n_a"].to_numpy(), part["n_b"].to_numpy()
+                x, y = (folded(list(part[c]), int(own)) for c in ("bits_a", "bits_b"))
+                both = np.bitwise_count(x & y).sum(1).astype(np.int64)
+                spare = np.minimum(
+                    n_a - np.bitwise_count(x).sum(1).astype(np.int64),
+                    n_b - np.bitwise_count(y).sum(1).astype(np.int64),
+                )
+                yield part.loc[(both + spare) * (num + den) >= num * (n_a + n_b), ["a", "b"]]
+
+    return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(make, "a long, b long")
 
-    def shared(x: Column, y: Column) -> Column:
-        return F.aggregate(
-            F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(q))), F.lit(0), lambda s, v: s + v
-        )
 
-    both = shared(F.col("bits_a"), F.col("bits_b")).cast("long")
-    most = both + F.least("spare_a", "spare_b")
-    return most * (num + den) >= num * (F.col("n_a") + F.col("n_b"))
+def _group_starts(frame: pd.DataFrame) -> list[int]:
+    key = frame[["shingle", "tree", "i", "j"]].to_numpy()
+    return [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist()]
+
+
+def _tree_candidates(frame: pd.DataFrame, cuts: list[int], num: int, den: int) -> Iterator[pd.DataFrame]:
+    """Candidates (a, b) of each tree, or block of trees, between two cuts of the frame."""
+    component = np.unique(frame["component"], return_inverse=True)[1].astype(np.int64)
+    home, member, is_home = (frame[c].to_numpy(dtype=bool) for c in ("home", "member", "is_home"))
+    node, n, bits = frame["node"].to_numpy(), frame["n"].to_numpy(), frame["bits"].tolist()
+    found = []
+    for start, end in zip(cuts, cuts[1:]):
+        ours = start + np.nonzero(home[start:end])[0]
+        theirs = start + np.nonzero(member[start:end])[0]
+        if not len(ours) or not len(theirs):
+            continue
+        bitmaps = folded(bits[start:end])
+        trees = [SignatureTree(bitmaps[r - start], n[r], component[r]) for r in (ours, theirs)]
+        for x, y in dual_traversal(*trees, num, den):
+            x, y = ours[x], theirs[y]
+            once = (node[x] < node[y]) | ~is_home[y]
+            found.append((node[x[once]], node[y[once]]))
+    if found:
+        a, b = (np.concatenate(v) for v in zip(*found))
+        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
 
 def ngram_components(
@@ -186,7 +244,7 @@ def ngram_components(
 
     Equal sets are one node. A forest of signature trees finds the candidates: a tree covers
     the sets of a size band that share one of their smallest shingles, as any two linked sets
-    do, and those of the next band. First every set is held against the tree's first set, which
+    do, and those of the next band; the smaller of two has it among its first half already. First every set is held against the tree's first set, which
     joins a large group of near copies by as many pairs as it has members. Then each tree with
     sets in different components is traversed against itself; node pairs are pruned by the most
     they can share, by size ranges, and where all below is one component already. Every candidate
@@ -202,35 +260,38 @@ def ngram_components(
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     slim = stored(_slim(texts, width, num, den, id_type), "shingles")
-    shingles = slim.where("n > 0").select("node", "n", F.explode("prefix").alias("shingle"))
+    # a linked pair shares a shingle of the shorter prefix of the smaller and the prefix of the other
+    shingles = slim.where("n > 0").select(
+        "node", "n", "n_index", F.posexplode("prefix").alias("at", "shingle")
+    ).select("node", "n", (F.col("at") < F.col("n_index")).alias("indexed"), "shingle")
     shared = (
         shingles.groupBy("shingle")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low <> high")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("indexed").alias("indexed"))
+        .where("low <> high and indexed")
         .select("shingle")
     )
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
     # equal sets become one member here, before anything is counted
     members = stored(
-        shingles.join(shared, "shingle").select("shingle", "node", "n").distinct(), "members"
+        shingles.join(shared, "shingle").select("shingle", "node", "n", "indexed").distinct(), "members"
     )
     # trees: (shingle, band) with the sets of the band, and of the next one as a second role
     roles = F.explode(
         F.array(
-            F.struct(band.alias("tree"), F.lit(True).alias("own")),
-            F.struct((band - 1).alias("tree"), F.lit(False).alias("own")),
+            F.struct(band.alias("tree"), F.lit(True).alias("own"), F.col("indexed").alias("home")),
+            F.struct((band - 1).alias("tree"), F.lit(False).alias("own"), F.lit(False).alias("home")),
         )
     )
     in_roles = members.select("shingle", "node", "n", roles.alias("r")).select(
-        "shingle", "node", "n", "r.tree", "r.own"
+        "shingle", "node", "n", "r.tree", "r.own", "r.home"
     )
     trees = (
         in_roles.groupBy("shingle", "tree")
         .agg(
             F.count("*").alias("k"),
-            F.min(F.when(F.col("own"), F.col("node"))).alias("first"),
-            F.bit_xor(F.xxhash64("node", "own")).alias("x1"),
-            F.bit_xor(F.xxhash64("own", "node", F.lit(1))).alias("x2"),
+            F.min(F.when(F.col("home"), F.col("node"))).alias("first"),
+            F.bit_xor(F.xxhash64("node", "own", "home")).alias("x1"),
+            F.bit_xor(F.xxhash64("home", "own", "node", F.lit(1))).alias("x2"),
         )
         .where("k > 1 and first is not null")
         # trees over the same sets are one tree
@@ -244,14 +305,8 @@ def ngram_components(
     in_forest = forest.select("node").distinct()
     bits = stored(
         slim.join(in_forest, "node", "left_semi")
-        .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("rep"),
-            F.max_by("bits", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("bits"),
-        )
-        .withColumn(
-            "ones", F.aggregate(F.transform("bits", F.bit_count), F.lit(0), lambda s, v: s + v).cast("long")
-        ),
+        .groupBy("node", "n")
+        .agg(F.min("doc_id").alias("rep"), F.first("bits").alias("bits")),
         "signatures",
     )
     rows_of = stored(slim.select("doc_id", "n", "node"), "nodes")
@@ -273,15 +328,10 @@ def ngram_components(
         .select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
         .distinct()
     )
-    sizes = rows_of.select("node", "n").distinct()
     for side in ("a", "b"):
-        about = bits.join(sizes, "node").select(
-            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"),
-            (F.col("n") - F.col("ones")).alias(f"spare_{side}"),
-        )
-        pairs = pairs.join(about, side)
+        pairs = pairs.join(bits.select("node", "n", "bits").toDF(side, f"n_{side}", f"bits_{side}"), side)
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-    links = checked(pairs.where(fits & _signatures_allow(num, den)), "first")
+    links = checked(_signatures_allow(pairs.where(fits), num, den), "first")
     joined = connected_components(links, "first-components")
 
     placed = stored(
@@ -294,50 +344,31 @@ def ngram_components(
         .where("low <> high")
         .select("shingle", "tree")
     )
-    in_blocks = placed.join(apart, ["shingle", "tree"]).withColumn(
+    # the first set was held against all others, so a tree of two has no pair left
+    in_blocks = placed.where("k > 2").join(apart, ["shingle", "tree"]).withColumn(
         "blocks", F.ceil(F.col("k") / block).cast("int")
     ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = ("shingle", "tree", "node", "n", "component", "own")
-    tasks = in_blocks.select(
-        *rows, F.lit(True).alias("home"), F.col("block").alias("i"), every.alias("j")
-    ).where("own").union(
-        in_blocks.select(*rows, F.lit(False), every.alias("i"), F.col("block").alias("j"))
-    ).join(bits.select("node", "bits"), "node")
-
-    def candidates(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        home, member = frame[frame["home"]], frame[~frame["home"]]
-        if home.empty or member.empty:
-            return
-        names, component = np.unique(frame["component"], return_inverse=True)
-        component = component.astype(np.int64)
-        mask = frame["home"].to_numpy()
-
-        def tree(part: pd.DataFrame, comp: np.ndarray) -> SignatureTree:
-            bitmaps = np.array(part["bits"].tolist(), dtype=np.int64).view(np.uint64)
-            return SignatureTree(bitmaps, part["n"].to_numpy(), comp)
-
-        ours, theirs = home["node"].to_numpy(), member["node"].to_numpy()
-        own = member["own"].to_numpy()
-        for x, y in dual_traversal(
-            tree(home, component[mask]), tree(member, component[~mask]), num, den
-        ):
-            a, b = ours[x], theirs[y]
-            once = (a < b) | ~own[y]
-            a, b = a[once], b[once]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")))
+    rows = ("shingle", "tree", "node", "n", "component", F.col("home").alias("is_home"))
+    own_block, yes, no = F.col("block"), F.lit(True), F.lit(False)
+    tasks = (
+        in_blocks.select(
+            *rows, F.col("home"), yes.alias("member"), own_block.alias("i"), own_block.alias("j")
+        )
+        .union(in_blocks.where("home").select(*rows, yes, no, own_block, others))
+        .union(in_blocks.select(*rows, no, yes, others, own_block))
+        .join(bits.select("node", "bits"), "node")
+    )
 
     def traverse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            key = frame[["shingle", "tree", "i", "j"]].to_numpy()
-            cuts = [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist()]
-            for start, end in zip(cuts, cuts[1:]):
-                yield from candidates(frame.iloc[start:end].reset_index(drop=True))
+            cuts = _group_starts(frame)
+            yield from _tree_candidates(frame, [*cuts], num, den)
             rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield from candidates(rest)
+            yield from _tree_candidates(rest, [0, len(rest)], num, den)
 
     more = checked(
         tasks.repartition("shingle", "tree", "i", "j")
