@@ -17,6 +17,8 @@ from tripmart.sources.landing import land
 def _sink(args: argparse.Namespace) -> KpiSink:
     if args.sink == "mongodb":
         return KpiSink.mongodb_from_env()
+    if args.sink == "table":
+        return KpiSink(kind="table", database=args.out)
     return KpiSink(kind=args.sink, path=args.out)
 
 
@@ -35,7 +37,9 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("gold", help="compute all KPI tables")
     job.add_argument("silver")
     job.add_argument("out", nargs="?")
-    job.add_argument("--sink", default="parquet", choices=("parquet", "json", "mongodb"))
+    job.add_argument("--sink", default="parquet", choices=("parquet", "json", "table", "mongodb"))
+    job.add_argument("--cells", help="folder that keeps the sums and counts of each month")
+    job.add_argument("--month", action="append", help="refresh just this month of the cells")
     job = jobs.add_parser("train", help="train and save the price model")
     job.add_argument("silver")
     job.add_argument("model")
@@ -45,15 +49,16 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tripmart-{args.job}").getOrCreate()
+    named = getattr(args, "month", None) or []
+    months = [tuple(map(int, month.split("-"))) for month in named] or None
     if args.job == "land":
         print(land(spark, default_sources(args.raw), args.bronze))
-    elif args.job == "silver" and args.month:
-        months = [tuple(map(int, month.split("-"))) for month in args.month]
+    elif args.job == "silver" and months:
         print(run_silver_by_month(spark, args.bronze, args.silver, months))
     elif args.job == "silver":
         print(run_silver(spark, args.bronze, args.silver, replace_all=not args.only_months))
     elif args.job == "gold":
-        print(run_gold(spark, args.silver, _sink(args)))
+        print(run_gold(spark, args.silver, _sink(args), months, args.cells))
     elif args.job == "train":
         training = run_training(spark, args.silver, args.model)
         training.comparison.show(truncate=False)
