@@ -75,14 +75,16 @@ def _unit(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _pairs_in_cell(frame: pd.DataFrame, lattices: Lattices, cosine: float):
-    """Linked pairs of a cell that were not found earlier: rows of ``frame`` (member, home)."""
-    unit = _unit(frame["vector"])
-    ids = frame["rep"].to_numpy()
-    homes = np.nonzero(frame["home"].to_numpy())[0]
-    members = np.nonzero(frame["member"].to_numpy())[0]
-    if not len(homes) or not len(members):
-        return np.zeros(0, int), np.zeros(0, int)
+def _pairs_in_cell(
+    unit: np.ndarray,
+    ids: np.ndarray,
+    homes: np.ndarray,
+    members: np.ndarray,
+    cell: int,
+    lattices: Lattices,
+    cosine: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs (member, home) of rows of a cell, unless they were found earlier."""
     a, b = np.nonzero(unit[members] @ unit[homes].T >= cosine - 1e-9)
     a, b = members[a], homes[b]
     different = ids[a] != ids[b]
@@ -92,20 +94,16 @@ def _pairs_in_cell(frame: pd.DataFrame, lattices: Lattices, cosine: float):
     # cosine once more as a plain sum, so that a pair's value does not depend on its block
     exact = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
     a, b = a[exact], b[exact]
-    looks = lattices.cells(unit)
-    cell = int(frame["cell"].iloc[0])
+    used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    looks = lattices.cells(unit[used])
+    of_a, of_b = looks[place[: len(a)]], looks[place[len(a) :]]
     first = np.ones(len(a), dtype=bool)
-    table = None
     for t in range(lattices.tables):
-        if (looks[b, t, 0] == cell).all():  # homes of a cell have it in its own table
-            table = t
+        back = (of_b[:, t] == of_a[:, t, :1]).any(1)  # the home's own looks reach the member
+        if (of_b[:, t, 0] == cell).all():  # homes of a cell have it in its own table
+            first &= ~back | (ids[a] < ids[b])
             break
-        first &= ~(
-            (looks[a, t] == looks[b, t, :1]).any(1) | (looks[b, t] == looks[a, t, :1]).any(1)
-        )
-    if table is not None:
-        back = (looks[b, table] == looks[a, table, :1]).any(1)  # the other one finds this one too
-        first &= ~back | (ids[a] < ids[b])
+        first &= ~((of_a[:, t] == of_b[:, t, :1]).any(1) | back)
     return a[first], b[first]
 
 
@@ -211,36 +209,43 @@ def near_vectors(
     def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[int, Lattices] = {}
 
-        def of(group: pd.DataFrame) -> pd.DataFrame:
+        def of(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame | None:
+            """Links of the cells between the cuts; vectors of one length at a time."""
+            ids, copies = frame["rep"].to_numpy(), frame["copies"].to_numpy()
+            home, member, cell = (frame[c].to_numpy() for c in ("home", "member", "cell"))
+            lengths = frame["vector"].map(len).to_numpy()
             parts = []
-            for size, part in group.groupby(group["vector"].map(len)):
-                part = part.reset_index(drop=True)
-                lattices = made.setdefault(size, Lattices(size, tables))
-                a, b = _pairs_in_cell(part, lattices, cosine)
-                if not len(a):
-                    continue
-                copies, ids = part["copies"].to_numpy(), part["rep"].to_numpy()
-                links = np.bincount(a, copies[b], len(part)) + np.bincount(b, copies[a], len(part))
-                root = _roots(a, b, len(part))
-                got = links > 0
-                parts.append(
-                    pd.DataFrame(
-                        {"rep": ids[got], "links": links[got].astype(np.int64), "other": ids[root[got]]}
-                    )
-                )
-            return pd.concat(parts) if parts else None
+            for size in np.unique(lengths):
+                rows = np.nonzero(lengths == size)[0]
+                lattices = made.setdefault(int(size), Lattices(int(size), tables))
+                unit = np.zeros((len(frame), size))
+                unit[rows] = _unit(frame["vector"].iloc[rows])
+                for start, end in zip(cuts, cuts[1:]):
+                    own = rows[np.searchsorted(rows, start) : np.searchsorted(rows, end)]
+                    homes, members = own[home[own]], own[member[own]]
+                    if not len(homes) or len(own) < 2:
+                        continue
+                    a, b = _pairs_in_cell(unit, ids, homes, members, int(cell[start]), lattices, cosine)
+                    if not len(a):
+                        continue
+                    a, b, n = a - start, b - start, end - start
+                    links = np.bincount(a, copies[b + start], n) + np.bincount(b, copies[a + start], n)
+                    got = np.nonzero(links)[0]
+                    root = _roots(a, b, n)[got]
+                    parts.append((ids[got + start], links[got].astype(np.int64), ids[root + start]))
+            if not parts:
+                return None
+            return pd.DataFrame(dict(zip(("rep", "links", "other"), map(np.concatenate, zip(*parts)))))
 
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             key = frame[["cell", "i", "j"]].to_numpy()
-            starts = np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1
-            bounds = [0, *starts.tolist()]
-            for start, end in zip(bounds, bounds[1:]):
-                if end - start > 1 and (found := of(frame.iloc[start:end].reset_index(drop=True))) is not None:
-                    yield found
-            rest = frame.iloc[bounds[-1] :].reset_index(drop=True)
-        if rest is not None and len(rest) > 1 and (found := of(rest)) is not None:
+            cuts = [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist()]
+            if (found := of(frame.iloc[: cuts[-1]], cuts)) is not None:
+                yield found
+            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
+        if rest is not None and len(rest) and (found := of(rest, [0, len(rest)])) is not None:
             yield found
 
     found = stored(
