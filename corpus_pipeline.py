@@ -25,6 +25,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below one half; documents without text stay."""
+    ready(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.score_column(spark, model)("text") < 0.5)
 
@@ -34,6 +35,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows that repeat an id are one document and stay or go together.
     """
+    ready(spark)
     classes = ngram_join.ngram_components(docs, width=5, num=80, den=100)
     copies = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     return _without(docs, copies.select("doc_id"))
@@ -41,6 +43,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage."""
+    ready(spark)
     found = tiling.find_passages(docs, table(spark, sf_dir, "benchmark"))
     return _without(docs, found.select("doc_id"))
 
@@ -52,6 +55,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1,024 tokens and their places in sequences."""
+    ready(spark)
     pieces = packing.token_pieces(docs)
     slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(slim)
