@@ -17,10 +17,12 @@ KEY = "example key"  # of the surrogates; a real run sets its own
 ORACLE_SQL = None  # trained weights, tiling, keyed surrogates and packing have no SQL
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose id is not in ``ids`` (one column); a null id is an id like others."""
-    named = ids.toDF("__id").distinct()
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+def _with_row_key(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, ``__row``; written once, so that it stays the same.
+
+    Ids can be null or repeated, so what a stage decides on is the row.
+    """
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,19 +35,31 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that five-word shingles link at 0.8 or more, the one with the least id.
 
-    Rows that repeat an id are one document and stay or go together.
+    Each row is a document, whether its id is null, repeated or its own: of rows with the same least
+    id one stays, and a null id comes after all others. Texts without words link with nothing.
     """
     ready(spark)
-    classes = ngram_join.ngram_components(docs, width=5, num=80, den=100)
-    copies = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _without(docs, copies.select("doc_id"))
+    rows = _with_row_key(docs)
+    classes = ngram_join.ngram_components(rows, width=5, num=80, den=100, id_col="__row")
+    numbered = classes.select(F.col("doc_id").alias("__row"), "component_id")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
+    kept = (
+        rows.select("__row", "doc_id")
+        .join(numbered, "__row")
+        .groupBy("component_id")
+        .agg(least.alias("least"))
+        .select("least.__row")
+    )
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
+    """Documents that hold no benchmark passage; each row is judged by its own text."""
     ready(spark)
-    found = tiling.find_passages(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.select("doc_id"))
+    rows = _with_row_key(docs)
+    found = tiling.find_passages(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
+    rejected = found.select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(rejected, "__row", "left_anti").select(docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

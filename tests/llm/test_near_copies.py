@@ -220,3 +220,28 @@ def test_stages_on_odd_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = corpus_pipeline.stored(stage(spark, empty, SF_DIR), "test")
     assert empty.count() == 0
+
+
+def test_near_copies_and_passages_are_decided_by_row(spark):
+    copied, own = " ".join(f"c{k}" for k in range(30)), " ".join(f"o{k}" for k in range(30))
+    orphan, late = " ".join(f"n{k}" for k in range(30)), " ".join(f"l{k}" for k in range(30))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, copied), (None, copied), (None, own), (None, orphan), (None, orphan),
+            (2, copied), (2, late), (3, late), (3, "x " + own[:20]), (4, None), (4, None), (None, None)]
+    docs = ready(spark).createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], schema)
+    kept = corpus_pipeline.one_of_near_copies(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    expected = [(1, copied), (None, own), (None, orphan), (2, late), (3, "x " + own[:20]), (4, None), (4, None), (None, None)]
+    assert left == sorted(expected, key=str)
+
+    equal = docs.where("doc_id = 1").union(docs.where("doc_id = 1"))
+    assert corpus_pipeline.one_of_near_copies(spark, equal, SF_DIR).count() == 1
+
+    passage = table(spark, SF_DIR, "benchmark").orderBy("item_id").first().text
+    rows = [(None, passage), (None, own), (5, passage), (5, own), (6, own), (6, own), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    clean = corpus_pipeline.decontaminate(spark, docs, SF_DIR)
+    assert clean.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in clean.collect()), key=str)
+    assert left == sorted([(None, own), (5, own), (6, own), (6, own), (None, None)], key=str)
