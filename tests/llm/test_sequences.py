@@ -96,6 +96,40 @@ def test_local_search_empties_bins_that_best_fit_leaves():
     assert fewer
 
 
+def test_local_search_looks_beyond_room_without_gain():
+    bins = packing.Bins([10, 10, 11, 12, 13, 53, 80], 100)
+    # the second bin would give back 10 to 13 for the 10 of the first; the third takes it whole
+    bins.items, bins.fill = [[0], [1, 2, 3, 4, 5], [6]], [10, 99, 80]
+    bins.search()
+    assert bins.open_bins() == 2 and sorted(bins.fill) == [0, 90, 99]
+
+
+def _no_step_is_left(bins, source):
+    own = bins.items[source]
+    offers = [(a,) for a in own] + list(itertools.combinations(own, 2))
+    for where, items in enumerate(bins.items):
+        if where != source and items and bins.fill[source] <= bins.fill[where] < bins.capacity:
+            for out, back in itertools.product(offers, [None, *items]):
+                gain = sum(bins.lengths[i] for i in out) - (bins.lengths[back] if back is not None else 0)
+                if 0 < gain <= bins.capacity - bins.fill[where]:
+                    return False
+    return True
+
+
+def test_local_search_leaves_no_step():
+    for seed in range(40):
+        bins = packing.Bins(np.random.default_rng(seed).integers(5, 60, 60).tolist(), 100)
+        bins.best_fit()
+        source = min(range(len(bins.items)), key=lambda i: bins.fill[i])
+        room = packing.Room(bins)
+        for where in range(len(bins.items)):
+            if where != source and bins.fill[where] < bins.capacity:
+                room.enter(where)
+        bins._drain(source, room)
+        assert _no_step_is_left(bins, source)
+        assert all(sum(bins.lengths[i] for i in b) == f <= 100 for b, f in zip(bins.items, bins.fill))
+
+
 def test_empty_tables(spark):
     none = ready(spark).createDataFrame([], DOCS)
     assert packing.pack(packing.token_pieces(none)).count() == 0

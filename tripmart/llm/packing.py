@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -118,56 +119,56 @@ class Bins:
 
         What leaves it is a single item (a move), an item for a shorter one, or two items for
         a shorter one. Each step moves length from a less filled bin to a fuller one, so the sum
-        of squared fill rises and the search ends.
+        of squared fill rises and the search ends: when a round over all bins changes nothing.
         """
-        sources = [i for i, x in enumerate(self.items) if x and self.fill[i] < self.capacity]
-        sources.sort(key=lambda i: self.fill[i])
-        for source in sources:
-            free = sum(self.capacity - self.fill[i] for i in sources if self.items[i])
-            if free - (self.capacity - self.fill[source]) < self.fill[source]:
+        before = None
+        while self.open_bins() > self.fewest() and before != (now := sum(f * f for f in self.fill)):
+            before = now
+            self._round()
+
+    def _round(self) -> None:
+        room = Room(self)
+        free = sum(self.capacity - f for f, items in zip(self.fill, self.items) if items)
+        waiting = [(f, i) for i, f in enumerate(self.fill) if self.items[i] and f < self.capacity]
+        for _, where in waiting:
+            room.enter(where)
+        heapq.heapify(waiting)
+        while waiting:
+            fill, source = heapq.heappop(waiting)
+            if fill != self.fill[source]:  # it has taken something meanwhile
+                if self.fill[source] < self.capacity:
+                    heapq.heappush(waiting, (self.fill[source], source))
+                continue
+            if free - (self.capacity - fill) < fill:
                 return  # all the room elsewhere could not hold what is in it
-            self._drain(source)
-
-    def _drain(self, source: int) -> None:
-        # what a bin can take: room[v] has the (bin, item given back) for which v is the gap left
-        room: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for where, items in enumerate(self.items):
-            gap = self.capacity - self.fill[where]
-            if gap and items and where != source and self.fill[where] >= self.fill[source]:
-                room[gap].append((where, -1))
-                for item in items:
-                    room[gap + self.lengths[item]].append((where, item))
-        sizes = sorted(room)
-        if not sizes:
-            return
-        stale: set[int] = set()
+            room.leave(source)  # for the rest of the round, so that what takes is never less filled
+            self._drain(source, room)
+            if not self.items[source]:
+                free -= self.capacity
+
+    def _drain(self, source: int, room: Room) -> None:
+        """Steps out of one bin until none of the three kinds is left, whatever bin it leads to."""
         while self.items[source]:
             best = None
             own = sorted(self.items[source], key=lambda i: -self.lengths[i])
-            offers = [(self.lengths[a], (a,)) for a in own]
-            offers += [
-                (self.lengths[a] + self.lengths[b], (a, b))
-                for i, a in enumerate(own)
-                for b in own[i + 1 :]
-            ]
-            for total, leaving in offers:
-                at = int(np.searchsorted(sizes, total))
-                for size in sizes[at : at + 4]:
-                    for where, back in room[size]:
-                        if where in stale:
-                            continue
-                        gain = total - (self.lengths[back] if back >= 0 else 0)
-                        if gain <= 0:
-                            continue
-                        # a perfect fit first, then the most length moved
-                        rank = (size == total, gain if size != total else 1, gain)
-                        if best is None or rank > best[0]:
-                            best = (rank, leaving, where, back)
-                if best and best[0][0]:
-                    break
+            offers = {self.lengths[a]: (a,) for a in own}
+            for i, a in enumerate(own):
+                for b in own[i + 1 :]:
+                    offers.setdefault(self.lengths[a] + self.lengths[b], (a, b))
+            for total, leaving in offers.items():
+                size = room.tightest(total)
+                if size is None:
+                    continue
+                gain = total - room.least[size]
+                # a perfect fit first, then the most length moved
+                rank = (size == total, gain if size != total else 1, gain)
+                if best is None or rank > best[0]:
+                    best = (rank, leaving, size)
             if best is None:
                 return
-            _, leaving, where, back = best
+            _, leaving, size = best
+            where, back = room.first(size)
+            room.leave(where)
             moved = sum(self.lengths[i] for i in leaving)
             for item in leaving:
                 self.items[source].remove(item)
@@ -178,17 +179,57 @@ class Bins:
                 moved -= self.lengths[back]
             self.fill[source] -= moved
             self.fill[where] += moved
-            stale.add(where)  # its entries no longer hold; it is looked at again by the next source
+            room.enter(where)
+
+
+class Room:
+    """What bins can take: by size, the bins with that gap once they gave back one item or none."""
+
+    def __init__(self, bins: Bins):
+        self.bins = bins
+        # (length given back, bin, item given back, changes the bin had seen), the least first
+        self.held: list[list[tuple[int, int, int, int]]] = [[] for _ in range(bins.capacity + 1)]
+        self.changes: dict[int, int] = defaultdict(int)
+        # the length given back by the first of each size, which always holds
+        self.least = np.full(bins.capacity + 1, bins.capacity + 1, dtype=np.int64)
+
+    def _entries(self, where: int) -> Iterator[tuple[int, int, int]]:
+        gap = self.bins.capacity - self.bins.fill[where]
+        yield gap, 0, -1
+        for item in self.bins.items[where]:
+            yield gap + self.bins.lengths[item], self.bins.lengths[item], item
+
+    def enter(self, where: int) -> None:
+        if self.bins.fill[where] == self.bins.capacity:
+            return
+        for size, back, item in self._entries(where):
+            heapq.heappush(self.held[size], (back, where, item, self.changes[where]))
+            self.least[size] = self.held[size][0][0]
+
+    def leave(self, where: int) -> None:
+        """To be called before the bin changes; its entries are dropped when they come first."""
+        self.changes[where] += 1
+        for size in {size for size, _, _ in self._entries(where)}:
+            held = self.held[size]
+            while held and held[0][3] != self.changes[held[0][1]]:
+                heapq.heappop(held)
+            self.least[size] = held[0][0] if held else self.bins.capacity + 1
+
+    def tightest(self, total: int) -> int | None:
+        """The least size that takes so much and gives back less."""
+        useful = self.least[total:] < total
+        at = int(useful.argmax())
+        return total + at if useful[at] else None
+
+    def first(self, size: int) -> tuple[int, int]:
+        return self.held[size][0][1:3]
 
 
 def pack_group(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bin number, offset in the bin, and the bin's fill, for each length."""
     bins = Bins(lengths, capacity)
     bins.best_fit()
-    before = None
-    while bins.open_bins() > bins.fewest() and before != bins.open_bins():
-        before = bins.open_bins()
-        bins.search()
+    bins.search()
     number = np.zeros(len(bins.lengths), dtype=np.int64)
     offset = np.zeros(len(bins.lengths), dtype=np.int64)
     fill = np.zeros(len(bins.lengths), dtype=np.int64)
