@@ -256,10 +256,12 @@ def _packer(capacity: int, level: int):
 def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; every other column is kept.
 
-    Pieces are dealt at random into groups of about ``group_rows``, each packed in one task by best
-    fit and local search. Sequences that end up less than nearly full are dissolved, and their
-    pieces packed again in fewer groups, until one group holds the rest, so what is wasted is
-    a few sequences in all, not in each group. Lengths have to lie between 1 and ``capacity``.
+    Pieces are dealt into groups of about ``group_rows``, each packed in one task by best fit and
+    local search. Sequences with a gap over a 64th of the capacity are dissolved, and their pieces
+    packed again in fewer groups; the others stay as they are. That ends when one group holds the
+    rest, or with several groups as they are when a level had more than half of the pieces of the
+    one before. So what is wasted grows with the input: the gaps of the sequences that stay and,
+    in the second case, underfull ones in each group. Lengths have to lie between 1 and ``capacity``.
 
     Repeated rows are packed as often as they come. An empty table gives no rows. Columns named
     ``sequence_id`` or ``offset`` in the input are replaced.
