@@ -201,3 +201,18 @@ def test_odd_rows_are_sharded(odd):
     out = sharding.shard_documents(odd).toPandas()
     assert len(out) == len(ODD) and out["size"].min() == 16 and out["doc_id"].isna().sum() == 1
     assert out[out.doc_id == 2].text_crc32.tolist() == [0]
+
+
+def test_rows_of_one_id_are_dealt_to_many_groups(spark, monkeypatch):
+    pieces = ready(spark).range(900).select(F.lit(7).alias("doc_id"), F.lit(0).alias("piece"), (F.col("id") % 300 + 1).alias("length"))
+    out = packing.pack(pieces, capacity=1024, group_rows=100).toPandas()
+    first = out[out.sequence_id < 1 << 56]
+    assert out.columns.tolist() == ["doc_id", "piece", "length", "sequence_id", "offset"] and len(out) == 900
+    assert len(set(first.sequence_id // (1 << 24))) >= 5
+
+    seen = []
+    monkeypatch.setattr(sharding, "stored", lambda df, label: seen.append(df) or df)
+    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    out = sharding.shard_documents(docs, 2, block_rows=50).toPandas()
+    assert all(sorted(s) == list(range(len(s))) for _, s in out.groupby("shard").slot)
+    assert seen[0].select("row").distinct().count() == 400

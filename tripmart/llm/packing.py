@@ -256,7 +256,7 @@ def _packer(capacity: int, level: int):
 def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; every other column is kept.
 
-    Pieces are dealt into groups of about ``group_rows``, each packed in one task by best fit and
+    Pieces are dealt evenly, whatever their ids, into groups of about ``group_rows``, each packed in one task by best fit and
     local search. Sequences with a gap over a 64th of the capacity are dissolved, and their pieces
     packed again in fewer groups; the others stay as they are. That ends when one group holds the
     rest, or with several groups as they are when a level had more than half of the pieces of the
@@ -266,7 +266,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS)
     Repeated rows are packed as often as they come. An empty table gives no rows. Columns named
     ``sequence_id`` or ``offset`` in the input are replaced.
     """
-    kept = pieces.drop("sequence_id", "offset")
+    # rows are dealt by a number of their own: ids may be null or repeated
+    kept = pieces.drop("sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id())
     names, types = kept.columns, [f.dataType.simpleString() for f in kept.schema]
     schema = ", ".join(
         f"`{n}` {t}" for n, t in zip([*names, "sequence_id", "offset", "__fill"], [*types, "long", "long", "long"])
@@ -275,10 +276,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS)
     while True:
         count = waiting.count()
         groups = max(1, -(-count // group_rows))
-        seed = F.lit(level)
-
-        key = [c for c in ("doc_id", "piece") if c in names] or names
-        spread = waiting.withColumn("__group", F.pmod(F.xxhash64(*key, seed), F.lit(groups)))
+        spread = waiting.withColumn("__group", F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(groups)))
         result = stored(spread.groupBy("__group").applyInPandas(_packer(capacity, level), schema), "packed")
         if groups == 1 or (before is not None and count > before / 2):  # packing again gains little
             done.append(result)
@@ -290,4 +288,4 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS)
     out = done[0]
     for part in done[1:]:
         out = out.union(part)
-    return out.drop("__fill")
+    return out.drop("__fill", "__row")

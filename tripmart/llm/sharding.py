@@ -107,7 +107,7 @@ def shard_documents(
     a large group, are looked at once more, 1,024 times finer, before the final cuts. A shard is
     then a function of the text's hash, so no row is joined to find it.
 
-    Slots count gaplessly from 0 in each shard: rows of a shard are dealt by id into blocks of
+    Slots count gaplessly from 0 in each shard: rows of a shard are dealt, whatever their ids, into blocks of
     about ``block_rows``, numbered inside the block and shifted by the rows in earlier blocks, so a
     shard with a third of all rows is no single task.
 
@@ -122,6 +122,7 @@ def shard_documents(
             (F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
             F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),
             F.shiftrightunsigned(F.xxhash64(text_col), fine).alias("run"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shards",
     )
@@ -153,7 +154,7 @@ def shard_documents(
     blocks = max(1, -(-total // block_rows))
     placed = rows.select(
         "doc_id", "size", "text_crc32", shard.cast("int").alias("shard"),
-        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
+        F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"),
     )
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("shard", "block").agg(F.count("*").alias("n")).select(
