@@ -19,9 +19,12 @@ COLUMNS = {
     "op8_trigram_secrets": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op9_lattice_vectors": "vec_id n_links component_id kept",
     "op10_surrogate_personal_data": "doc_id text n_entities kinds",
+    "op11_max_sketch_search": "item_id rank doc_id score",
+    "op12_class_ngrams": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op13_truncated_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "pipeline": "doc_id piece start length ids_crc32 sequence_id offset",
 }
-PER_DOCUMENT = [q for q in COLUMNS if q.split("_")[0] in ("op4", "op5", "op6", "op7", "op8", "op10")]
+PER_DOCUMENT = [q for q in COLUMNS if q.split("_")[0] in ("op4", "op5", "op6", "op7", "op8", "op10", "op12")]
 
 
 def test_all_are_registered():
