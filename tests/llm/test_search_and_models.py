@@ -151,7 +151,7 @@ def plain_scores(docs, training, model):
     return rows
 
 
-@pytest.mark.parametrize("known", [0, 3, 1000])
+@pytest.mark.parametrize("known", [0, 4, 1000])
 def test_class_scores_equal_plain_ones(spark, known):
     rng = random.Random(3)
     vocabulary = ["Der", "der", "haus", "häuser", "x", "of", "the", "Bäume hoch", "q1", "zzz"]
@@ -169,6 +169,12 @@ def test_class_scores_equal_plain_ones(spark, known):
     assert order(found) == order(expected)
 
 
+def test_most_frequent_words_of_one_count_stay_together(spark):
+    counts = spark.createDataFrame([(b"a", 5), (b"c", 3), (b"b", 3), (b"d", 1)], "word binary, n long")
+    found = [list(class_model.most_frequent(counts, most)) for most in range(5)]
+    assert found == [[], [b"a"], [b"a"], [b"a", b"b", b"c"], [b"a", b"b", b"c", b"d"]]
+
+
 def test_probabilities_add_up_to_one(spark):
     train = documents(spark, (1, "a b a c a b"), (2, "b a d"), (3, None))
     model = class_model.train(train, head_words=2, endings=2, n_classes=4)
