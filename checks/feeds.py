@@ -150,6 +150,41 @@ def trips_with_weather(spark, sf_dir):
     return weather.with_weather(inputs.silver_trips(spark, sf_dir), hours)
 
 
+_READINGS = """
+readings AS (
+  SELECT o_orderdate + to_minutes(CAST(o_orderkey * 7 % 1440 AS INTEGER)) AS weather_time,
+         CAST(max(floor(o_totalprice / 10000.0e0)) AS DOUBLE) AS temperature_2m,
+         count(*) / 4.0e0 AS precipitation
+  FROM orders GROUP BY 1
+)"""
+
+
+@check(
+    "trips_with_latest_weather",
+    f"""WITH {SILVER}, {_READINGS}, latest AS (
+      SELECT silver.*, w.weather_time, w.temperature_2m, w.precipitation,
+        w.weather_time >= pickup_datetime - INTERVAL 3 HOUR AS valid
+      FROM silver ASOF LEFT JOIN readings w ON silver.pickup_datetime >= w.weather_time)
+    SELECT * EXCLUDE (valid) REPLACE (CASE WHEN valid THEN weather_time END AS weather_time,
+      CASE WHEN valid THEN temperature_2m END AS temperature_2m,
+      CASE WHEN valid THEN precipitation END AS precipitation) FROM latest""",
+)
+def trips_with_latest_weather(spark, sf_dir):
+    """Readings at any minute; a trip has the last one of three hours."""
+    minute = F.make_dt_interval(mins=(F.col("o_orderkey") * 7 % 1440).cast("int"))
+    at = (F.col("o_orderdate") + minute).cast("timestamp")
+    readings = inputs.table(spark, sf_dir, "orders").groupBy(at.alias("weather_time")).agg(
+        F.max(F.floor(F.col("o_totalprice") / 10000.0)).cast("double").alias("temperature_2m"),
+        (F.count("*") / 4.0).alias("precipitation"),
+    )
+    return weather.with_latest_weather(
+        inputs.silver_trips(spark, sf_dir),
+        readings,
+        variables=("temperature_2m", "precipitation"),
+        time_col="weather_time",
+    )
+
+
 @check(
     "weather_price_correlations",
     f"WITH {_ENRICHED} "

@@ -133,6 +133,30 @@ def kpi_sink_parquet(spark, sf_dir):
     return read_kpi(spark, kpi, sink)
 
 
+def _two_kpi_versions(spark, sf_dir) -> KpiSink:
+    """KPIs of all trips, and then of card payments only."""
+    sink = KpiSink(path=scratch_path(spark, "gold"), versioned=True)
+    trips = inputs.stored_silver(spark, sf_dir)
+    write_gold(trips, sink)
+    write_gold(trips.where("payment_type = 1"), sink)
+    return sink
+
+
+@check("kpi_snapshot_as_of", f"WITH {SILVER} {KPI_SQL['kpi_daily_revenue']}")
+def kpi_snapshot_as_of(spark, sf_dir):
+    sink = _two_kpi_versions(spark, sf_dir)
+    return read_kpi(spark, CATALOGUE["kpi_daily_revenue"], sink, version=1)
+
+
+@check(
+    "kpi_snapshot_newest",
+    f"WITH {SILVER.replace('silver AS', 'all_trips AS')}, silver AS (SELECT * FROM all_trips WHERE payment_type = 1) "
+    + KPI_SQL["kpi_monthly_stats"],
+)
+def kpi_snapshot_newest(spark, sf_dir):
+    return read_kpi(spark, CATALOGUE["kpi_monthly_stats"], _two_kpi_versions(spark, sf_dir))
+
+
 @check("kpi_sink_json", f"WITH {SILVER} {KPI_SQL['kpi_monthly_stats']}")
 def kpi_sink_json(spark, sf_dir):
     kpi = CATALOGUE["kpi_monthly_stats"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.registry import check
-from checks.sql import SAMPLES, gauges, rates
+from checks.sql import SAMPLES, gauges, gauges_on_grid, rates, rates_on_grid
 from tripmart.operators import counters
 
 
@@ -108,3 +108,82 @@ def host_last_hour(spark, sf_dir):
         "ts",
         "value",
     )
+
+
+# evaluated at regular times, as panels are
+
+STEP = 60  # seconds
+_IDLE = "metric = 'node_cpu_seconds_total' AND mode = 'idle'"
+
+
+@check(
+    "host_cpu_busy_on_grid",
+    f"""WITH {rates_on_grid(_IDLE, "metric, instance, cpu", STEP)}
+    SELECT instance, ts, 100 - avg(rate) * 100 AS cpu_busy_percent FROM rates GROUP BY 1, 2""",
+)
+def host_cpu_busy_on_grid(spark, sf_dir):
+    return counters.cpu_busy_percent(inputs.metric_samples(spark, sf_dir), step=STEP)
+
+
+@check(
+    "host_disk_rates_on_grid",
+    f"""WITH {rates_on_grid("metric LIKE 'node_disk%'", "metric, instance, device", STEP)}
+    SELECT * FROM rates""",
+)
+def host_disk_rates_on_grid(spark, sf_dir):
+    return counters.disk_rates(inputs.metric_samples(spark, sf_dir), step=STEP)
+
+
+@check(
+    "host_network_rates_on_grid",
+    f"""WITH {rates_on_grid("metric LIKE 'node_network%' AND device <> 'lo'", "metric, instance, device", STEP)}
+    SELECT * FROM rates""",
+)
+def host_network_rates_on_grid(spark, sf_dir):
+    return counters.network_rates(inputs.metric_samples(spark, sf_dir), step=STEP)
+
+
+_MEMORY_ON_GRID = gauges_on_grid(
+    "true",
+    "instance",
+    STEP,
+    available="node_memory_MemAvailable_bytes",
+    total="node_memory_MemTotal_bytes",
+)
+
+
+@check(
+    "host_memory_used_on_grid",
+    f"WITH {_MEMORY_ON_GRID} SELECT instance, ts, (1 - available / total) * 100 AS memory_used_percent "
+    "FROM wide",
+)
+def host_memory_used_on_grid(spark, sf_dir):
+    return counters.memory_used_percent(inputs.metric_samples(spark, sf_dir), step=STEP)
+
+
+_DISK_ON_GRID = gauges_on_grid(
+    "fstype <> 'tmpfs'",
+    "instance, mountpoint, fstype",
+    STEP,
+    available="node_filesystem_avail_bytes",
+    size="node_filesystem_size_bytes",
+)
+
+
+@check(
+    "host_disk_used_on_grid",
+    f"""WITH {_DISK_ON_GRID} SELECT instance, mountpoint, fstype, ts,
+      100 - available * 100 / size AS disk_used_percent FROM wide""",
+)
+def host_disk_used_on_grid(spark, sf_dir):
+    return counters.disk_used_percent(inputs.metric_samples(spark, sf_dir), step=STEP)
+
+
+_LOAD_ON_GRID = gauges_on_grid(
+    "true", "instance", STEP, load_1m="node_load1", load_5m="node_load5", load_15m="node_load15"
+)
+
+
+@check("host_load_averages_on_grid", f"WITH {_LOAD_ON_GRID} SELECT * FROM wide")
+def host_load_averages_on_grid(spark, sf_dir):
+    return counters.load_averages(inputs.metric_samples(spark, sf_dir), step=STEP)

@@ -19,6 +19,7 @@ from tripmart.functions.temporal import (
 from tripmart.operators import cleaning
 from tripmart.plans.runs import record
 from tripmart.plans.silver import run_silver, run_silver_by_month
+from tripmart.sinks.snapshots import changed_parts, manifest
 from tripmart.sinks.tables import write_silver
 from tripmart.sources.landing import land
 from tripmart.sources.trips import read_bronze, read_silver, union_by_name
@@ -104,6 +105,93 @@ def silver_month_emptied(spark, sf_dir):
     return read_silver(spark, silver)
 
 
+_BY_PART = "'year=' || year || '/month=' || month AS part"
+
+
+def _two_versions(spark, sf_dir) -> str:
+    """All months, and then Mays without a valid trip and Junes at a price of 7 only."""
+    silver, changed = scratch_path(spark, "silver"), scratch_path(spark, "bronze")
+    run_silver(spark, _written_bronze(spark, sf_dir), silver)
+    month, trips = F.month("pickup_datetime"), inputs.bronze_trips(spark, sf_dir)
+    price = F.when(month == 5, -1.0).otherwise(7.0)
+    trips.where(month.isin(5, 6)).withColumn("fare_amount", price).write.parquet(changed)
+    run_silver(spark, changed, silver, replace_all=False)
+    return silver
+
+
+# the second version: Mays are gone, Junes are made of the raw trips at the other price
+_CHANGED = f"""{SILVER},
+changed AS (
+  SELECT * REPLACE (7.0e0 AS fare_amount) FROM (SELECT DISTINCT * REPLACE (7.0e0 AS fare_amount) FROM bronze)
+  WHERE month(pickup_datetime) = 6
+),
+june AS (
+  SELECT *, {MEASURES}, {MONTH} FROM changed
+  WHERE {COMPLETE} AND dropoff_datetime > pickup_datetime AND {' AND '.join(BOUNDS.values())}
+),
+newer AS (SELECT * FROM silver WHERE month NOT IN (5, 6) UNION ALL SELECT * FROM june)"""
+
+
+@check("silver_snapshot_newest", f"WITH {_CHANGED} SELECT * FROM newer")
+def silver_snapshot_newest(spark, sf_dir):
+    return read_silver(spark, _two_versions(spark, sf_dir))
+
+
+@check("silver_snapshot_as_of", f"WITH {SILVER} SELECT * FROM silver")
+def silver_snapshot_as_of(spark, sf_dir):
+    """The version before, read after another one was published."""
+    return read_silver(spark, _two_versions(spark, sf_dir), version=1)
+
+
+@check(
+    "silver_snapshot_changes",
+    f"""WITH {_CHANGED}, old AS (SELECT {_BY_PART}, count(*) AS n FROM silver GROUP BY ALL),
+    new AS (SELECT {_BY_PART}, count(*) AS n FROM newer GROUP BY ALL),
+    touched AS (SELECT part FROM old WHERE part LIKE '%month=5' UNION
+      SELECT part FROM new WHERE part LIKE '%month=6' UNION SELECT part FROM old WHERE part LIKE '%month=6')
+    SELECT part, CASE WHEN old.n IS NULL THEN 'added' WHEN new.n IS NULL THEN 'removed'
+        ELSE 'replaced' END AS change,
+      coalesce(old.n, 0) AS rows_before, coalesce(new.n, 0) AS rows_after
+    FROM touched LEFT JOIN old USING (part) LEFT JOIN new USING (part)""",
+)
+def silver_snapshot_changes(spark, sf_dir):
+    return changed_parts(spark, _two_versions(spark, sf_dir), 1, 2)
+
+
+@check(
+    "silver_snapshot_manifest",
+    f"""WITH {SILVER} SELECT {_BY_PART}, count(*) AS nb_rows,
+      epoch_us(min(pickup_datetime)) AS first_pickup, epoch_us(max(pickup_datetime)) AS last_pickup,
+      CAST(min(PULocationID) AS BIGINT) AS lowest_zone, CAST(max(PULocationID) AS BIGINT) AS highest_zone,
+      count(*) - count(PULocationID) AS without_zone
+    FROM silver GROUP BY ALL""",
+)
+def silver_snapshot_manifest(spark, sf_dir):
+    """What the manifest says of the months, without a look at the trips."""
+    silver = scratch_path(spark, "silver")
+    run_silver(spark, _written_bronze(spark, sf_dir), silver)
+    pickup, zone = F.col("bounds")["pickup_datetime"], F.col("bounds")["PULocationID"]
+    return manifest(spark, silver).groupBy("part").agg(
+        F.sum("nb_rows").alias("nb_rows"),
+        F.min(pickup["low"]).alias("first_pickup"),
+        F.max(pickup["high"]).alias("last_pickup"),
+        F.min(zone["low"]).alias("lowest_zone"),
+        F.max(zone["high"]).alias("highest_zone"),
+        F.sum(zone["nulls"]).alias("without_zone"),
+    )
+
+
+@check(
+    "silver_snapshot_within_bounds",
+    f"WITH {SILVER} SELECT * FROM silver WHERE PULocationID BETWEEN 3 AND 5",
+)
+def silver_snapshot_within_bounds(spark, sf_dir):
+    """Trips of a few zones; files whose bounds lie elsewhere are not opened."""
+    silver = scratch_path(spark, "silver")
+    run_silver(spark, _written_bronze(spark, sf_dir), silver)
+    return read_silver(spark, silver, within={"PULocationID": (3, 5)})
+
+
 @check("silver_in_batches", f"WITH {SILVER} SELECT * FROM silver")
 def silver_in_batches(spark, sf_dir):
     """Many small batches instead of one."""
@@ -206,7 +294,7 @@ def silver_clean(spark, sf_dir):
     return inputs.silver_trips(spark, sf_dir)
 
 
-_REASON = (
+REASON = (
     f"CASE WHEN NOT ({COMPLETE}) THEN 'missing_value' "
     "WHEN NOT dropoff_datetime > pickup_datetime THEN 'not_in_time_order' "
     + " ".join(f"WHEN NOT ({test}) THEN '{name}'" for name, test in BOUNDS.items())
@@ -223,7 +311,7 @@ _REASON = (
     SELECT step, count(reason)
     FROM (SELECT unnest(['missing_value', 'not_in_time_order', {', '.join(f"'{b}'" for b in BOUNDS)},
                          'rows_out']) AS step)
-    LEFT JOIN (SELECT {_REASON} AS reason FROM unique_rows) ON reason = step
+    LEFT JOIN (SELECT {REASON} AS reason FROM unique_rows) ON reason = step
     GROUP BY step""",
 )
 def silver_row_accounting(spark, sf_dir):

@@ -128,6 +128,60 @@ rates AS (
 )"""
 
 
+def rates_on_grid(condition: str, series: str, step: int) -> str:
+    """Counter rates at regular times, from sums over the whole history of each series."""
+    on = " AND ".join(f"g.{name} = s.{name}" for name in series.split(", "))
+    return f"""{rates(condition, series).rsplit("rates AS (", 1)[0]}
+totals AS (
+  SELECT {series}, second, inside,
+         sum(entering + inside) OVER (PARTITION BY {series} ORDER BY second) AS grown FROM seconds
+),
+grid AS (
+  SELECT DISTINCT {series}, unnest(range(CAST(ceil(second / {step}.0e0) AS BIGINT) * {step},
+                                         second + 301, {step})) AS t
+  FROM seconds
+),
+ends AS (
+  SELECT g.*, s.second AS to_second, s.grown AS high FROM grid g ASOF JOIN totals s ON {on} AND g.t >= s.second
+),
+both_ends AS (
+  SELECT g.*, s.second AS from_second, s.grown - s.inside AS low
+  FROM ends g ASOF JOIN totals s ON {on} AND g.t - 300 <= s.second
+),
+rates AS (
+  SELECT {series}, CAST(make_timestamp(t * 1000000) AS TIMESTAMP) AS ts,
+         CASE WHEN to_second > from_second THEN (high - low) / (to_second - from_second) END AS rate
+  FROM both_ends WHERE to_second >= t - 300 AND from_second <= t
+)"""
+
+
+def gauges_on_grid(condition: str, keys: str, step: int, **columns: str) -> str:
+    """Gauges side by side at regular times, each with its last sample of five minutes."""
+    picked = ", ".join(
+        f"max(CASE WHEN metric = '{metric}' THEN value END) AS {name}"
+        for name, metric in columns.items()
+    )
+    names = ", ".join(f"'{metric}'" for metric in columns.values())
+    on = " AND ".join(f"g.{name} = s.{name}" for name in ["metric", *keys.split(", ")])
+    return f"""{SAMPLES},
+own AS (
+  SELECT metric, {keys}, ts, max(value) AS value FROM samples
+  WHERE metric IN ({names}) AND {condition} GROUP BY metric, {keys}, ts
+),
+grid AS (
+  SELECT DISTINCT metric, {keys}, make_timestamp(unnest(range(CAST(ceil(epoch(ts) / {step}.0e0) AS BIGINT) * {step},
+    CAST(floor(epoch(ts)) AS BIGINT) + 301, {step})) * 1000000) AS t
+  FROM own
+),
+valued AS (
+  SELECT g.*, s.value, s.ts AS sampled FROM grid g ASOF JOIN own s ON {on} AND g.t >= s.ts
+),
+wide AS (
+  SELECT {keys}, CAST(t AS TIMESTAMP) AS ts, {picked} FROM valued
+  WHERE sampled > t - INTERVAL 300 SECOND GROUP BY {keys}, t
+)"""
+
+
 def gauges(condition: str, keys: str, **columns: str) -> str:
     """Gauges side by side."""
     picked = ", ".join(

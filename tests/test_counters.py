@@ -154,3 +154,74 @@ def test_any_window_length(spark, window):
     df = counter(spark, *[(i * 30, i) for i in range(400)])
     found = rates(counters.counter_rate(df, ("instance",), window))
     assert found[0] is None and set(found[1:]) == {1 / 30}
+
+
+def test_samples_are_shuffled_once(spark):
+    from plans import plan_of
+
+    df = counter(spark, (0, 5), (10, 9))
+    for rated in (
+        counters.counter_rate(df, ("instance",)),
+        counters.rate_on_grid(df, ("instance",)),
+        counters.latest_on_grid(df, ("instance",)),
+    ):
+        plan = plan_of(rated, "simple").split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+# regular times
+
+
+def seconds_of(df, *columns):
+    return sorted((int(r["ts"].timestamp() - START.timestamp()), *[r[c] for c in columns]) for r in df.collect())
+
+
+def test_last_sample_until_it_is_stale_or_replaced(spark):
+    df = counter(spark, (7, 1), (31.5, 2), (45, 3), (45, 4), (400, 5), metric="g")
+    found = seconds_of(counters.latest_on_grid(df, ("instance",), 15, 60), "value")
+    # 11:58 is a multiple of 15 s
+    assert found == [(15, 1.0), (30, 1.0), (45, 4.0), (60, 4.0), (75, 4.0), (90, 4.0), (405, 5.0), (420, 5.0), (435, 5.0), (450, 5.0)]
+
+
+def test_grid_equals_a_direct_computation_across_chunks(spark):
+    rng = random.Random(5)
+    points, now = [], 0.0
+    for _ in range(300):
+        now += rng.choice((0.3, 1, 14, 15, 61, 200, 299, 300, 301, 900))
+        points.append((round(now, 1), float(rng.randrange(100))))
+    assert now > 3 * counters.CHUNK
+    df = counter(spark, *points, device="a").unionAll(counter(spark, *points[::2], device="b"))
+    own = [(points, "a"), (points[::2], "b")]
+    steps = range(0, int(now) + 400, 15)
+    gauges, rated = [], []
+    for ps, device in own:
+        for t in steps:
+            valid = [v for s, v in ps if t - 300 < s <= t]
+            if valid:
+                gauges.append((t, device, valid[-1]))
+            inside = [(int(s), v) for s, v in ps if t - 300 <= int(s) <= t]
+            if inside:
+                grown = sum(b - a if b >= a else b for (_, a), (_, b) in zip(inside, inside[1:]))
+                elapsed = inside[-1][0] - inside[0][0]
+                rated.append((t, device, round(grown / elapsed, 9) if elapsed else -1.0))
+    labels = ("instance", "device")
+    assert seconds_of(counters.latest_on_grid(df, labels), "device", "value") == sorted(gauges)
+    found = counters.rate_on_grid(df, labels).withColumn("rate", F.coalesce(F.round("rate", 9), F.lit(-1.0)))
+    assert seconds_of(found, "device", "rate") == sorted(rated)
+
+
+def test_panels_at_regular_times(spark):
+    name = "node_cpu_seconds_total"
+    df = counter(spark, (0, 0), (30, 15), metric=name, cpu="0", mode="idle")
+    busy = seconds_of(counters.cpu_busy_percent(df, step=30), "cpu_busy_percent")
+    assert busy[:3] == [(0, None), (30, 50.0), (60, 50.0)]
+    load = counter(spark, (0, 1), metric="node_load1").unionAll(counter(spark, (20, 2), metric="node_load5"))
+    assert seconds_of(counters.load_averages(load, step=60), "load_1m", "load_5m")[:2] == [(0, 1.0, None), (60, 1.0, 2.0)]
+
+
+def test_nothing_on_a_grid(spark):
+    empty = counter(spark)
+    assert counters.rate_on_grid(empty, ("instance",)).count() == 0
+    assert counters.latest_on_grid(empty, ("instance",)).count() == 0
+    nulls = spark.createDataFrame([(None, "m", None, 1.0), (START, "m", None, None), (START, "m", None, 2.0)], METRIC_SAMPLES)
+    assert counters.latest_on_grid(nulls, ("instance",), 60, 60).count() == 1

@@ -1,16 +1,23 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from plans import plan_of
-from tripmart.config import SourceSpec, default_sources
+from tripmart.config import CleaningRules, SourceSpec, default_sources
 from tripmart.functions.temporal import feed_timestamp, file_stamp
 from tripmart.functions.text import array_length, comma_list, tag_openings, url_slug
 from tripmart.operators.cleaning import clean
-from tripmart.operators.weather import hourly_weather, weather_correlations, with_weather
+from tripmart.operators.rejects import rejected_trips, tried_again, unreadable_values
+from tripmart.operators.weather import (
+    hourly_weather,
+    weather_correlations,
+    with_latest_weather,
+    with_weather,
+)
 from tripmart.sources.documents import (
     file_inventory,
     flatten,
@@ -20,6 +27,9 @@ from tripmart.sources.documents import (
     read_kpi_export,
     read_news,
     read_weather,
+    rejected_news,
+    split_landed_weather,
+    split_weather,
 )
 from tripmart.sources.landing import NothingLanded, land, source_files
 
@@ -210,3 +220,103 @@ def test_landing_nothing_is_an_error(spark, tmp_path):
 def test_missing_folder_is_told_from_an_empty_one(spark, tmp_path):
     assert source_files(spark, SourceSpec("x", str(tmp_path / "missing"), "*")) is None
     assert source_files(spark, SourceSpec("x", str(tmp_path), "*.none")).count() == 0
+
+
+# latest readings
+
+
+def readings(spark, *rows):
+    data = [(datetime.fromisoformat(at) if at else None, float(t)) for at, t in rows]
+    return spark.createDataFrame(data, "at timestamp_ntz, temperature_2m double")
+
+
+def with_temperature(trips, found, **options):
+    options = {"variables": ("temperature_2m",), "time_col": "at"} | options
+    rows = with_latest_weather(trips, found, **options).orderBy("pickup_datetime").collect()
+    return [r["temperature_2m"] for r in rows]
+
+
+def test_latest_reading_within_the_tolerance(spark, trips):
+    found = readings(spark, ("2024-03-06 09:59:59", 1), ("2024-03-06 10:00:00", 2), ("2024-03-06 10:00:01", 3),
+                     ("2024-03-06 10:00:00", 1), (None, 9), ("2024-03-05 23:30:00", 4))
+    days = ["2024-03-05 20:00:00", "2024-03-06 02:29:59", "2024-03-06 02:30:00", "2024-03-06 02:30:01", "2024-03-06 10:00:00", "2024-03-06 11:00:00"]
+    rows = trips(*[{"pickup_datetime": d} for d in days])
+    assert with_temperature(rows, found) == [None, 4.0, 4.0, None, 2.0, 3.0]
+    assert with_temperature(rows, found, bucket=60) == [None, 4.0, 4.0, None, 2.0, 3.0]
+    assert with_temperature(rows, readings(spark)) == [None] * 6
+
+
+def test_each_trip_is_kept_once_and_clashing_names_stay(spark, trips):
+    found = readings(spark, ("2024-03-06 09:00:00", 1), ("2024-03-06 09:30:00", 2))
+    rows = trips({}, {}, {"pickup_datetime": None}).withColumnsRenamed({"note": "_bucket", "tip_amount": "_found"})
+    joined = with_latest_weather(rows, found, variables=("temperature_2m",), time_col="at")
+    assert joined.columns == [*rows.columns, "weather_time", "temperature_2m"]
+    assert sorted(map(str, joined.select(rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_latest_reading_needs_no_nested_loop_and_no_window(spark, trips):
+    plan = plan_of(with_latest_weather(trips({}), readings(spark, ("2024-03-06 09:00:00", 1)), variables=("temperature_2m",), time_col="at"), "simple")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
+
+
+# rejects
+
+
+def test_every_weather_file_is_kept_or_rejected(spark, weather_folder):
+    (weather_folder / "weather_cut_20240601T000000Z.json").write_text('{"timezone": "x", "hourly": {"time": ["2024-03-06T09:00"')
+    (weather_folder / "weather_empty_20240601T000000Z.json").write_text("")
+    kept, rejected = split_weather(spark, str(weather_folder))
+    assert kept.count() == 2 and kept.columns == read_weather(spark, str(weather_folder)).columns
+    rows = {r["file_name"]: (r["rule"], r["raw"]) for r in rejected.collect()}
+    assert rows["weather_cut_20240601T000000Z.json"][0] == "unreadable"
+    assert '"hourly": {"time": ["2024' in rows["weather_cut_20240601T000000Z.json"][1]
+    assert rows["weather_x_20240501T000000Z.json"][0] == "no_hours" and len(rows) == 3
+    assert rows["weather_empty_20240601T000000Z.json"] == ("empty", "")
+
+
+def test_landed_weather_files_are_split_the_same(spark, weather_folder):
+    (weather_folder / "weather_cut_20240601T000000Z.json").write_text('{"timezone": "x", "hourly": {"ti')
+    landed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(str(weather_folder))
+    kept, rejected = split_landed_weather(landed)
+    assert kept.count() == 2
+    assert {r["file_name"].split("_")[1]: r["rule"] for r in rejected.collect()} == {
+        "cut": "unreadable", "x": "no_hours"
+    }
+
+
+def test_broken_feed_items_are_reported(spark, tmp_path):
+    good = "<item><title>a</title><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate></item>"
+    untimed = "<item><title>b</title><pubDate>yesterday</pubDate></item>"
+    cut = "<item><title>c</title><pub"
+    broken = "<item><title>d</titel></item>"
+    (tmp_path / "x_1.xml").write_text(f"<rss><channel>{good}{untimed}{broken}{cut}")
+    (tmp_path / "x_2.xml").write_text(f"<rss><channel>{good}</channel></rss>")
+    rows = [(r["file_name"], r["rule"]) for r in rejected_news(spark, str(tmp_path)).collect()]
+    assert sorted(rows) == [("x_1.xml", "unclosed"), ("x_1.xml", "unreadable"), ("x_1.xml", "unreadable_time")]
+
+
+def test_rejected_trips_can_be_tried_again(spark, trips):
+    rows = trips({}, {"fare_amount": -5.0}, {"fare_amount": -5.0}, {"fare_amount": None}, {"fare_amount": 700.0, "note": "x"},
+                 {"dropoff_datetime": "2024-03-06 09:00:00", "fare_amount": 900.0})
+    text = rows.withColumn("fare_amount", F.col("fare_amount").cast("string")).unionByName(
+        trips({}).withColumn("fare_amount", F.lit("twenty"))
+    ).withColumnsRenamed({"note": "rule", "tip_amount": "_raw"})
+    text = text.withColumn("tip_amount", F.lit(1.0))
+    rejected = rejected_trips(text)
+    found = sorted((r[-2], r[-1]) for r in rejected.collect())
+    assert found == [("fare_out_of_range", 1), ("fare_out_of_range", 2), ("missing_value", 1), ("not_in_time_order", 1),
+                     ("unreadable_fare_amount", 1)]
+    assert clean(text).count() + sum(n for _, n in found) == text.count()
+
+
+def test_higher_bounds_let_rejected_rows_in(spark, trips):
+    rows = trips({}, {"fare_amount": 700.0}, {"fare_amount": 700.0}, {"fare_amount": -1.0})
+    again = tried_again(rejected_trips(rows), CleaningRules(max_fare=800.0))
+    assert [r["fare_amount"] for r in again.collect()] == [700.0]
+    assert rejected_trips(trips({}, {})).count() == 0
+
+
+def test_unreadable_values_by_column(spark, trips):
+    rows = trips({}, {}, {}).withColumns({"tip_amount": F.lit("2,50"), "tolls_amount": F.lit("1.5")})
+    assert [tuple(r) for r in unreadable_values(rows).collect()] == [("tip_amount", "2,50", 3)]
+    assert unreadable_values(rows.select("note")).count() == 0

@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.config import KpiSink, default_sources
 from tripmart.plans.full_run import run_all
 from tripmart.plans.gold import run_gold
 from tripmart.plans.silver import run_silver, run_silver_by_month
 from tripmart.plans.training import run_training
+from tripmart.sinks.snapshots import expire, manifest, versions
 from tripmart.sources.landing import land
 
 
@@ -19,7 +21,7 @@ def _sink(args: argparse.Namespace) -> KpiSink:
         return KpiSink.mongodb_from_env()
     if args.sink == "table":
         return KpiSink(kind="table", database=args.out)
-    return KpiSink(kind=args.sink, path=args.out)
+    return KpiSink(kind=args.sink, path=args.out, versioned=args.versioned)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -40,6 +42,12 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("--sink", default="parquet", choices=("parquet", "json", "table", "mongodb"))
     job.add_argument("--cells", help="folder that keeps the sums and counts of each month")
     job.add_argument("--month", action="append", help="refresh just this month of the cells")
+    job.add_argument("--versioned", action="store_true", help="publish all tables together")
+    job = jobs.add_parser("versions", help="list the versions of a clean or KPI table")
+    job.add_argument("table")
+    job = jobs.add_parser("expire", help="delete old versions and their files")
+    job.add_argument("table")
+    job.add_argument("--keep", type=int, default=2)
     job = jobs.add_parser("train", help="train and save the price model")
     job.add_argument("silver")
     job.add_argument("model")
@@ -59,6 +67,12 @@ def main(argv: list[str] | None = None) -> None:
         print(run_silver(spark, args.bronze, args.silver, replace_all=not args.only_months))
     elif args.job == "gold":
         print(run_gold(spark, args.silver, _sink(args), months, args.cells))
+    elif args.job == "versions":
+        for version in versions(spark, args.table):
+            rows = manifest(spark, args.table, version).agg(F.sum("nb_rows")).first()[0]
+            print(version, rows or 0)
+    elif args.job == "expire":
+        print(expire(spark, args.table, args.keep))
     elif args.job == "train":
         training = run_training(spark, args.silver, args.model)
         training.comparison.show(truncate=False)

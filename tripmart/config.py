@@ -115,12 +115,20 @@ def default_sources(root: str) -> tuple[SourceSpec, ...]:
 
 @dataclass(frozen=True)
 class KpiSink:
-    """Where KPI tables go: a file format below ``path``, catalogue tables, or documents."""
+    """Where KPI tables go: a file format below ``path``, catalogue tables, or documents.
+
+    ``versioned`` files are published together: readers see all tables of one run.
+    """
 
     kind: str = "parquet"  # parquet | json | table | mongodb
     path: str | None = None
     database: str | None = None
     options: Mapping[str, str] = field(default_factory=dict, repr=False)  # may hold a password
+    versioned: bool = False
+
+    def __post_init__(self):
+        if self.versioned and self.kind not in ("parquet", "json"):
+            raise ValueError(f"a {self.kind} sink has no versions")
 
     @classmethod
     def mongodb_from_env(cls, env: Mapping[str, str] | None = None) -> KpiSink:

@@ -42,7 +42,8 @@ def _lacks_value(df: DataFrame, column: str) -> Column:
     return value.isNull()
 
 
-def _lacks_required(df: DataFrame, required: tuple[str, ...]) -> Column:
+def lacks_required(df: DataFrame, required: tuple[str, ...]) -> Column:
+    """Whether a required column that the input has is null or NaN."""
     tests = [_lacks_value(df, name) for name in required if name in df.columns]
     return reduce(or_, tests, F.lit(False))
 
@@ -142,7 +143,7 @@ def row_accounting(df: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
     checked = (
         raw.groupBy(*raw.columns)
         .agg(F.count("*").alias(copies))
-        .withColumn(lacking, _lacks_required(raw, REQUIRED))
+        .withColumn(lacking, lacks_required(raw, REQUIRED))
         .transform(with_types)
         .transform(with_trip_measures)
     )

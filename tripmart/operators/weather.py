@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
+from tripmart.functions.columns import free_name
 from tripmart.operators.profiling import correlation_matrix
 from tripmart.schema import WEATHER_VARIABLES
 
@@ -64,6 +65,55 @@ def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return joined.select(*trips.columns, "weather_hour", *WEATHER_VARIABLES)
 
 
+def with_latest_weather(
+    trips: DataFrame,
+    readings: DataFrame,
+    tolerance: int = 3 * 3600,
+    bucket: int = 6 * 3600,
+    variables: tuple[str, ...] = WEATHER_VARIABLES,
+    time_col: str = "weather_hour",
+) -> DataFrame:
+    """Trips with the last reading at or before their pickup, if not older than ``tolerance`` seconds.
+
+    ``readings`` may come at any times, in ``time_col``; of equal times the greatest row counts. Both
+    sides are dealt to buckets of time, a reading to all that it can still be valid in, so the equal
+    join by bucket finds all there is. The readings of a bucket are one row with a sorted array,
+    bounded by the bucket, in which each trip looks its own one up: trips are neither windowed nor
+    compared in pairs, and adaptive execution broadcasts the buckets or splits the ones with many
+    trips. Every trip is kept, once; without a reading, or without a pickup, the weather and
+    ``weather_time`` are null.
+    """
+    use_utc(trips.sparkSession)
+    bucket_col, readings_col, found_col = (
+        free_name(name, trips.columns) for name in ("_bucket", "_readings", "_found")
+    )
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    first = F.floor(at / (bucket * 1_000_000)).cast("bigint")
+    last = F.floor((at + tolerance * 1_000_000) / (bucket * 1_000_000)).cast("bigint")
+    entry = F.struct(at.alias("at"), *[F.col(v).alias(v) for v in variables])
+    buckets = (
+        readings.where(F.col(time_col).isNotNull())
+        .select(entry.alias("reading"), F.explode(F.sequence(first, last)).alias(bucket_col))
+        .groupBy(bucket_col, "reading.at")
+        .agg(F.max("reading").alias("reading"))
+        .groupBy(bucket_col)
+        .agg(F.array_sort(F.collect_list("reading")).alias(readings_col))
+    )
+    pickup = F.unix_micros(F.col("pickup_datetime").cast("timestamp"))
+    own_bucket = F.floor(pickup / (bucket * 1_000_000)).cast("bigint")
+    joined = trips.withColumn(bucket_col, own_bucket).join(buckets, bucket_col, "left")
+    valid = F.filter(
+        readings_col,
+        lambda r: (r["at"] <= pickup) & (r["at"] >= pickup - tolerance * 1_000_000),
+    )
+    found = joined.withColumn(found_col, F.try_element_at(valid, F.lit(-1)))
+    return found.select(
+        *trips.columns,
+        F.timestamp_micros(F.col(found_col)["at"]).alias("weather_time"),
+        *[F.col(found_col)[v].alias(v) for v in variables],
+    )
+
+
 def weather_correlations(
     trips: DataFrame,
     weather: DataFrame,

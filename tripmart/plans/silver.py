@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 from tripmart.config import CleaningRules, session_settings
 from tripmart.operators.cleaning import clean, picked_up_between, pickup_month
 from tripmart.plans.runs import RunMetrics, measured
-from tripmart.sinks.tables import drop_months, write_silver
+from tripmart.sinks.snapshots import (
+    Run,
+    abandon,
+    has_files,
+    is_published,
+    part_name,
+    publish,
+    start_run,
+    written_files,
+)
+from tripmart.sinks.tables import write_silver
 from tripmart.sources.documents import file_inventory
 from tripmart.sources.trips import read_bronze
 
@@ -68,19 +78,34 @@ def _days(batch: list[Month]) -> tuple[date, date]:
     return date(first_year, first, 1), date(year + month // 12, month % 12 + 1, 1)
 
 
+# columns whose bounds the manifest keeps for each file
+BOUND_COLUMNS = ("pickup_datetime", "PULocationID", "DOLocationID")
+
+
 def _clean_batch(
-    raw: DataFrame, silver: str, rules: CleaningRules, batch: list[Month], nb_bytes: int, replace_all: bool
+    raw: DataFrame, run: Run, rules: CleaningRules, batch: list[Month], nb_bytes: int
 ) -> int:
-    """Clean some months and write them; months without a row left lose their old rows."""
+    """Clean some months and write them where the run writes."""
     spark = raw.sparkSession
     trips = picked_up_between(raw, *_days(batch)) if batch else raw.limit(0)
     with session_settings(
         spark, spark__sql__shuffle__partitions=shuffle_partitions_for(spark, nb_bytes)
     ):
-        written = write_silver(clean(trips, rules), silver, replace_all)
-    if not replace_all:
-        drop_months(spark, silver, set(batch) - set(written.months))
-    return written.rows
+        return write_silver(clean(trips, rules), run.folder, replace_all=False).rows
+
+
+def _publish(raw: DataFrame, run: Run, rules: CleaningRules, months: Iterable[Month] | None) -> int:
+    """Publish what the run wrote in place of some months, or of all."""
+    spark, schema = raw.sparkSession, clean(raw.limit(0), rules).schema
+    files = written_files(spark, run, schema, BOUND_COLUMNS)
+    parts = None if months is None else [part_name(year=y, month=m) for y, m in months]
+    return publish(spark, run, files, {"": schema}, parts)
+
+
+def _start(spark: SparkSession, silver: str, replace_all: bool) -> Run:
+    if not replace_all and not is_published(spark, silver) and has_files(spark, silver):
+        raise ValueError(f"{silver} was written without versions; clean all its months once")
+    return start_run(spark, silver)
 
 
 def run_silver(
@@ -91,22 +116,30 @@ def run_silver(
     replace_all: bool = True,
     batch_bytes: int = BYTES_PER_BATCH,
 ) -> RunMetrics:
-    """Clean all raw trips and write them, in batches of consecutive months.
+    """Clean all raw trips and publish them, in batches of consecutive months.
 
     Full rows have to be shuffled to find copies, and a shuffle has as many blocks as map tasks
     times partitions. Copies have equal pickup times, so batches of bounded size give the same
-    table. The first batch replaces the table, the others the months that they hold;
-    ``replace_all=False`` replaces only the months that occur in the raw trips. Pickup times are
-    clustered in raw files, so a batch skips the row groups of other months.
+    table. All batches are published together as the next version of the table: a reader sees
+    the version before until then, and for good if a batch fails. ``replace_all=False`` keeps the
+    months that do not occur in the raw trips. Pickup times are clustered in raw files, so a batch
+    skips the row groups of other months.
     """
     raw = read_bronze(spark, bronze)
     rows = rows_by_month(raw)
     nb_bytes = raw_bytes(spark, bronze)
 
     def run() -> int:
-        kept = 0
-        for number, (batch, size) in enumerate(batches_of(rows, nb_bytes, batch_bytes)):
-            kept += _clean_batch(raw, silver, rules, batch, size, replace_all and not number)
+        begun = _start(spark, silver, replace_all)
+        try:
+            kept = sum(
+                _clean_batch(raw, begun, rules, batch, size)
+                for batch, size in batches_of(rows, nb_bytes, batch_bytes)
+            )
+            _publish(raw, begun, rules, None if replace_all else [m for m in rows if m is not None])
+        except Exception:
+            abandon(spark, begun)
+            raise
         return kept
 
     return measured("silver", sum(rows.values()), run)
@@ -121,17 +154,23 @@ def run_silver_by_month(
 ) -> dict[Month, RunMetrics]:
     """Clean some months, one after the other, and replace just these in the clean table.
 
-    A month that has no clean trip any more is empty afterwards.
+    They are published together when the last one is clean. A month that has no clean trip any
+    more is empty afterwards.
     """
     raw = read_bronze(spark, bronze)
     rows, nb_bytes = rows_by_month(raw), raw_bytes(spark, bronze)
     total = max(1, sum(rows.values()))
-    done = {}
-    for month in months:
-        size = nb_bytes * rows.get(month, 0) // total
-        done[month] = measured(
-            "silver",
-            rows.get(month, 0),
-            lambda: _clean_batch(raw, silver, rules, [month], size, False),
-        )
+    begun, done = _start(spark, silver, False), {}
+    try:
+        for month in dict.fromkeys(months):
+            size = nb_bytes * rows.get(month, 0) // total
+            done[month] = measured(
+                "silver",
+                rows.get(month, 0),
+                lambda: _clean_batch(raw, begun, rules, [month], size),
+            )
+        _publish(raw, begun, rules, done)
+    except Exception:
+        abandon(spark, begun)
+        raise
     return done

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.config import KpiSink, session_settings
 from tripmart.operators.kpis import Kpi
 from tripmart.schema import SILVER_PARTITIONS
+from tripmart.sinks.snapshots import part_folder
 
 # shuffled bytes per file of the clean table; Spark's default of 64 MB makes files too small
 FILE_SHUFFLE_BYTES = "256m"
@@ -99,11 +100,15 @@ def write_kpi(table: DataFrame, kpi: Kpi | str, sink: KpiSink) -> int:
     return seen.get["rows"]
 
 
-def read_kpi(spark: SparkSession, kpi: Kpi, sink: KpiSink) -> DataFrame:
-    """A KPI table as it was written to a file or table sink."""
+def read_kpi(
+    spark: SparkSession, kpi: Kpi, sink: KpiSink, version: int | None = None
+) -> DataFrame:
+    """A KPI table as it was written to a file or table sink, of a versioned sink the newest."""
     if sink.kind == "table":
         return spark.table(f"{sink.database}.{kpi.name}" if sink.database else kpi.name)
     reader = spark.read.schema(kpi.schema).format(sink.kind)
+    if sink.versioned:
+        return reader.load(part_folder(spark, sink.path, kpi.name, version))
     return reader.load(f"{sink.path.rstrip('/')}/{kpi.name}")
 
 

@@ -70,6 +70,87 @@ def _news_columns(items: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def split_weather(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """Weather files that can be read, as :func:`read_weather` gives them, and the others.
+
+    The others come as file_name, rule, raw: ``unreadable`` files, which are no JSON or are
+    cut short, with their text, files with ``no_hours`` and ``empty`` ones, which a scan has no row
+    for but the listing has. Each file is in one of the two.
+    """
+    use_utc(spark)
+    schema = T.StructType([*WEATHER.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    files = reader.option("pathGlobFilter", pattern).json(path, multiLine=True)
+    named = files.select("*", _fetched_at(), _file_name())
+    kept, rejected = _split_weather(named)
+    empty = _listed_names(spark, files).join(named.select("file_name"), "file_name", "left_anti")
+    return kept, rejected.union(empty.select("file_name", F.lit("empty"), F.lit("")))
+
+
+def _listed_names(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """The names of all files of a scan, empty ones included."""
+    names = {unquote(name.rsplit("/", 1)[1]) for name in scan.inputFiles()}
+    return spark.createDataFrame([(name,) for name in sorted(names)], "file_name string")
+
+
+def split_landed_weather(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``split_weather`` over weather files that were landed as rows."""
+    use_utc(landed.sparkSession)
+    schema = T.StructType([*WEATHER.fields, T.StructField(CORRUPT, T.StringType())])
+    text = _landed_text()
+    document = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("document")
+    files = landed.select(document, text.alias("text"), _fetched_at("path"), _file_name("path"))
+    empty = F.col("document").isNull() & F.col(f"document.{CORRUPT}").isNull()
+    corrupt = F.coalesce(f"document.{CORRUPT}", F.when(empty, F.coalesce("text", F.lit(""))))
+    fields = [F.col(f"document.{name}").alias(name) for name in WEATHER.names]
+    return _split_weather(files.select(*fields, corrupt.alias(CORRUPT), "fetched_at", "file_name"))
+
+
+def _split_weather(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    hours = F.coalesce(F.size("hourly.time") > 0, F.lit(False))
+    rule = F.when(F.col(CORRUPT).isNotNull(), "unreadable").when(~hours, "no_hours")
+    judged = files.withColumn("rule", rule)
+    kept = judged.where(F.col("rule").isNull()).select(*WEATHER.names, "fetched_at", "file_name")
+    rejected = judged.where(F.col("rule").isNotNull()).select(
+        "file_name", "rule", F.coalesce(CORRUPT, F.to_json(F.struct(*WEATHER.names))).alias("raw")
+    )
+    return kept, rejected
+
+
+def rejected_news(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
+    """file_name, rule, raw of feed items that :func:`read_news` cannot read in full.
+
+    ``unreadable`` items are no XML, ``unreadable_time`` ones have a publication time of another
+    form and are kept without it. What is opened and never closed has no end to cut it at: such
+    items are counted by file as ``unclosed``, with their number.
+    """
+    use_utc(spark)
+    schema = T.StructType([*NEWS_ITEM.fields, T.StructField(CORRUPT, T.StringType())])
+    items = (
+        spark.read.format("xml")
+        .option("rowTag", "item")
+        .option("pathGlobFilter", pattern)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(schema)
+        .load(path)
+        .select("*", F.col("_metadata.file_name").alias("file_name"))
+    )
+    untimed = F.col("pubDate").isNotNull() & feed_timestamp(F.col("pubDate")).isNull()
+    rule = F.when(F.col(CORRUPT).isNotNull(), "unreadable").when(untimed, "unreadable_time")
+    named = items.withColumn("rule", rule)
+    broken = named.where(F.col("rule").isNotNull()).select(
+        "file_name", "rule", F.coalesce(CORRUPT, F.to_json(F.struct(*NEWS_ITEM.names))).alias("raw")
+    )
+    read = items.groupBy("file_name").agg(F.count(F.lit(1)).alias("read"))
+    opened = item_counts(spark, path, "item", pattern)
+    missing = F.col("nb_items") - F.coalesce("read", F.lit(0))
+    unclosed = opened.join(read, "file_name", "left").where(missing > 0)
+    return broken.union(unclosed.select("file_name", F.lit("unclosed"), missing.cast("string")))
+
+
 def landed_weather(landed: DataFrame) -> DataFrame:
     """``read_weather`` over weather files that were landed as rows."""
     use_utc(landed.sparkSession)
@@ -111,10 +192,8 @@ def item_counts(
         tag_openings(F.col("value"), tag).alias("openings"),
     )
     found = counted.groupBy("file_name").agg(F.sum("openings").alias("nb_items"))
-    # a scan has no row for a file without bytes, the listing has its name
-    names = {unquote(name.rsplit("/", 1)[1]) for name in lines.inputFiles()}
-    files = spark.createDataFrame([(name,) for name in sorted(names)], "file_name string")
-    return files.join(found, "file_name", "left").select(
+    # a scan has no row for a file without bytes
+    return _listed_names(spark, lines).join(found, "file_name", "left").select(
         "file_name", F.coalesce("nb_items", F.lit(0)).cast("bigint").alias("nb_items")
     )
 

@@ -30,6 +30,18 @@ def source_files(spark: SparkSession, source: SourceSpec) -> DataFrame | None:
         raise
 
 
+def land_rows(rows: DataFrame, target: str, name: str) -> None:
+    """Write rows with their :data:`LANDED_FILE`; files that are there already are replaced."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(LANDED_FILE).parquet(f"{target.rstrip('/')}/{name}")
+
+
+def land_documents(files: DataFrame, target: str, name: str) -> None:
+    """Write small files as rows, byte for byte."""
+    named = files.withColumn(LANDED_FILE, F.element_at(F.split("path", "/"), -1))
+    land_rows(named, target, name)
+
+
 def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dict[str, int]:
     """Copy every source below ``target`` and return its number of files.
 
@@ -46,13 +58,10 @@ def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dic
         landed[source.name] = 0 if files is None else files.select("path").count()
         if not landed[source.name]:
             continue
-        place = f"{target.rstrip('/')}/{source.name}"
         if source.layout == "rows":
-            files = trips_by_file(spark, source.folder, source.pattern)
+            land_rows(trips_by_file(spark, source.folder, source.pattern), target, source.name)
         else:
-            files = files.withColumn(LANDED_FILE, F.element_at(F.split("path", "/"), -1))
-        writer = files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(LANDED_FILE).parquet(place)
+            land_documents(files, target, source.name)
     if not sum(landed.values()):
         raise NothingLanded("no file was found for any source")
     return landed

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from tripmart.config import use_utc
 from tripmart.operators.cleaning import rename_present
 from tripmart.schema import BRONZE, SILVER
+from tripmart.sinks.snapshots import NoSuchVersion, is_published, part_name, read_version
 
 # the column that says from which landed file a row came
 LANDED_FILE = "landed_file"
@@ -99,22 +101,40 @@ def _read_drifting(
     schema: T.StructType | None = None,
     by_file: bool = False,
 ) -> DataFrame:
-    def named(scan: DataFrame) -> DataFrame:
-        return scan.withColumn(LANDED_FILE, F.col("_metadata.file_name")) if by_file else scan
-
     use_utc(spark)
     merged = schema or _merged_schema(spark.read.option("pathGlobFilter", pattern), path)
     if merged is not None:
-        return named(spark.read.option("pathGlobFilter", pattern).schema(merged).parquet(path))
-    files = sorted(spark.read.option("pathGlobFilter", pattern).parquet(path).inputFiles())
+        scan = spark.read.option("pathGlobFilter", pattern).schema(merged).parquet(path)
+        return _with_file_name(scan) if by_file else scan
+    scan = spark.read.option("pathGlobFilter", pattern).parquet(path)
+    files = sorted(unquote(name) for name in scan.inputFiles())  # names come as parts of a URI
+    return _conformed_files(spark, path, files, by_file)
+
+
+def _with_file_name(scan: DataFrame) -> DataFrame:
+    return scan.withColumn(LANDED_FILE, F.col("_metadata.file_name"))
+
+
+def trips_of_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The rows of some raw files, with the name of the file that each came from."""
+    use_utc(spark)
+    return _conformed_files(spark, files[0].rsplit("/", 1)[0], files, by_file=True)
+
+
+def _conformed_files(spark: SparkSession, root: str, files: list[str], by_file: bool) -> DataFrame:
     by_types: dict[tuple, tuple[T.StructType, list[str]]] = {}
-    for schema, members in _schema_groups(spark, path, files):
+    for schema, members in _schema_groups(spark, root, files):
         key = tuple(sorted((field.name, field.dataType.json()) for field in schema))
         by_types.setdefault(key, (schema, []))[1].extend(members)
-    scans = [
-        rename_present(named(spark.read.option("basePath", path).schema(schema).parquet(*members)))
-        for schema, members in by_types.values()
-    ]
+    scans = []
+    for schema, members in by_types.values():
+        scan = spark.read.option("basePath", root).schema(schema).parquet(*members)
+        scans.append(rename_present(_with_file_name(scan) if by_file else scan))
+    return conformed(scans)
+
+
+def conformed(scans: Sequence[DataFrame]) -> DataFrame:
+    """Concatenate by name; a column whose type differs is cast to one that holds the values of all."""
     kinds: dict[str, set[T.DataType]] = {}
     for scan in scans:
         for field in scan.schema:
@@ -131,17 +151,33 @@ def _read_drifting(
 
 
 def read_silver(
-    spark: SparkSession, path: str, months: Sequence[tuple[int, int]] | None = None
+    spark: SparkSession,
+    path: str,
+    months: Sequence[tuple[int, int]] | None = None,
+    version: int | None = None,
+    within: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Clean trips; ``months`` as ``(year, month)`` limits the scan to those partitions.
 
     Months written on different days may have different source columns: all of them are there,
     null where a month lacks them. The declared columns come first and the others after them.
+    Of a published table the newest version is read, or the one asked for, and a reader keeps to
+    it. ``within`` limits whole-number columns to closed ranges; files of a published table whose
+    bounds lie outside are not opened.
     """
-    stored = _read_drifting(spark, path, "*.parquet")
+    if is_published(spark, path):
+        use_utc(spark)
+        parts = None if months is None else [part_name(year=y, month=m) for y, m in months]
+        stored = conformed(read_version(spark, path, version, parts, within))
+    elif version is not None:
+        raise NoSuchVersion(f"{path} has no versions")
+    else:
+        stored = _read_drifting(spark, path, "*.parquet")
     declared = [name for name in SILVER.names if name in stored.columns]
     others = [name for name in stored.columns if name not in SILVER.names]
     silver = stored.select(*declared, *others)
+    for name, (low, high) in (within or {}).items():
+        silver = silver.where(F.col(name).between(low, high))
     if months is None:
         return silver
     wanted = [(F.col("year") == year) & (F.col("month") == month) for year, month in months]
