@@ -50,15 +50,23 @@ def tag_counts(spark, sf_dir):
     return pages.select("page_id", tag_openings(F.col("html"), "p").alias("nb_tags"))
 
 
+# white space of Unicode and the separators before the blank, as the SQL spells them
+_BLANKS = " || ".join(
+    f"chr({code})"
+    for code in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+)
+
+
 @check(
     "comma_lists",
-    """SELECT doc_id, len(parts) AS nb_parts, md5(array_to_string(parts, '|')) AS digest
-    FROM (SELECT doc_id, list_filter(list_transform(string_split(text, ','),
-      lambda p: trim(p, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))),
-      lambda p: p <> '') AS parts FROM documents)""",
+    f"""SELECT doc_id, len(parts) AS nb_parts, md5(array_to_string(parts, '|')) AS digest
+    FROM (SELECT doc_id, list_filter(list_transform(string_split(listed, ','),
+      lambda p: trim(p, {_BLANKS})), lambda p: p <> '') AS parts
+      FROM (SELECT doc_id, replace(text, ' a', chr(160) || ',' || chr(133) || ' a') AS listed FROM documents))""",
 )
 def comma_lists(spark, sf_dir):
-    parts = comma_list(F.col("text"))
+    """Some blanks are made no-break spaces and line ends of Unicode beside commas."""
+    parts = comma_list(F.replace(F.col("text"), F.lit(" a"), F.lit("\xa0,\x85 a")))
     return inputs.table(spark, sf_dir, "documents").select(
         "doc_id",
         F.size(parts).cast("bigint").alias("nb_parts"),

@@ -233,3 +233,50 @@ def ml_model_comparison(spark, sf_dir):
     ranked = [row["model"] for row in training.comparison.collect()]
     assert sorted(ranked) == sorted(training.pipelines) and ranked[0] == training.best
     return parts[0].unionByName(parts[1])
+
+
+_ENCODED = f"""{_TRAINING},
+train AS (SELECT *, {_BUCKET} AS bucket FROM training WHERE {_BUCKET} < 80),
+codes AS ({" UNION ALL ".join(
+    f"SELECT '{c}' AS name, CAST({c} AS DOUBLE) AS code, bucket % 5 AS fold, total_amount FROM train"
+    for c in learning.CATEGORICAL)}),
+cells AS (SELECT DISTINCT name, code, fold FROM codes),
+others AS (
+  SELECT c.name, c.code, c.fold, count(o.code) AS n, coalesce(sum(o.total_amount), 0) AS total
+  FROM cells c LEFT JOIN codes o ON o.name = c.name AND o.code = c.code AND o.fold <> c.fold GROUP BY ALL),
+priors AS (
+  SELECT f.fold, avg(total_amount) AS prior FROM (SELECT DISTINCT fold FROM cells) f
+  JOIN train ON train.bucket % 5 <> f.fold GROUP BY ALL)"""
+
+
+@check(
+    "ml_target_encoding",
+    f"""WITH {_ENCODED}
+    SELECT name AS "column", code, fold, round((total + 20 * prior) / (n + 20), 6) AS encoded
+    FROM others JOIN priors USING (fold)""",
+)
+def ml_target_encoding(spark, sf_dir):
+    """The mean price of a code in the other folds, for each code and fold."""
+    train, _ = learning.content_split(_rows(spark, sf_dir))
+    encodings = learning.out_of_fold_encodings(learning.target_statistics(train))
+    return encodings.withColumn("encoded", F.round("encoded", 6))
+
+
+@check(
+    "ml_target_coded_rows",
+    f"""WITH {_ENCODED}
+    SELECT t.bucket % 5 AS fold, count(*) AS nb_rows, {", ".join(
+        f"round(sum((e_{c}.total + 20 * prior) / (e_{c}.n + 20)), 3) AS {c}" for c in learning.CATEGORICAL)}
+    FROM train t JOIN priors ON priors.fold = t.bucket % 5 {" ".join(
+        f"JOIN others e_{c} ON e_{c}.name = '{c}' AND e_{c}.code = t.{c} AND e_{c}.fold = t.bucket % 5"
+        for c in learning.CATEGORICAL)}
+    GROUP BY 1""",
+)
+def ml_target_coded_rows(spark, sf_dir):
+    """All train rows with their codes from the other folds, summed by fold."""
+    train, _ = learning.content_split(_rows(spark, sf_dir))
+    coded = learning.with_out_of_fold(train, learning.out_of_fold_encodings(learning.target_statistics(train)))
+    return coded.groupBy(learning.fold_of(coded).alias("fold")).agg(
+        F.count("*").alias("nb_rows"),
+        *[F.round(F.sum(f"{c}_enc"), 3).alias(c) for c in learning.CATEGORICAL],
+    )

@@ -18,7 +18,7 @@ from tripmart.functions.temporal import (
 )
 from tripmart.operators import cleaning
 from tripmart.plans.runs import record
-from tripmart.plans.silver import run_silver, run_silver_by_month
+from tripmart.plans.silver import run_silver, run_silver_by_month, run_zone_layout
 from tripmart.sinks.snapshots import changed_parts, manifest
 from tripmart.sinks.tables import write_silver
 from tripmart.sources.landing import land
@@ -192,6 +192,18 @@ def silver_snapshot_within_bounds(spark, sf_dir):
     return read_silver(spark, silver, within={"PULocationID": (3, 5)})
 
 
+@check(
+    "silver_zone_lookup",
+    f"WITH {SILVER} SELECT * FROM silver WHERE PULocationID BETWEEN 3 AND 4 AND DOLocationID BETWEEN 100 AND 120",
+)
+def silver_zone_lookup(spark, sf_dir):
+    """Trips between some zones, from a table laid out by zone."""
+    silver = scratch_path(spark, "silver")
+    run_silver(spark, _written_bronze(spark, sf_dir), silver)
+    run_zone_layout(spark, silver, rows_per_file=100)
+    return read_silver(spark, silver, within={"PULocationID": (3, 4), "DOLocationID": (100, 120)})
+
+
 @check("silver_in_batches", f"WITH {SILVER} SELECT * FROM silver")
 def silver_in_batches(spark, sf_dir):
     """Many small batches instead of one."""

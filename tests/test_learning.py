@@ -121,4 +121,51 @@ def test_all_jobs_from_raw_files_to_model(spark, trips, tmp_path):
     assert result.silver.rows_in == result.silver.rows_out == 120
     assert result.kpis["kpi_global_summary"] == 1
     assert (tmp_path / "lake" / "models" / "taxi_price" / "stages").exists()
-    assert spark.read.parquet(str(tmp_path / "lake" / "run_metrics")).count() == 1
+    runs = spark.read.parquet(str(tmp_path / "lake" / "run_metrics")).collect()
+    assert {r["job"]: r["rows_out"] for r in runs} == {
+        "land taxi": result.landed["taxi"], "land weather": 0, "land news": 0, "silver": 120,
+        "gold": sum(result.kpis.values()), "training": 120,
+    }
+    compared = spark.read.parquet(str(tmp_path / "lake" / "models" / "taxi_price_comparison"))
+    assert {r["model"] for r in compared.collect()} == {learning.LINEAR, learning.FOREST}
+
+
+# target encoding
+
+
+def test_codes_say_nothing_about_their_own_fold(trips):
+    train, _ = learning.content_split(learning.training_rows(many(trips, n=400, zones=9)))
+    coded = learning.with_out_of_fold(train, learning.out_of_fold_encodings(learning.target_statistics(train), 3.0))
+    assert sorted(coded.columns) == sorted([*train.columns, *[f"{c}_enc" for c in learning.CATEGORICAL]])
+    rows = coded.withColumn("fold", learning.fold_of(coded)).collect()
+    assert len(rows) == train.count()
+    for name in learning.CATEGORICAL:
+        for row in rows[::37]:
+            others = [r["total_amount"] for r in rows if r["fold"] != row["fold"]]
+            same = [r["total_amount"] for r in rows if r["fold"] != row["fold"] and r[name] == row[name]]
+            prior = sum(others) / len(others)
+            assert row[f"{name}_enc"] == pytest.approx((sum(same) + 3 * prior) / (len(same) + 3))
+
+
+def test_codes_of_one_fold_and_unseen_codes(trips):
+    rows = learning.training_rows(many(trips, n=200, zones=200))
+    train, test = learning.content_split(rows)
+    features, assembled = learning.fit_target_features(train)
+    assert assembled.count() == train.count()  # a code that only one fold has is coded by the mean
+    mean = train.agg(F.avg("total_amount")).first()[0]
+    coded = features.transform(test).select("PULocationID_enc").collect()
+    assert {round(r[0], 6) for r in coded} == {round(mean, 6)} and len(coded) == test.count()
+
+
+def test_target_coded_training_is_saved_and_read(spark, trips, tmp_path):
+    silver = many(trips)
+    write_silver(silver, str(tmp_path / "s"))
+    training = run_training(spark, str(tmp_path / "s"), str(tmp_path / "m"), target_coded=True)
+    assert training.best == learning.LINEAR and training.comparison.first()["r2"] == pytest.approx(1.0)
+    forest = training.pipelines[learning.FOREST].stages[-1]
+    assert forest.getOrDefault("maxBins") == learning.DEFAULT_BINS
+    rows = learning.training_rows(silver)
+    reloaded = learning.load_model(str(tmp_path / "m")).transform(rows)
+    kept = training.best_pipeline.transform(rows)
+    assert sorted(reloaded.select("prediction").collect()) == sorted(kept.select("prediction").collect())
+    assert training.sizes["train"] + training.sizes["test"] == 600

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from plans import plan_of
 from tripmart.config import KpiSink
+from tripmart.functions.numeric import interleaved
 from tripmart.operators.cleaning import clean
 from tripmart.operators.kpis import CATALOGUE
 from tripmart.plans import silver as plan
 from tripmart.plans.gold import write_gold
-from tripmart.plans.silver import run_silver, run_silver_by_month
+from tripmart.plans.silver import run_silver, run_silver_by_month, run_zone_layout
+from tripmart.plans.study import PROFILE, VIEWS, run_profile, run_views
 from tripmart.sinks import snapshots
 from tripmart.sinks.snapshots import (
     NoSuchVersion,
@@ -234,3 +236,59 @@ def test_pinned_months_are_the_only_folders_listed(spark, table):
     silver, _ = table
     march = read_silver(spark, silver, months=[(2024, 3)])
     assert "month=4" not in plan_of(march) and len(march.inputFiles()) == 1
+
+
+# lookups by zone
+
+
+def test_zone_layout_keeps_the_rows_and_opens_few_files(spark, trips, tmp_path):
+    silver = str(tmp_path / "s")
+    rows = [
+        {"PULocationID": z, "DOLocationID": (z * 7) % 64, "fare_amount": 10.0 + z, "pickup_datetime": f"2024-03-{1 + z % 28:02d} 10:00:00",
+         "dropoff_datetime": f"2024-03-{1 + z % 28:02d} 10:30:00"}
+        for z in range(64)
+    ]
+    trips(*rows, {"PULocationID": None}, APRIL).write.parquet(str(tmp_path / "b"))
+    run_silver(spark, str(tmp_path / "b"), silver)
+    before = read_silver(spark, silver)
+    assert run_zone_layout(spark, silver, [(2024, 3)], rows_per_file=5) == 65
+    after = read_silver(spark, silver)
+    assert sorted(map(str, after.collect())) == sorted(map(str, before.collect()))
+    files = manifest(spark, silver).where("part = 'year=2024/month=3'").count()
+    (found,) = read_version(spark, silver, within={"PULocationID": (17, 17)})
+    assert files >= 13 and len(found.inputFiles()) <= files / 3
+    looked_up = read_silver(spark, silver, within={"PULocationID": (17, 17)})
+    assert [r["fare_amount"] for r in looked_up.collect()] == [27.0]
+    assert {r["change"] for r in changed_parts(spark, silver, 1, 2).collect()} == {"replaced"}
+
+
+def test_layout_needs_versions(spark, trips, tmp_path):
+    write_silver(clean(trips({})), str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="without versions"):
+        run_zone_layout(spark, str(tmp_path / "s"))
+
+
+def test_interleaved_bits(spark):
+    rows = [(0, 0), (1, 0), (0, 1), (5, 3), (65535, 65535), (70000, -4), (None, 2)]
+    df = spark.createDataFrame(rows, "a long, b long").select(interleaved(F.col("a"), F.col("b")).alias("m"))
+
+    def direct(a, b):
+        a, b = (min(max(v or 0, 0), 65535) for v in (a, b))
+        return sum(((a >> i & 1) << (2 * i + 1)) | ((b >> i & 1) << (2 * i)) for i in range(16))
+
+    assert [r["m"] for r in df.collect()] == [direct(*r) for r in rows]
+
+
+# the study and the presentation tables
+
+
+def test_study_and_views_are_written(spark, trips, tmp_path):
+    silver, gold = str(tmp_path / "s"), KpiSink(path=str(tmp_path / "g"), versioned=True)
+    write_silver(clean(trips({}, {"fare_amount": 21.0, "total_amount": 30.0}, APRIL)), silver)
+    counts = run_profile(spark, silver, KpiSink(path=str(tmp_path / "p")))
+    assert set(counts) == set(PROFILE) and counts["profile_trips_by_hour"] >= 1
+    assert spark.read.parquet(str(tmp_path / "p" / "profile_describe")).count() == counts["profile_describe"] == 8
+    write_gold(read_silver(spark, silver), gold)
+    shown = run_views(spark, gold, KpiSink(kind="json", path=str(tmp_path / "v")))
+    assert set(shown) == set(VIEWS) and shown["view_revenue_series"] == 2
+    assert spark.read.json(str(tmp_path / "v" / "view_monthly_series")).count() == 2

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tripmart.config import KpiSink, default_sources
 from tripmart.plans.full_run import run_all
 from tripmart.plans.gold import run_gold
-from tripmart.plans.silver import run_silver, run_silver_by_month
+from tripmart.plans.silver import run_silver, run_silver_by_month, run_zone_layout
+from tripmart.plans.study import run_profile, run_views
 from tripmart.plans.training import run_training
 from tripmart.sinks.snapshots import expire, manifest, versions
 from tripmart.sources.landing import land
+from tripmart.streaming.landing import land_new
 
 
 def _sink(args: argparse.Namespace) -> KpiSink:
@@ -31,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("land", help="copy the raw files of all sources")
     job.add_argument("raw")
     job.add_argument("bronze")
+    job.add_argument("--log", help="folder that keeps which files are landed; land only the others")
     job = jobs.add_parser("silver", help="clean raw trips")
     job.add_argument("bronze")
     job.add_argument("silver")
@@ -48,9 +51,22 @@ def main(argv: list[str] | None = None) -> None:
     job = jobs.add_parser("expire", help="delete old versions and their files")
     job.add_argument("table")
     job.add_argument("--keep", type=int, default=2)
+    job = jobs.add_parser("zones", help="lay the clean table out by zone, for lookups")
+    job.add_argument("silver")
+    job.add_argument("--month", action="append", help="only this month, as 2024-03")
+    job = jobs.add_parser("profile", help="write the tables of the exploratory study")
+    job.add_argument("silver")
+    job.add_argument("out")
+    job.add_argument("--sink", default="parquet", choices=("parquet", "json"))
+    job = jobs.add_parser("views", help="write the presentation tables of the KPI tables")
+    job.add_argument("gold")
+    job.add_argument("out")
+    job.add_argument("--sink", default="parquet", choices=("parquet", "json"))
+    job.add_argument("--versioned", action="store_true", help="the KPI tables were published together")
     job = jobs.add_parser("train", help="train and save the price model")
     job.add_argument("silver")
     job.add_argument("model")
+    job.add_argument("--target-coded", action="store_true", help="code zones by their mean price")
     job = jobs.add_parser("all", help="all jobs in order")
     job.add_argument("raw")
     job.add_argument("lake")
@@ -59,7 +75,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tripmart-{args.job}").getOrCreate()
     named = getattr(args, "month", None) or []
     months = [tuple(map(int, month.split("-"))) for month in named] or None
-    if args.job == "land":
+    if args.job == "land" and args.log:
+        print(land_new(spark, default_sources(args.raw), args.bronze, args.log))
+    elif args.job == "land":
         print(land(spark, default_sources(args.raw), args.bronze))
     elif args.job == "silver" and months:
         print(run_silver_by_month(spark, args.bronze, args.silver, months))
@@ -67,6 +85,13 @@ def main(argv: list[str] | None = None) -> None:
         print(run_silver(spark, args.bronze, args.silver, replace_all=not args.only_months))
     elif args.job == "gold":
         print(run_gold(spark, args.silver, _sink(args), months, args.cells))
+    elif args.job == "zones":
+        print(run_zone_layout(spark, args.silver, months))
+    elif args.job == "profile":
+        print(run_profile(spark, args.silver, KpiSink(kind=args.sink, path=args.out)))
+    elif args.job == "views":
+        gold = KpiSink(path=args.gold, versioned=args.versioned)
+        print(run_views(spark, gold, KpiSink(kind=args.sink, path=args.out)))
     elif args.job == "versions":
         for version in versions(spark, args.table):
             rows = manifest(spark, args.table, version).agg(F.sum("nb_rows")).first()[0]
@@ -74,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "expire":
         print(expire(spark, args.table, args.keep))
     elif args.job == "train":
-        training = run_training(spark, args.silver, args.model)
+        training = run_training(spark, args.silver, args.model, args.target_coded)
         training.comparison.show(truncate=False)
         print(training.best)
     else:

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 # the generic URI split: group 3 is the path, group 4 the query
 _URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
 # blanks at either end of a text: white space of Unicode and the separators U+001C to U+001F
-_BLANK = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}]+"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 DEFAULT_SLUG = "feed"
 
 
@@ -33,9 +37,7 @@ def tag_openings(markup: Column, tag: str) -> Column:
 
 def comma_list(text: Column) -> Column:
     """The trimmed, non-empty values of a comma-separated list."""
-    parts = F.transform(
-        F.split(text, ","), lambda part: F.regexp_replace(part, f"^{_BLANK}|{_BLANK}$", "")
-    )
+    parts = F.transform(F.split(text, ","), lambda part: F.btrim(part, F.lit(BLANKS)))
     return F.filter(parts, lambda part: part != "")
 
 

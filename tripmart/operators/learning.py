@@ -6,12 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tripmart.functions.columns import free_name
+
 # fixed values: what the models learn from, and how
 TARGET = "total_amount"
 CATEGORICAL = ("PULocationID", "DOLocationID", "payment_type")
@@ -31,6 +40,8 @@ SPLIT_KEYS = (
     "payment_type",
 )
 DEFAULT_BINS = 32
+# folds of the train rows for target encoding, and how many rows the mean of all codes weighs
+FOLDS, SMOOTHING = 5, 20.0
 # split statistics a task may hold; more of it means fewer passes over the rows per tree level
 FOREST_MEMORY_MB = 512
 
@@ -126,8 +137,88 @@ def fit_features(
     return Pipeline(stages=feature_stages(one_hot)).fit(train)
 
 
+def fold_of(df: DataFrame, folds: int = FOLDS) -> Column:
+    """The fold of a train row: like the split, it depends on the content only."""
+    return split_bucket(df) % folds
+
+
+def target_statistics(train: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """column, code, fold, nb_rows, total: what each fold says of each code, in one scan.
+
+    The groups are combined before the shuffle, so a code with most of the rows sends one row a task.
+    """
+    codes = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("code")) for c in columns])
+    entries = train.select(fold_of(train).alias("fold"), TARGET, F.explode(codes).alias("e"))
+    return entries.groupBy("e.column", "e.code", "fold").agg(
+        F.count("*").alias("nb_rows"), F.sum(TARGET).alias("total")
+    )
+
+
+def out_of_fold_encodings(statistics: DataFrame, smoothing: float = SMOOTHING, folds: int = FOLDS) -> DataFrame:
+    """column, code, fold, encoded: the mean target of a code in all other folds.
+
+    Means of few rows are drawn to that of all codes, which weighs as much as ``smoothing`` rows;
+    it leaves the fold out too. A code that only its own fold has gets that mean. So no row says
+    anything about its own target. A table of codes times folds, which never is on the driver.
+    """
+    by_code = statistics.groupBy("column", "code").agg(F.sum("nb_rows").alias("rows"), F.sum("total").alias("sum"))
+    by_fold = statistics.groupBy("column", "fold").agg(F.sum("nb_rows").alias("fold_rows"), F.sum("total").alias("fold_sum"))
+    whole = by_fold.groupBy("column").agg(F.sum("fold_rows").alias("all_rows"), F.sum("fold_sum").alias("all_sum"))
+    own = (
+        statistics.join(by_code, ["column", "code"])
+        .join(F.broadcast(by_fold), ["column", "fold"])  # a row a column and fold
+        .join(F.broadcast(whole), "column")  # a row a column
+    )
+    prior = F.try_divide(F.col("all_sum") - F.col("fold_sum"), F.col("all_rows") - F.col("fold_rows"))
+    prior = F.coalesce(prior, F.lit(0.0))
+    rows, total = F.col("rows") - F.col("nb_rows"), F.col("sum") - F.col("total")
+    encoded = F.try_divide(total + prior * smoothing, rows + F.lit(smoothing))
+    return own.select("column", "code", "fold", F.coalesce(encoded, prior).alias("encoded"))
+
+
+def with_out_of_fold(train: DataFrame, encodings: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """Train rows with ``<column>_enc`` from the other folds; adaptive execution splits frequent codes."""
+    fold = free_name("_fold", train.columns)
+    rows = train.withColumn(fold, fold_of(train))
+    for name in columns:
+        own = encodings.where(F.col("column") == name).select(
+            F.col("code").alias(f"{name}_code"), F.col("fold").alias(f"{name}_fold"), F.col("encoded").alias(f"{name}_enc")
+        )
+        same = (F.col(name).cast("double") == F.col(f"{name}_code")) & (F.col(fold) == F.col(f"{name}_fold"))
+        rows = rows.join(own, same).drop(f"{name}_code", f"{name}_fold")
+    return rows.drop(fold)
+
+
+def target_encoder(smoothing: float = SMOOTHING, columns: Sequence[str] = CATEGORICAL) -> TargetEncoder:
+    """The stage that codes new rows: by the means of all train rows, unseen codes by that of all."""
+    return TargetEncoder(
+        inputCols=[f"{c}_num" for c in columns],
+        outputCols=[f"{c}_enc" for c in columns],
+        labelCol=TARGET,
+        targetType="continuous",
+        handleInvalid="keep",
+        smoothing=smoothing,
+    )
+
+
+def fit_target_features(train: DataFrame, smoothing: float = SMOOTHING) -> tuple[PipelineModel, DataFrame]:
+    """The feature pipeline for new rows, and the assembled train rows with out-of-fold codes."""
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}_num" for c in CATEGORICAL)
+    numbers = SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__")
+    coded = [f"{c}_enc" for c in CATEGORICAL]
+    assemble = VectorAssembler(inputCols=[*NUMERIC, *coded], outputCol="features", handleInvalid="skip")
+    features = Pipeline(stages=[numbers, target_encoder(smoothing), assemble]).fit(train)
+    encodings = out_of_fold_encodings(target_statistics(train), smoothing)
+    return features, assemble.transform(with_out_of_fold(train, encodings))
+
+
 def forest_bins(features: PipelineModel) -> int:
-    """Enough bins for the largest categorical feature with its index for unseen labels."""
+    """Enough bins for the largest categorical feature with its index for unseen labels.
+
+    Target-coded features are numbers, which the default bins are enough for.
+    """
+    if not isinstance(features.stages[0], StringIndexerModel):
+        return DEFAULT_BINS
     labels = features.stages[0].labelsArray
     return max(DEFAULT_BINS, *[len(known) + 1 for known in labels])
 
@@ -200,17 +291,24 @@ class Training:
         return self.pipelines[self.best]
 
 
-def train_and_compare(trips: DataFrame, one_hot: bool = False) -> Training:
+def train_and_compare(
+    trips: DataFrame, one_hot: bool = False, target_coded: bool = False
+) -> Training:
     """Fit both models on the train rows and compare them on the test rows.
 
-    The features are fitted once. The assembled train rows are kept (memory, then disk) for the
+    The features are fitted once. Codes are indexes, vectors with ``one_hot``, or means of the
+    target in other folds with ``target_coded``, which serves any number of codes. The assembled train rows are kept (memory, then disk) for the
     passes of the linear model only; lost blocks are recomputed from the trips. Both models are
     scored in one scan of the test rows.
     """
     rows = training_rows(trips)
     train, test = content_split(rows)
-    features = fit_features(train, one_hot)
-    assembled = features.transform(train).select("features", TARGET)
+    if target_coded:
+        features, assembled = fit_target_features(train)
+    else:
+        features = fit_features(train, one_hot)
+        assembled = features.transform(train)
+    assembled = assembled.select("features", TARGET)
     fitted = {}
     for name, estimator in estimators(forest_bins(features)).items():
         # the forest keeps a binned copy of its own, so only the linear model needs the rows kept
@@ -224,7 +322,8 @@ def train_and_compare(trips: DataFrame, one_hot: bool = False) -> Training:
                 assembled.unpersist()
     scored, columns = predict_all(features.transform(test), fitted)
     metrics = regression_metrics(scored, columns).collect()
-    sizes = {"train": train.count(), "test": test.count()}
+    is_train = split_bucket(rows) < TRAIN_PERCENT
+    sizes = rows.agg(F.count_if(is_train).alias("train"), F.count_if(~is_train).alias("test")).first().asDict()
     comparison = ranked(trips.sparkSession.createDataFrame(metrics))
     best = min(metrics, key=lambda row: (row["rmse"], row["model"]))["model"]
     pipelines = {

@@ -22,9 +22,9 @@ from tripmart.sinks.snapshots import (
     start_run,
     written_files,
 )
-from tripmart.sinks.tables import write_silver
+from tripmart.sinks.tables import ROWS_PER_FILE, write_by_zone, write_silver
 from tripmart.sources.documents import file_inventory
-from tripmart.sources.trips import read_bronze
+from tripmart.sources.trips import read_bronze, read_silver
 
 Month = tuple[int, int]
 
@@ -174,3 +174,30 @@ def run_silver_by_month(
         abandon(spark, begun)
         raise
     return done
+
+
+def run_zone_layout(
+    spark: SparkSession,
+    silver: str,
+    months: Iterable[Month] | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> int:
+    """Publish some months of the clean table, or all, in files of neighbouring zones.
+
+    The rows stay the same. A lookup by zone (``read_silver(..., within=...)``) then opens the few
+    files whose bounds hold it. Worth it once a month is complete; returns the rows written.
+    """
+    if not is_published(spark, silver):
+        raise ValueError(f"{silver} was written without versions; clean all its months once")
+    wanted = None if months is None else list(months)
+    run = start_run(spark, silver)
+    trips = read_silver(spark, silver, wanted, version=run.base)
+    try:
+        rows = write_by_zone(trips, run.folder, rows_per_file)
+        files = written_files(spark, run, trips.schema, BOUND_COLUMNS)
+        parts = None if wanted is None else [part_name(year=y, month=m) for y, m in wanted]
+        publish(spark, run, files, {"": trips.schema}, parts)
+    except Exception:
+        abandon(spark, run)
+        raise
+    return rows

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import KpiSink, session_settings
+from tripmart.functions.numeric import interleaved
 from tripmart.operators.kpis import Kpi
 from tripmart.schema import SILVER_PARTITIONS
 from tripmart.sinks.snapshots import part_folder
 
 # shuffled bytes per file of the clean table; Spark's default of 64 MB makes files too small
 FILE_SHUFFLE_BYTES = "256m"
+ROWS_PER_FILE = 4_000_000
 
 
 def _counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
@@ -61,6 +63,26 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> Writt
     return Written(seen.get["rows"], months)
 
 
+def write_by_zone(trips: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write clean trips by month, in files of neighbouring zones.
+
+    Rows are dealt by ranges of month, interleaved pickup and drop-off zone, and time, so a
+    frequent pair of zones is cut by time. Each file has narrow bounds of both zones, and a Parquet
+    bloom filter of each tells row groups without a zone apart.
+    """
+    place = interleaved(F.col("PULocationID"), F.col("DOLocationID"))
+    order = [F.col(c) for c in SILVER_PARTITIONS] + [place, F.col("pickup_datetime")]
+    # as many ranges as files are wanted; a month begins a file of its own in any case
+    n_files = max(1, -(-trips.count() // rows_per_file))
+    dealt = trips.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+    counted, seen = _counted(dealt, "by-zone")
+    writer = counted.write.mode("append").partitionBy(*SILVER_PARTITIONS).option("maxRecordsPerFile", rows_per_file)
+    for zone in ("PULocationID", "DOLocationID"):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{zone}", "true")
+    writer.parquet(path)
+    return seen.get["rows"]
+
+
 def drop_months(
     spark: SparkSession,
     path: str,

@@ -42,6 +42,17 @@ def land_documents(files: DataFrame, target: str, name: str) -> None:
     land_rows(named, target, name)
 
 
+def land_source(spark: SparkSession, source: SourceSpec, target: str) -> int:
+    """Copy a source below ``target`` and return its number of files; 0 if there is none."""
+    files = source_files(spark, source)
+    n_files = 0 if files is None else files.select("path").count()
+    if n_files and source.layout == "rows":
+        land_rows(trips_by_file(spark, source.folder, source.pattern), target, source.name)
+    elif n_files:
+        land_documents(files, target, source.name)
+    return n_files
+
+
 def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dict[str, int]:
     """Copy every source below ``target`` and return its number of files.
 
@@ -52,16 +63,7 @@ def land(spark: SparkSession, sources: Iterable[SourceSpec], target: str) -> dic
     file name: landing a file again replaces it and leaves the others, as copying into a folder
     would.
     """
-    landed: dict[str, int] = {}
-    for source in sources:
-        files = source_files(spark, source)
-        landed[source.name] = 0 if files is None else files.select("path").count()
-        if not landed[source.name]:
-            continue
-        if source.layout == "rows":
-            land_rows(trips_by_file(spark, source.folder, source.pattern), target, source.name)
-        else:
-            land_documents(files, target, source.name)
+    landed = {source.name: land_source(spark, source, target) for source in sources}
     if not sum(landed.values()):
         raise NothingLanded("no file was found for any source")
     return landed
