@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterator
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.config import scratch_path
+from tripmart.config import scratch_path, session_settings
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -98,6 +99,15 @@ class IdFilter:
         return (words >> (places % 64).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Settings for jobs whose tasks read whole texts in Python: few megabytes of them at once."""
+    return session_settings(
+        spark,
+        spark__sql__execution__arrow__maxRecordsPerBatch=1000,
+        spark__sql__execution__arrow__maxBytesPerBatch=4 << 20,
+    )
+
+
 def is_held_out(id_col: str, modulus: int, remainder: int) -> Column:
     """Whether a row is kept away from training: a fixed remainder of the id's checksum."""
     checksum = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
