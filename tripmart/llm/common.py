@@ -99,6 +99,17 @@ class IdFilter:
         return (words >> (places % 64).astype(np.uint64)) & np.uint64(1) == 1
 
 
+def id_as_text(column: str, kind: str) -> Column:
+    """An id as text, for jobs that go through pandas: there a whole number beside a null becomes a
+    fraction, and large ones change."""
+    return F.hex(column) if kind == "binary" else F.col(column).cast("string")
+
+
+def id_from_text(column: str, kind: str) -> Column:
+    """The id again, of its own type."""
+    return F.unhex(column) if kind == "binary" else F.col(column).cast(kind)
+
+
 def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
     """Settings for jobs whose tasks read whole texts in Python: few megabytes of them at once."""
     return session_settings(

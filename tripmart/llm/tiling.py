@@ -7,14 +7,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import IdFilter, slices, stored
+from tripmart.llm.common import IdFilter, id_as_text, id_from_text, slices, stored
 from tripmart.llm.shingles import PLAIN, mix, words
 
 TILE_WORDS = 5
 COVERAGE = 0.5
+STOCK_ITEMS = 20  # a window of more items than these is a stock phrase
 _BASE = 0x2545F4914F6CDD1D  # odd, so that it has an inverse modulo 2**64
 
 
@@ -111,8 +112,11 @@ def find_passages(
     compared without ASCII punctuation and case. ``tiles`` lists (doc_word, item_word, words).
 
     Windows of every document are held against a bitmap of fixed size of the items' windows; what
-    passes is joined with the items by hash, so neither table has to be small. A pair of document
-    and item is tiled in one task, from its shared windows alone.
+    passes is joined with the items by hash, so neither table has to be small. Windows that more than
+    ``STOCK_ITEMS`` items share do not make a pair by themselves, unless they alone could cover
+    enough of the item: else a document needs another window of the item in any case. Of the pairs
+    found, those go on whose shared windows together reach ``coverage`` of the item's words, which no
+    tiling can exceed. A pair of document and item is tiled in one task, from its shared windows alone.
 
     Items of fewer words than a tile have to occur as a whole. Null and empty texts match nothing.
     Rows that repeat an id with another text are looked at one by one; equal rows count once; null
@@ -130,6 +134,7 @@ def find_passages(
                 yield pd.DataFrame(
                     {
                         "item_id": frame["item_id"].to_numpy()[owner[own]],
+                        "item_key": frame["item_key"].to_numpy()[owner[own]],
                         "item_words": counts[owner[own]],
                         "width": np.full(own.sum(), width, np.int32),
                         "item_at": place[own],
@@ -137,13 +142,18 @@ def find_passages(
                     }
                 )
 
-    known = stored(
-        items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-        .distinct()
-        .mapInPandas(
-            item_seeds, f"item_id {item_type}, item_words long, width int, item_at long, seed long"
+    item_rows = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).distinct()
+    known = _with_stock(
+        stored(
+            item_rows.select(
+                id_as_text("item_id", item_type).alias("item_id"), F.xxhash64("item_id", "text").alias("item_key"), "text"
+            ).mapInPandas(
+                item_seeds,
+                "item_id string, item_key long, item_words long, width int, item_at long, seed long",
+            ),
+            "item-seeds",
         ),
-        "item-seeds",
+        coverage,
     )
     widths = sorted(r["width"] for r in known.select("width").distinct().collect())
     wanted = IdFilter.of(known, "seed", direct=True)
@@ -163,11 +173,17 @@ def find_passages(
                     }
                 )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = rows.withColumn("text_key", F.xxhash64("text")).select("doc_id", "text_key", "text").mapInPandas(
-        hits, f"doc_id {id_type}, text_key long, width int, doc_at long, seed long"
+    rows = docs.select(
+        id_as_text(id_col, id_type).alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")
     )
-    pairs = stored(found.join(known, ["seed", "width"]).drop("seed").distinct(), "seed-pairs")
+    found = stored(
+        rows.mapInPandas(hits, "doc_id string, text_key long, width int, doc_at long, seed long").distinct(), "hits"
+    )
+    pairs = stored(_seed_pairs(found, known), "seed-pairs")
+    pair = ("doc_id", "text_key", "item_key")
+    # equal by nulls too, so that documents without an id are not lost
+    able = _reaching(pairs, pair, coverage).toDF("doc", "text", "item")
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("text")) & (F.col("item_key") == F.col("item"))
 
     def tiled(frame: pd.DataFrame) -> pd.DataFrame:
         first = frame.iloc[0]
@@ -184,12 +200,71 @@ def find_passages(
             }
         )
 
-    return (
-        pairs.groupBy("doc_id", "text_key", "item_id", "item_words")
+    tiles = (
+        pairs.join(able, same, "left_semi")
+        .groupBy(*pair)
         .applyInPandas(
             tiled,
-            f"doc_id {id_type}, item_id {item_type}, item_words long, matched_words long, "
+            "doc_id string, item_id string, item_words long, matched_words long, "
             "coverage double, tiles array<struct<doc_word:long,item_word:long,words:long>>",
         )
         .where(F.col("coverage") >= coverage)
     )
+    return tiles.withColumns(
+        {"doc_id": id_from_text("doc_id", id_type), "item_id": id_from_text("item_id", item_type)}
+    )
+
+
+def _covered(places: Column, width: Column) -> Column:
+    """How many words windows of one width at these places cover together."""
+    sorted_places = F.array_sort(places)
+    after = F.slice(sorted_places, 2, F.greatest(F.size(sorted_places) - 1, F.lit(0)))
+    gaps = F.zip_with(F.slice(sorted_places, 1, F.size(after)), after, lambda a, b: F.least(b - a, width))
+    return F.aggregate(gaps, width.cast("long"), lambda total, gap: total + gap)
+
+
+def _reaching(rows: DataFrame, keys: Iterable[str], coverage: float) -> DataFrame:
+    """The keys whose windows together cover enough of the item to be worth tiling."""
+    gathered = rows.groupBy(*keys).agg(
+        F.collect_set("item_at").alias("places"),  # no more than the item has words
+        F.first("width").alias("width"),
+        F.first("item_words").alias("item_words"),
+    )
+    enough = _covered(F.col("places"), F.col("width")) >= F.col("item_words") * coverage
+    return gathered.where(enough).select(*keys)
+
+
+def _with_stock(known: DataFrame, coverage: float) -> DataFrame:
+    """Item windows with ``lone``: whether a document that has this window may be held against the item.
+
+    Windows of many items are not, unless these alone can cover enough of the item.
+    """
+    shared = known.groupBy("seed", "width").agg(F.count_distinct("item_key").alias("n"))
+    stock = stored(
+        known.join(shared, ["seed", "width"]).withColumn("stock", F.col("n") > STOCK_ITEMS).drop("n"), "stock"
+    )
+    by_stock = _reaching(stock.where("stock"), ["item_key"], coverage).withColumn("by_stock", F.lit(True))
+    flagged = stock.join(by_stock, "item_key", "left")
+    return stored(
+        flagged.withColumn("lone", ~F.col("stock") | F.coalesce("by_stock", F.lit(False))).drop("stock", "by_stock"),
+        "known",
+    )
+
+
+def _seed_pairs(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Windows that a document and an item share, for the pairs that need to be looked at."""
+    direct = stored(found.join(known.where("lone").drop("lone"), ["seed", "width"]), "direct")
+    stock = known.where("not lone").drop("lone")
+    in_stock = stock.select("seed", "width").distinct()
+    pairs = direct.select("doc_id", "text_key", "item_key").distinct()
+    candidates = pairs.join(stock.select("item_key").distinct(), "item_key", "left_semi").select(
+        F.col("doc_id").alias("doc"), F.col("text_key").alias("text"), "item_key"
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("text"))
+    more = (
+        found.join(in_stock, ["seed", "width"], "left_semi")
+        .join(candidates, same)
+        .drop("doc", "text")
+        .join(stock, ["item_key", "seed", "width"])
+    )
+    return direct.unionByName(more).drop("seed")
