@@ -10,7 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import IdFilter, connected_components, release, slices, stored
+from tripmart.llm.common import (
+    IdFilter,
+    connected_components,
+    id_as_text,
+    id_from_text,
+    release,
+    slices,
+    stored,
+)
 from tripmart.llm.shingles import mix, shingle_sets
 
 LEAST_BITS, BITS_PER_SHINGLE = 1_024, 3
@@ -158,8 +166,9 @@ def _slim(docs: DataFrame, width: int, num: int, den: int, id_type: str) -> Data
                 }
             )
 
-    schema = f"doc_id {id_type}, n long, node long, prefix array<long>, n_index int, bits array<long>"
-    return docs.mapInPandas(make, schema)
+    schema = "doc_id string, n long, node long, prefix array<long>, n_index int, bits array<long>"
+    made = docs.select(id_as_text("doc_id", id_type).alias("doc_id"), "text").mapInPandas(make, schema)
+    return made.withColumn("doc_id", id_from_text("doc_id", id_type))
 
 
 def _whole_sets(docs: DataFrame, wanted: IdFilter, width: int) -> DataFrame:
