@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import is_held_out, slices
+from tripmart.llm.common import id_as_text, id_from_text, is_held_out, slices
 
 WINDOW = 64  # bytes that the network sees together
 HIDDEN = 8
@@ -267,9 +267,8 @@ def label(
             out = pd.DataFrame({"doc_id": frame["doc_id"], "lang_pred": langs, "score": scores})
             yield out.assign(runs=stretches) if runs else out
 
-    schema = f"doc_id {id_type}, lang_pred string, score double"
+    schema = "doc_id string, lang_pred string, score double"
     if runs:
         schema += ", runs array<struct<start:long,end:long,lang:string>>"
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        labelled, schema
-    )
+    rows = docs.select(id_as_text(id_col, id_type).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(labelled, schema).withColumn("doc_id", id_from_text("doc_id", id_type))

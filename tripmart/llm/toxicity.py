@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import is_held_out, slices, stored
+from tripmart.llm.common import id_as_text, id_from_text, is_held_out, slices, stored
 
 MAX_TRAINING_DOCUMENTS = 12_000
 MIN_DOCUMENTS = 5
@@ -107,14 +107,16 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     max_documents: int = MAX_TRAINING_DOCUMENTS,
+    min_documents: int = MIN_DOCUMENTS,
+    max_features: int = MAX_FEATURES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> SentenceModel:
     """A model from labelled documents that are not held out, at most about ``max_documents`` of them.
 
     The sample takes ids in the order of their hash, so it is the same in every run. Features are
-    those in at least ``MIN_DOCUMENTS`` of its documents, the ``MAX_FEATURES`` that differ most
-    between labels; they are counted on the executors, and the driver gets only their numbers for
+    those in at least ``min_documents`` of its documents, the ``max_features`` that differ most
+    between labels, and of these the ones whose weight is above a thousandth; they are counted on the executors, and the driver gets only their numbers for
     each sentence. Rows without a label are not used. Of repeated labels the largest counts.
     """
     known = (
@@ -156,9 +158,9 @@ def train(
     rank = contrast(n_clean, sum(sizes.values()) - n_clean, F.col("clean"), F.col("toxic"))
     names = [
         r["f"]
-        for r in counted.where(F.col("clean") + F.col("toxic") >= MIN_DOCUMENTS)
+        for r in counted.where(F.col("clean") + F.col("toxic") >= min_documents)
         .orderBy(rank.desc(), "f")
-        .limit(MAX_FEATURES)
+        .limit(max_features)
         .collect()
     ]
     number = {f: i for i, f in enumerate(names)}
@@ -240,9 +242,8 @@ def score(
             )
 
     schema = (
-        f"doc_id {id_type}, score double, predicted int, "
+        "doc_id string, score double, predicted int, "
         "offending array<struct<start:long,end:long,probability:double>>"
     )
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        scored, schema
-    )
+    texts = docs.select(id_as_text(id_col, id_type).alias("doc_id"), F.col(text_col).alias("text"))
+    return texts.mapInPandas(scored, schema).withColumn("doc_id", id_from_text("doc_id", id_type))
