@@ -7,9 +7,11 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.columns import free_name
 from tripmart.llm.common import stored
 from tripmart.llm.tokens import RANKS, VOCABULARY, encoder, vocabulary_path
 
@@ -242,50 +244,56 @@ def pack_group(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return number, offset, fill
 
 
-def _packer(capacity: int, level: int):
-    def packed(frame):
-        number, offset, fill = pack_group(frame["length"].to_numpy(), capacity)
-        base = (level << 56) + (int(frame["__group"].iloc[0]) << 24)
-        return frame.drop(columns="__group").assign(
-            sequence_id=base + number, offset=offset, __fill=fill
-        )
+def _packer(capacity: int, level: int, group: str, fill: str):
+    def packed(table: pa.Table) -> pa.Table:
+        numbers, offsets, fills = pack_group(table.column("length").to_numpy(), capacity)
+        base = (level << 56) + (table.column(group)[0].as_py() << 24)
+        columns = {"sequence_id": base + numbers, "offset": offsets, fill: fills}
+        kept = table.drop_columns([group])
+        for name, values in columns.items():
+            kept = kept.append_column(name, pa.array(values, pa.int64()))
+        return kept
 
     return packed
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; every other column is kept.
+    """``pieces`` with ``sequence_id`` and ``offset``; every other column is kept as it is.
 
-    Pieces are dealt evenly, whatever their ids, into groups of about ``group_rows``, each packed in one task by best fit and
-    local search. Sequences with a gap over a 64th of the capacity are dissolved, and their pieces
-    packed again in fewer groups; the others stay as they are. That ends when one group holds the
-    rest, or with several groups as they are when a level had more than half of the pieces of the
-    one before. So what is wasted grows with the input: the gaps of the sequences that stay and,
-    in the second case, underfull ones in each group. Lengths have to lie between 1 and ``capacity``.
+    Pieces are dealt evenly, whatever their ids, into groups of about ``group_rows``, each packed in
+    one task by best fit and local search. Sequences with a gap over a 64th of the capacity are
+    dissolved, and their pieces packed again in fewer groups; the others stay as they are. That ends
+    when one group holds the rest, or with several groups as they are when a level had more than half
+    of the pieces of the one before. So what is wasted grows with the input: the gaps of the sequences
+    that stay and, in the second case, underfull ones in each group. Lengths have to lie between 1 and
+    ``capacity``.
 
     Repeated rows are packed as often as they come. An empty table gives no rows. Columns named
-    ``sequence_id`` or ``offset`` in the input are replaced.
+    ``sequence_id`` or ``offset`` in the input are replaced; all others may have any name.
     """
     # rows are dealt by a number of their own: ids may be null or repeated
-    kept = pieces.drop("sequence_id", "offset").withColumn("__row", F.monotonically_increasing_id())
+    given = pieces.drop("sequence_id", "offset")
+    row, group, fill = (free_name(name, given.columns) for name in ("__row", "__group", "__fill"))
+    kept = given.withColumn(row, F.monotonically_increasing_id())
     names, types = kept.columns, [f.dataType.simpleString() for f in kept.schema]
     schema = ", ".join(
-        f"`{n}` {t}" for n, t in zip([*names, "sequence_id", "offset", "__fill"], [*types, "long", "long", "long"])
+        f"`{n}` {t}" for n, t in zip([*names, "sequence_id", "offset", fill], [*types, "long", "long", "long"])
     )
     waiting, done, level, before = stored(kept, "pieces"), [], 0, None
     while True:
         count = waiting.count()
         groups = max(1, -(-count // group_rows))
-        spread = waiting.withColumn("__group", F.pmod(F.xxhash64("__row", F.lit(level)), F.lit(groups)))
-        result = stored(spread.groupBy("__group").applyInPandas(_packer(capacity, level), schema), "packed")
+        spread = waiting.withColumn(group, F.pmod(F.xxhash64(row, F.lit(level)), F.lit(groups)))
+        packer = _packer(capacity, level, group, fill)
+        result = stored(spread.groupBy(group).applyInArrow(packer, schema), "packed")
         if groups == 1 or (before is not None and count > before / 2):  # packing again gains little
             done.append(result)
             break
-        full = F.col("__fill") >= capacity - capacity // 64
+        full = F.col(fill) >= capacity - capacity // 64
         done.append(result.where(full))
-        again = result.where(~full).drop("sequence_id", "offset", "__fill")
+        again = result.where(~full).drop("sequence_id", "offset", fill)
         waiting, level, before = again, level + 1, count
     out = done[0]
     for part in done[1:]:
         out = out.union(part)
-    return out.drop("__fill", "__row")
+    return out.drop(fill, row)

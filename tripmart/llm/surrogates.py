@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.functions.columns import free_name
 from tripmart.llm.common import stored
 
 MARK, ESCAPE = "\x01", "\x02"
@@ -150,22 +151,30 @@ def _ip(value: Column, digest: Column, attempt: Column) -> Column:
     return F.array_join(F.transform(F.split(value, r"\."), octet), ".")
 
 
-def _name(value: Column, key: str, attempt: Column) -> Column:
-    """The form of address, then for each word a made-up one of its script and gender.
+def _name_words(value: Column) -> Column:
+    """The words of a name after its form of address, each with the kind of word that it is.
 
-    A family name depends on itself only, so it is the same with and without a given name.
+    The last one is the family name, one before it a given name of the gender that the title tells.
     """
     title = F.substring_index(value, " ", 1)
     words = F.slice(F.split(value, " "), 2, 2)
     female = F.regexp_replace(title, r"\.", "").isin([t.lower() for t in FEMALE])
+    given = F.when(female, F.lit("word f")).otherwise(F.lit("word m"))
+    return F.transform(
+        words,
+        lambda w, i: F.struct(F.when(i == F.size(words) - 1, F.lit("word family")).otherwise(given).alias("kind"), w.alias("value")),
+    )
+
 
-    def made(word: Column, is_family: Column, script: str) -> Column:
-        role = F.when(is_family, F.lit("family")).when(female, F.lit("f")).otherwise(F.lit("m"))
-        digest = _digest(key, F.lit("word"), word, role, attempt)
+def _word(kind: Column, word: Column, key: str, attempt: Column) -> Column:
+    """A made-up word of a name, of the script and gender of the original."""
+    digest = _digest(key, F.lit("word"), word, F.replace(kind, F.lit("word "), F.lit("")), attempt)
+
+    def made(script: str) -> Column:
         syllables, endings = _SYLLABLES[script], _ENDINGS[script]
         end = (
-            F.when(is_family, _of_list(endings["family"], _number(digest, 3)))
-            .when(female, _of_list(endings["f"], _number(digest, 3)))
+            F.when(kind == "word family", _of_list(endings["family"], _number(digest, 3)))
+            .when(kind == "word f", _of_list(endings["f"], _number(digest, 3)))
             .otherwise(_of_list(endings["m"], _number(digest, 3)))
         )
         return F.concat(
@@ -174,15 +183,11 @@ def _name(value: Column, key: str, attempt: Column) -> Column:
             F.when(attempt >= 2, _of_list(syllables, _number(digest, 4))).otherwise(""), end,
         )
 
-    def word(w: Column, i: Column) -> Column:
-        is_family = i == F.size(words) - 1
-        return (
-            F.when(w.rlike(r"\p{IsCyrillic}"), made(w, is_family, "cyrillic"))
-            .when(w.rlike(r"\p{IsGreek}"), made(w, is_family, "greek"))
-            .otherwise(made(w, is_family, "latin"))
-        )
-
-    return F.concat(title, F.lit(" "), F.array_join(F.transform(words, word), " "))
+    return (
+        F.when(word.rlike(r"\p{IsCyrillic}"), made("cyrillic"))
+        .when(word.rlike(r"\p{IsGreek}"), made("greek"))
+        .otherwise(made("latin"))
+    )
 
 
 def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
@@ -195,7 +200,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "card", _card(value, digest))
         .when(kind == "ssn", F.concat(F.lit("9"), _shaped(F.substr(value, F.lit(2), F.lit(8)), digest)))
         .when(kind == "ip", _ip(value, digest, attempt))
-        .otherwise(_name(value, key, attempt))
+        .otherwise(_word(kind, value, key, attempt))
     )
 
 
@@ -238,6 +243,28 @@ def in_form_of(kind: Column, raw: Column, made: Column) -> Column:
 def distinct_surrogates(values: DataFrame, key: str, rounds: int = 64) -> DataFrame:
     """``values`` (kind, value) with a surrogate that no other value has and that is no value itself.
 
+    Names are made of the surrogates of their words, which are distinct by themselves. So a family
+    name stays the same with and without a given name, also where a word had to be tried again.
+    """
+    in_names = stored(
+        values.where("kind = 'name'").select("value", F.posexplode(_name_words(F.col("value"))).alias("at", "part")),
+        "names",
+    )
+    words = in_names.select("part.kind", "part.value").distinct()
+    made = _distinct(stored(values.where("kind <> 'name'").select("kind", "value").union(words), "plain"), key, rounds)
+    own = made.where(F.col("kind").startswith("word ")).toDF("word_kind", "word", "made")
+    joined = in_names.join(own, (F.col("part.kind") == F.col("word_kind")) & (F.col("part.value") == F.col("word")))
+    names = joined.groupBy("value").agg(F.sort_array(F.collect_list(F.struct("at", "made"))).alias("words")).select(
+        F.lit("name").alias("kind"),
+        "value",
+        F.concat_ws(" ", F.substring_index("value", " ", 1), F.col("words.made")).alias("made"),
+    )
+    return made.where(~F.col("kind").startswith("word ")).select("kind", "value", "made").union(names)
+
+
+def _distinct(values: DataFrame, key: str, rounds: int) -> DataFrame:
+    """Distinct surrogates of plain values and of the words of names.
+
     All values start with their first surrogate. Of those that share one, the earliest attempt and
     then the least value keeps it; the others, and those that hit an original, try their next.
     """
@@ -296,6 +323,8 @@ def replace_personal_data(
     A null text stays null, an empty one empty. Repeated rows are all replaced alike; a null id is
     an id like others. An empty table gives no rows. Extra columns may have any name.
     """
+    names = ("__id_key", "__text_key", "__found")
+    id_name, text_name, found_name = (free_name(name, docs.columns) for name in names)
     id_key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     text_key = F.xxhash64(F.col(text_col))
     found = stored(
@@ -319,23 +348,23 @@ def replace_personal_data(
         found.join(stored(forms, "forms"), ["kind", "raw"])
         .groupBy("id_key", "text_key")
         .agg(F.sort_array(F.collect_list(F.struct("at", "kind", "new"))).alias("found"))
-        .toDF("__id_key", "__text_key", "__found")
+        .toDF(id_name, text_name, found_name)
     )
     rebuilt = _restored(
         F.array_join(
             F.transform(
                 _parts(F.col(text_col)),
                 lambda part, i: F.when(
-                    i % 2 == 1, F.element_at("__found", ((i + 1) / 2).cast("int"))["new"]
+                    i % 2 == 1, F.element_at(found_name, ((i + 1) / 2).cast("int"))["new"]
                 ).otherwise(part),
             ),
             "",
         )
     )
-    keyed = docs.withColumns({"__id_key": id_key, "__text_key": text_key})
-    joined = keyed.join(replaced, ["__id_key", "__text_key"], "left")
+    keyed = docs.withColumns({id_name: id_key, text_name: text_key})
+    joined = keyed.join(replaced, [id_name, text_name], "left")
     columns = [
-        F.when(F.col("__found").isNotNull(), rebuilt).otherwise(F.col(text_col)).alias(text_col)
+        F.when(F.col(found_name).isNotNull(), rebuilt).otherwise(F.col(text_col)).alias(text_col)
         if c == text_col
         else F.col(f"`{c}`")
         for c in docs.columns
@@ -343,6 +372,6 @@ def replace_personal_data(
     ]
     if found_col:
         none = F.array().cast("array<struct<kind:string,new:string>>")
-        listed = F.transform("__found", lambda e: F.struct(e["kind"].alias("kind"), e["new"].alias("new")))
+        listed = F.transform(found_name, lambda e: F.struct(e["kind"].alias("kind"), e["new"].alias("new")))
         columns.append(F.coalesce(listed, none).alias(found_col))
     return joined.select(*columns)
