@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import use_utc
+from tripmart.functions.columns import free_name
 from tripmart.llm import ngram_join, packing, surrogates, tiling, toxicity
 from tripmart.llm.common import ready, stored, table
 
@@ -17,12 +18,13 @@ KEY = "example key"  # of the surrogates; a real run sets its own
 ORACLE_SQL = None  # trained weights, tiling, keyed surrogates and packing have no SQL
 
 
-def _with_row_key(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own, ``__row``; written once, so that it stays the same.
+def _with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number of their own, and its column; written once, so that it stays the same.
 
     Ids can be null or repeated, so what a stage decides on is the row.
     """
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    row = free_name("__row", docs.columns)
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,27 +41,27 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     id one stays, and a null id comes after all others. Texts without words link with nothing.
     """
     ready(spark)
-    rows = _with_row_key(docs)
-    classes = ngram_join.ngram_components(rows, width=5, num=80, den=100, id_col="__row")
-    numbered = classes.select(F.col("doc_id").alias("__row"), "component_id")
-    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
+    rows, row = _with_row_key(docs)
+    classes = ngram_join.ngram_components(rows, width=5, num=80, den=100, id_col=row)
+    numbered = classes.select(F.col("doc_id").alias(row), F.col("component_id").alias("class"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row))
     kept = (
-        rows.select("__row", "doc_id")
-        .join(numbered, "__row")
-        .groupBy("component_id")
+        rows.select(row, "doc_id")
+        .join(numbered, row)
+        .groupBy("class")
         .agg(least.alias("least"))
-        .select("least.__row")
+        .select(F.col("least")[row].alias(row))
     )
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    return rows.join(kept, row, "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark passage; each row is judged by its own text."""
     ready(spark)
-    rows = _with_row_key(docs)
-    found = tiling.find_passages(rows, table(spark, sf_dir, "benchmark"), id_col="__row")
-    rejected = found.select(F.col("doc_id").alias("__row")).distinct()
-    return rows.join(rejected, "__row", "left_anti").select(docs.columns)
+    rows, row = _with_row_key(docs)
+    found = tiling.find_passages(rows, table(spark, sf_dir, "benchmark"), id_col=row)
+    rejected = found.select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(rejected, row, "left_anti").select(docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
