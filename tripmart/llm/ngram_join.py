@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -213,31 +214,88 @@ def _signatures_allow(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(make, "a long, b long")
 
 
-def _group_starts(frame: pd.DataFrame) -> list[int]:
-    key = frame[["shingle", "tree", "i", "j"]].to_numpy()
-    return [0, *(np.nonzero((key[1:] != key[:-1]).any(1))[0] + 1).tolist()]
+class _Bucket:
+    """The sets of trees with one first set, each held once, and the pairs found among them so far.
 
+    Near copies share many trees, so a pair is found again and again; it is passed on once.
+    """
 
-def _tree_candidates(frame: pd.DataFrame, cuts: list[int], num: int, den: int) -> Iterator[pd.DataFrame]:
-    """Candidates (a, b) of each tree, or block of trees, between two cuts of the frame."""
-    component = np.unique(frame["component"], return_inverse=True)[1].astype(np.int64)
-    home, member, is_home = (frame[c].to_numpy(dtype=bool) for c in ("home", "member", "is_home"))
-    node, n, bits = frame["node"].to_numpy(), frame["n"].to_numpy(), frame["bits"].tolist()
-    found = []
-    for start, end in zip(cuts, cuts[1:]):
-        ours = start + np.nonzero(home[start:end])[0]
-        theirs = start + np.nonzero(member[start:end])[0]
+    MOST_FOUND = 1_000_000  # then what was passed on is forgotten, and a pair may come twice
+
+    def __init__(self, key: tuple[int, int, int]):
+        self.key = key
+        self.place: dict[int, int] = {}
+        self.n: list[int] = []
+        self.component: list[int] = []
+        self.bits: list[np.ndarray] = []
+        self.found: set[tuple[int, int]] = set()
+
+    def add(self, frame: pd.DataFrame) -> None:
+        for node, n, component, bits in zip(frame["node"], frame["n"], frame["component"], frame["bits"]):
+            self.place[node] = len(self.n)
+            self.n.append(n)
+            self.component.append(component)
+            self.bits.append(bits)
+
+    def candidates(self, frame: pd.DataFrame, num: int, den: int) -> Iterator[pd.DataFrame]:
+        """Candidates (a, b) of one tree, or block of trees, that were not found before."""
+        home, member, is_home = (frame[c].to_numpy(dtype=bool) for c in ("home", "member", "is_home"))
+        node = frame["node"].to_numpy()
+        ours, theirs = np.nonzero(home)[0], np.nonzero(member)[0]
         if not len(ours) or not len(theirs):
-            continue
-        bitmaps = folded(bits[start:end])
-        trees = [SignatureTree(bitmaps[r - start], n[r], component[r]) for r in (ours, theirs)]
+            return
+        at = [self.place[x] for x in node.tolist()]
+        component = np.unique([self.component[x] for x in at], return_inverse=True)[1].astype(np.int64)
+        if component.max() == 0:
+            return
+        n = np.array([self.n[x] for x in at], dtype=np.int64)
+        bitmaps = folded([self.bits[x] for x in at])
+        trees = [SignatureTree(bitmaps[r], n[r], component[r]) for r in (ours, theirs)]
+        new = []
         for x, y in dual_traversal(*trees, num, den):
             x, y = ours[x], theirs[y]
             once = (node[x] < node[y]) | ~is_home[y]
-            found.append((node[x[once]], node[y[once]]))
-    if found:
-        a, b = (np.concatenate(v) for v in zip(*found))
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            low, high = np.minimum(node[x[once]], node[y[once]]), np.maximum(node[x[once]], node[y[once]])
+            for pair in zip(low.tolist(), high.tolist()):
+                if pair not in self.found:
+                    self.found.add(pair)
+                    new.append(pair)
+        if len(self.found) > self.MOST_FOUND:
+            self.found.clear()
+        if new:
+            yield pd.DataFrame(new, columns=["a", "b"])
+
+
+_TREE = ["first", "i", "j", "is_tree", "shingle", "tree"]
+
+
+def _traverse(frames: Iterator[pd.DataFrame], num: int, den: int) -> Iterator[pd.DataFrame]:
+    """Candidates of sorted rows: of each bucket its sets first, and then its trees one by one."""
+    bucket, rest = None, None
+    for frame in itertools.chain(frames, [None]):
+        if frame is None:
+            frame, cuts = rest, [0, 0 if rest is None else len(rest)]
+        else:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            keys = frame[_TREE].to_numpy(dtype=np.int64)
+            cuts = [0, *(np.nonzero((keys[1:] != keys[:-1]).any(1))[0] + 1).tolist()]
+            if not frame["is_tree"].iloc[-1]:
+                cuts.append(len(frame))  # sets need not wait for the others of their bucket
+        for start, end in zip(cuts, cuts[1:]):
+            part = frame.iloc[start:end]
+            if not len(part):
+                continue
+            head = part.iloc[0]
+            key = (int(head["first"]), int(head["i"]), int(head["j"]))
+            if bucket is None or bucket.key != key:
+                bucket = _Bucket(key)
+            if head["is_tree"]:
+                yield from bucket.candidates(part, num, den)
+            else:
+                bucket.add(part)
+        if frame is not None:
+            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
+            rest = rest if len(rest) else None
 
 
 def ngram_components(
@@ -347,6 +405,7 @@ def ngram_components(
         forest.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")),
         "placed",
     )
+    release(forest)
     apart = (
         placed.groupBy("shingle", "tree")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -358,33 +417,36 @@ def ngram_components(
         "blocks", F.ceil(F.col("k") / block).cast("int")
     ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("block")))
-    rows = ("shingle", "tree", "node", "n", "component", F.col("home").alias("is_home"))
+    rows = ("first", "shingle", "tree", "node", "component", F.col("home").alias("is_home"))
     own_block, yes, no = F.col("block"), F.lit(True), F.lit(False)
-    tasks = (
+    members = stored(
         in_blocks.select(
             *rows, F.col("home"), yes.alias("member"), own_block.alias("i"), own_block.alias("j")
         )
         .union(in_blocks.where("home").select(*rows, yes, no, own_block, others))
-        .union(in_blocks.select(*rows, no, yes, others, own_block))
-        .join(bits.select("node", "bits"), "node")
+        .union(in_blocks.select(*rows, no, yes, others, own_block)),
+        "in-trees",
     )
-
-    def traverse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in frames:
-            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            cuts = _group_starts(frame)
-            yield from _tree_candidates(frame, [*cuts], num, den)
-            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
-        if rest is not None and len(rest):
-            yield from _tree_candidates(rest, [0, len(rest)], num, den)
-
+    release(placed)
+    # a bucket has the trees of one first set; what is known of a set travels to it once, not by tree
+    in_buckets = members.select("first", "i", "j", "node", "component").distinct()
+    flags = [F.lit(False).alias(c) for c in ("is_tree", "home", "member", "is_home")]
+    sets = in_buckets.join(bits.select("node", "n", "bits"), "node").select(
+        "first", "i", "j", "node", "n", "component", "bits", F.lit(0).cast("bigint").alias("shingle"),
+        F.lit(0).alias("tree"), *flags,
+    )
+    none = F.lit(0).cast("bigint")
+    tasks = members.select(
+        "first", "i", "j", "node", none.alias("n"), none.alias("component"), F.lit(None).cast("array<bigint>").alias("bits"),
+        "shingle", "tree", F.lit(True).alias("is_tree"), "home", "member", "is_home",
+    ).union(sets)
     more = checked(
-        tasks.repartition("shingle", "tree", "i", "j")
-        .sortWithinPartitions("shingle", "tree", "i", "j")
-        .mapInPandas(traverse, "a long, b long"),
+        tasks.repartition("first", "i", "j")
+        .sortWithinPartitions(*_TREE)
+        .mapInPandas(lambda frames: _traverse(frames, num, den), "a long, b long"),
         "tree",
     )
+    release(members)
     components = connected_components(links.union(more), "components").select("node", "component")
     classes = rows_of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
     named = classes.join(components, "node", "left").withColumn(
