@@ -166,7 +166,8 @@ def connected_components(links: DataFrame, label: str, rounds: int = 60) -> Data
             .where("u <> v")
             .distinct()
         )
-        edges = stored(small, label)
+        previous, edges = edges, stored(small, label)
+        release(previous)
         now = edges.agg(
             F.count("*").alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),

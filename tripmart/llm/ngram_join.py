@@ -388,6 +388,7 @@ def ngram_components(
         joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         linked = stored(joined.where(_overlap_is_enough(num, den)).select("a", "b"), f"{label}-links")
         release(sets)
+        release(pairs)
         return linked
 
     pairs = (
@@ -406,6 +407,7 @@ def ngram_components(
         "placed",
     )
     release(forest)
+    release(joined)
     apart = (
         placed.groupBy("shingle", "tree")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -447,13 +449,17 @@ def ngram_components(
         "tree",
     )
     release(members)
+    release(bits)
     components = connected_components(links.union(more), "components").select("node", "component")
+    release(links)
+    release(more)
     classes = rows_of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
     named = classes.join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_node = stored(named.join(least, "component").select("node", "component_id"), "classes")
+    release(components)
     return rows_of.join(of_node, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import free_name
-from tripmart.llm.common import stored
+from tripmart.llm.common import release, stored
 
 MARK, ESCAPE = "\x01", "\x02"
 WIDER = 8  # attempts after which a surrogate may leave the original's exact form
@@ -268,7 +268,7 @@ def _distinct(values: DataFrame, key: str, rounds: int) -> DataFrame:
     All values start with their first surrogate. Of those that share one, the earliest attempt and
     then the least value keeps it; the others, and those that hit an original, try their next.
     """
-    current = values.withColumn("attempt", F.lit(0))
+    current, before = values.withColumn("attempt", F.lit(0)), None
     for _ in range(rounds):
         made = stored(
             current.select(
@@ -277,6 +277,8 @@ def _distinct(values: DataFrame, key: str, rounds: int) -> DataFrame:
             ),
             "surrogates",
         )
+        if before is not None:
+            release(before)
         owners = made.groupBy("kind", "made").agg(
             F.min(F.struct("attempt", "value")).alias("owner")
         )
@@ -286,10 +288,11 @@ def _distinct(values: DataFrame, key: str, rounds: int) -> DataFrame:
             .join(originals, ["kind", "made"], "left")
             .withColumn("again", (F.col("owner.value") != F.col("value")) | F.col("is_original").isNotNull())
         )
-        current = stored(judged.select("kind", "value", "attempt", "made", "again"), "judged")
-        if current.where("again").limit(1).count() == 0:
-            return current.select("kind", "value", "made")
-        current = current.withColumn("attempt", F.col("attempt") + F.col("again").cast("int"))
+        before = stored(judged.select("kind", "value", "attempt", "made", "again"), "judged")
+        release(made)
+        if before.where("again").limit(1).count() == 0:
+            return before.select("kind", "value", "made")
+        current = before.withColumn("attempt", F.col("attempt") + F.col("again").cast("int"))
     raise RuntimeError(f"surrogates did not become distinct in {rounds} rounds")
 
 
@@ -337,15 +340,18 @@ def replace_personal_data(
         .withColumn("value", canonical_of(F.col("kind"), F.col("raw"))),
         "entities",
     )
-    made = distinct_surrogates(stored(found.select("kind", "value").distinct(), "values"), key)
-    forms = (
+    values = stored(found.select("kind", "value").distinct(), "values")
+    made = distinct_surrogates(values, key)
+    forms = stored(
         found.select("kind", "value", "raw")
         .distinct()
         .join(made, ["kind", "value"])
-        .select("kind", "raw", in_form_of(F.col("kind"), F.col("raw"), F.col("made")).alias("new"))
+        .select("kind", "raw", in_form_of(F.col("kind"), F.col("raw"), F.col("made")).alias("new")),
+        "forms",
     )
+    release(values)
     replaced = (
-        found.join(stored(forms, "forms"), ["kind", "raw"])
+        found.join(forms, ["kind", "raw"])
         .groupBy("id_key", "text_key")
         .agg(F.sort_array(F.collect_list(F.struct("at", "kind", "new"))).alias("found"))
         .toDF(id_name, text_name, found_name)

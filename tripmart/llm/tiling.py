@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import IdFilter, id_as_text, id_from_text, slices, stored
+from tripmart.llm.common import IdFilter, id_as_text, id_from_text, release, slices, stored
 from tripmart.llm.shingles import PLAIN, mix, words
 
 TILE_WORDS = 5
@@ -180,6 +180,7 @@ def find_passages(
         rows.mapInPandas(hits, "doc_id string, text_key long, width int, doc_at long, seed long").distinct(), "hits"
     )
     pairs = stored(_seed_pairs(found, known), "seed-pairs")
+    release(found)
     pair = ("doc_id", "text_key", "item_key")
     # equal by nulls too, so that documents without an id are not lost
     able = _reaching(pairs, pair, coverage).toDF("doc", "text", "item")
@@ -200,7 +201,7 @@ def find_passages(
             }
         )
 
-    tiles = (
+    tiles = stored(
         pairs.join(able, same, "left_semi")
         .groupBy(*pair)
         .applyInPandas(
@@ -208,8 +209,10 @@ def find_passages(
             "doc_id string, item_id string, item_words long, matched_words long, "
             "coverage double, tiles array<struct<doc_word:long,item_word:long,words:long>>",
         )
-        .where(F.col("coverage") >= coverage)
+        .where(F.col("coverage") >= coverage),
+        "tiles",
     )
+    release(pairs)
     return tiles.withColumns(
         {"doc_id": id_from_text("doc_id", id_type), "item_id": id_from_text("item_id", item_type)}
     )
