@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.config import use_utc
 from tripmart.functions.columns import free_name
 from tripmart.llm import ngram_join, packing, surrogates, tiling, toxicity
-from tripmart.llm.common import ready, stored, table
+from tripmart.llm.common import ready, release, stored, table
 
 KEY = "example key"  # of the surrogates; a real run sets its own
 
@@ -19,11 +19,15 @@ ORACLE_SQL = None  # trained weights, tiling, keyed surrogates and packing have
 
 
 def _with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with a number of their own, and its column; written once, so that it stays the same.
+    """The rows with a key of their own, and its column; the same whenever the rows are read.
 
-    Ids can be null or repeated, so what a stage decides on is the row.
+    Ids can be null or repeated, so what a stage decides on is the row. A row of Parquet files is
+    known by its file and its place there; rows of any other kind are numbered and written once.
     """
     row = free_name("__row", docs.columns)
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and docs.inputFiles():
+        place = F.concat_ws(":", "_metadata.file_path", "_metadata.row_index")
+        return docs.select(*[F.col(f"`{c}`") for c in docs.columns], place.alias(row)), row
     return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
@@ -87,9 +91,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of the documents of ``sf_dir``; each stage is written and read again."""
+    """The packed pieces of the documents of ``sf_dir``; each stage is written and read again.
+
+    What a stage has read is deleted when its own result is written.
+    """
     use_utc(ready(spark))
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for number, (name, stage) in enumerate(STAGES):
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if number:
+            release(before)
     return docs
