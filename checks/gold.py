@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import inputs
 from checks.registry import check
@@ -19,7 +20,7 @@ from tripmart.operators.kpis import (
 )
 from tripmart.plans.gold import run_gold, write_gold
 from tripmart.sinks.tables import read_kpi, write_kpi, write_silver
-from tripmart.sources.documents import read_kpi_export
+from tripmart.sources.documents import export_documents, read_kpi_export, typed_documents
 from tripmart.sources.trips import read_silver, union_by_name
 
 _TOP = "ORDER BY nb_trips DESC, {key} NULLS FIRST LIMIT {limit}"
@@ -165,6 +166,40 @@ def kpi_sink_json(spark, sf_dir):
     return read_kpi(spark, kpi, sink)
 
 
+@check(
+    "kpi_export_of_drifting_documents",
+    f"""WITH {SILVER}, kpi AS ({KPI_SQL['kpi_daily_revenue']})
+    SELECT CAST(pickup_date AS DATE) AS pickup_date, daily_revenue,
+      CASE WHEN day(pickup_date) % 5 <> 0 THEN nb_trips END AS nb_trips,
+      CASE WHEN day(pickup_date) % 5 = 0 THEN 'nb_trips' ELSE '' END AS unread
+    FROM kpi""",
+)
+def kpi_export_of_drifting_documents(spark, sf_dir):
+    """Documents whose fields are numbers, texts or wrapped values, and some that are no number at all."""
+    daily = kpi_table(inputs.silver_trips(spark, sf_dir), "kpi_daily_revenue", sort=False)
+    day, text = F.date_format("pickup_date", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.col("daily_revenue").cast("string")
+    month = F.day("pickup_date")
+    revenue = F.when(month % 3 == 0, F.to_json(F.struct(F.col("daily_revenue").alias("v")))).when(
+        month % 3 == 1, F.to_json(F.struct(text.alias("v")))
+    ).otherwise(F.to_json(F.struct(F.struct(text.alias("$numberDouble")).alias("v"))))
+    trips = F.when(month % 5 == 0, F.lit('{"v":"many"}')).otherwise(
+        F.to_json(F.struct(F.struct(F.col("nb_trips").cast("string").alias("$numberLong")).alias("v")))
+    )
+    date = F.when(month % 2 == 0, F.to_json(F.struct(F.struct(day.alias("$date")).alias("v")))).otherwise(
+        F.to_json(F.struct(day.alias("v")))
+    )
+
+    def field(name, wrapped):  # the value of {"v":value}
+        return F.concat(F.lit(f'"{name}":'), F.substr(wrapped, F.lit(6), F.length(wrapped) - 6))
+
+    path = scratch_path(spark, "export")
+    parts = [field("pickup_date", date), field("daily_revenue", revenue), field("nb_trips", trips)]
+    daily.select(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("pickup_date date, daily_revenue double, nb_trips bigint")
+    found = typed_documents(export_documents(spark, path), schema)
+    return found.drop("file_name").withColumn("unread", F.array_join("unread", ","))
+
+
 @check(
     "kpi_export_revenue_series",
     f"""WITH {SILVER}

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plans import plan_of
 from tripmart.config import CleaningRules, SourceSpec, default_sources
@@ -19,6 +20,7 @@ from tripmart.operators.weather import (
     with_weather,
 )
 from tripmart.sources.documents import (
+    export_documents,
     file_inventory,
     flatten,
     item_counts,
@@ -30,6 +32,7 @@ from tripmart.sources.documents import (
     rejected_news,
     split_landed_weather,
     split_weather,
+    typed_documents,
 )
 from tripmart.sources.landing import NothingLanded, land, source_files
 
@@ -320,3 +323,25 @@ def test_unreadable_values_by_column(spark, trips):
     rows = trips({}, {}, {}).withColumns({"tip_amount": F.lit("2,50"), "tolls_amount": F.lit("1.5")})
     assert [tuple(r) for r in unreadable_values(rows).collect()] == [("tip_amount", "2,50", 3)]
     assert unreadable_values(rows.select("note")).count() == 0
+
+
+# exported documents
+
+
+def test_documents_of_any_shape_are_kept(spark, tmp_path):
+    (tmp_path / "lines.json").write_text('{"n": 1, "d": "2024-01-02"}\nno json\n{"n": {"$numberLong": "7"}, "x": [1]}\n')
+    (tmp_path / "array.json").write_text('[{"n": "3", "d": {"$date": "2024-01-02T10:00:00Z"}},\n {"n": {"a": 1}}, {}, 5, {"n": null}]')
+    documents = export_documents(spark, str(tmp_path))
+    assert documents.count() == 8 and documents.where("document is null").count() == 2
+    typed = typed_documents(documents, T.StructType.fromDDL("n bigint, d date, `odd name` string"))
+    rows = sorted((r["file_name"], r["n"] or 0, str(r["d"]), tuple(r["unread"])) for r in typed.collect())
+    assert rows == [
+        ("array.json", 0, "None", ()), ("array.json", 0, "None", ()), ("array.json", 0, "None", ("document",)),
+        ("array.json", 0, "None", ("n",)), ("array.json", 3, "2024-01-02", ()),
+        ("lines.json", 0, "None", ("document",)), ("lines.json", 1, "2024-01-02", ()), ("lines.json", 7, "None", ()),
+    ]
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "x.json").write_text("")
+    with pytest.raises(ValueError, match="no document"):
+        export_documents(spark, str(empty))

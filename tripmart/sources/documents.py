@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.config import use_utc
-from tripmart.functions.temporal import feed_timestamp, file_stamp
+from tripmart.functions.temporal import feed_timestamp, file_stamp, iso_timestamp
 from tripmart.functions.text import kibibytes, tag_openings
 from tripmart.schema import NEWS_ITEM, WEATHER
 from tripmart.sources.trips import union_by_name
@@ -213,21 +213,80 @@ def flatten(df: DataFrame) -> DataFrame:
     return df.select(*leaves(df.schema))
 
 
-def read_kpi_export(spark: SparkSession, path: str) -> DataFrame:
-    """An exported KPI: files with a JSON array of documents, or with one document per line.
+def _export_files(spark: SparkSession, path: str) -> list[tuple[bool, list[str]]]:
+    """Files that hold an array of documents, and files with a document per line.
 
-    A file is an array when a line of it begins one; the names of the files, few in an export, come
-    to the driver. Document ids are dropped, whether plain or
-    nested. Extended dates stay as dotted columns (``pickup_date.$date``).
+    The names of the files, few in an export, come to the driver.
     """
     lines = spark.read.text(path).select(F.ltrim("value").alias("v"), F.col("_metadata.file_path").alias("file"))
     starts = F.col("v").startswith("[")  # no line of a document begins so, unless it is an array
     files = lines.where("v <> ''").groupBy("file").agg(F.max(starts).alias("is_array")).collect()
+    return [(kind, sorted(r["file"] for r in files if r["is_array"] == kind)) for kind in (True, False)]
+
+
+def export_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Exported documents as (file_name, document), whatever their fields are; no schema is inferred.
+
+    Documents that are no JSON object are null, so that none vanishes.
+    """
     parts = []
-    for is_array in (True, False):
-        paths = sorted(r["file"] for r in files if r["is_array"] == is_array)
-        if paths:
-            parts.append(spark.read.json(paths, multiLine=is_array))
+    for is_array, files in _export_files(spark, path):
+        if not files:
+            continue
+        reader = spark.read.option("singleVariantColumn", "document").option("multiLine", is_array)
+        rows = reader.json(files).select(_file_name(), "document")
+        if is_array:
+            element = F.explode_outer(F.try_variant_get("document", "$", "array<variant>")).alias("document")
+            rows = rows.select("file_name", element)
+        parts.append(rows)
+    if not parts:
+        raise ValueError(f"no document below {path}")
+    documents = union_by_name(parts)
+    is_object = F.try_variant_get("document", "$", "map<string,variant>").isNotNull()
+    return documents.select("file_name", F.when(is_object, F.col("document")).alias("document"))
+
+
+# fixed values: how extended documents wrap a value
+WRAPPERS = ("$date", "$numberInt", "$numberLong", "$numberDouble", "$numberDecimal", "$oid")
+
+
+def typed_documents(documents: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fields of documents as columns of declared types, and ``unread``: the fields that did not fit.
+
+    A field may change its form from document to document: a number, its text, or either wrapped as
+    extended documents have it. A missing or null field is null and fits.
+    """
+    columns, unread = [], []
+    for field in schema:
+        paths = [f"$['{field.name}']"] + [f"$['{field.name}'][\"{w}\"]" for w in WRAPPERS]
+        value = F.coalesce(*[_as_type("document", path, field.dataType) for path in paths])
+        given = F.try_variant_get("document", paths[0], "variant")
+        there = given.isNotNull() & ~F.is_variant_null(given)
+        columns.append(value.alias(field.name))
+        unread.append(F.when(there & value.isNull(), F.lit(field.name)))
+    whole = F.when(F.col("document").isNull(), F.array(F.lit("document")))
+    return documents.select(
+        "file_name", *columns, F.coalesce(whole, F.array_compact(F.array(*unread))).alias("unread")
+    )
+
+
+def _as_type(document: str, path: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.DateType):
+        return iso_timestamp(F.try_variant_get(document, path, "string")).cast("date")
+    if isinstance(kind, T.TimestampType):
+        return iso_timestamp(F.try_variant_get(document, path, "string"))
+    return F.try_variant_get(document, path, kind.simpleString())
+
+
+def read_kpi_export(spark: SparkSession, path: str) -> DataFrame:
+    """An exported KPI: files with a JSON array of documents, or with one document per line.
+
+    A file is an array when a line of it begins one. Document ids are dropped, whether plain or
+    nested. Extended dates stay as dotted columns (``pickup_date.$date``).
+    """
+    parts = [
+        spark.read.json(files, multiLine=is_array) for is_array, files in _export_files(spark, path) if files
+    ]
     if not parts:
         raise ValueError(f"no document below {path}")
     return flatten(union_by_name(parts).drop("_id"))
