@@ -11,8 +11,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from tripmart.llm import packing, sharding, token_counts
-from tripmart.llm.common import ready
+from tripmart.llm.common import ready, table
 from tripmart.llm.tokens import RANKS, encoder, vocabulary_path
 
 DOCS = "doc_id long, text string, length string, shard string, section int"
@@ -216,3 +217,32 @@ def test_rows_of_one_id_are_dealt_to_many_groups(spark, monkeypatch):
     out = sharding.shard_documents(docs, 2, block_rows=50).toPandas()
     assert all(sorted(s) == list(range(len(s))) for _, s in out.groupby("shard").slot)
     assert seen[0].select("row").distinct().count() == 400
+
+
+def test_line_tokens_of_the_table_equal_offsets_of_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    docs = table(ready(spark), "/root/testdata/sf0.001", "documents").collect()
+    found = {}
+    for r in driver.queries()["op2_line_tokens"](spark, "/root/testdata/sf0.001").collect():
+        found.setdefault(r.doc_id, {})[r.section] = (r.start, r.end, r.n_tokens, r.n_crossing)
+    encode = Tokenizer.from_file(vocabulary_path()).encode
+    assert set(found) == {r.doc_id for r in docs}
+    for doc in docs:
+        text, lines, at = doc.text or "", [], 0
+        for line in text.split("\n"):
+            lines.append((at, min(at + len(line) + 1, len(text))))
+            at += len(line) + 1
+        lines = [x for x in lines if x[0] < x[1]] or [(0, 0)]
+        tokens, crossing = [0] * len(lines), [0] * len(lines)
+        first = 0
+        for a, b in encode(text, add_special_tokens=False).offsets:
+            while lines[first][1] <= a:
+                first += 1
+            last = first
+            while lines[last][1] < b:
+                last += 1
+            most = max(range(first, last + 1), key=lambda k: (min(b, lines[k][1]) - max(a, lines[k][0]), -k))
+            tokens[most] += 1
+            crossing[most] += last > first
+        assert [found[doc.doc_id][k] for k in range(len(lines))] == [(*x, n, c) for x, n, c in zip(lines, tokens, crossing)]
