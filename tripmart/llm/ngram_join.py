@@ -25,6 +25,7 @@ from tripmart.llm.shingles import mix, shingle_sets
 LEAST_BITS, BITS_PER_SHINGLE = 1_024, 3
 FANOUT = 8
 BLOCK = 2_048
+FIRSTS = 3  # first sets that a set is held against before the trees are traversed
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -309,14 +310,14 @@ def ngram_components(
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row; links are Jaccard >= ``num / den``.
 
-    Equal sets are one node. A forest of signature trees finds the candidates: a tree covers
-    the sets of a size band that share one of their smallest shingles, as any two linked sets
-    do, and those of the next band; the smaller of two has it among its first half already. First every set is held against the tree's first set, which
-    joins a large group of near copies by as many pairs as it has members. Then each tree with
-    sets in different components is traversed against itself; node pairs are pruned by the most
-    they can share, by size ranges, and where all below is one component already. Every candidate
-    of both passes is checked on whole sets. Trees over ``block`` sets are traversed in blocks, so
-    none is gathered in a task.
+    Equal sets are one node. A forest of signature trees finds the candidates: a tree covers the sets
+    of a size band that share one of their smallest shingles, as any two linked sets do, and those of
+    the next band; the smaller of two has it among its first half already. First every set is held
+    against the least first sets of its trees, ``FIRSTS`` at most, which joins a large group of near
+    copies by a few pairs a member. Then each tree of more than two with sets in different components
+    is traversed against itself; node pairs are pruned by the most they can share, by size ranges, and
+    where all below is one component already. Every candidate of both passes is checked on whole sets.
+    Trees over ``block`` sets are traversed in blocks, so none is gathered in a task.
 
     Words are runs of other than ASCII blanks, A-Z in lower case; a text of fewer words than
     ``width`` is one shingle of all of them. Null, empty and blank texts have no shingle and link
@@ -391,11 +392,12 @@ def ngram_components(
         release(pairs)
         return linked
 
-    pairs = (
-        forest.where("node <> first")
-        .select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b"))
-        .distinct()
-    )
+    # trees of two have no other pair; of the others a set is held against a few of its first sets
+    with_first = forest.where("node <> first").select("node", "first", "k")
+    several = with_first.where("k > 2").groupBy("node").agg(F.collect_set("first").alias("firsts"))
+    few = several.select("node", F.explode(F.slice(F.array_sort("firsts"), 1, FIRSTS)).alias("first"))
+    held = with_first.where("k = 2").select("node", "first").union(few)
+    pairs = held.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
     for side in ("a", "b"):
         pairs = pairs.join(bits.select("node", "n", "bits").toDF(side, f"n_{side}", f"bits_{side}"), side)
     fits = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
@@ -414,7 +416,7 @@ def ngram_components(
         .where("low <> high")
         .select("shingle", "tree")
     )
-    # the first set was held against all others, so a tree of two has no pair left
+    # a tree of two has no pair left
     in_blocks = placed.where("k > 2").join(apart, ["shingle", "tree"]).withColumn(
         "blocks", F.ceil(F.col("k") / block).cast("int")
     ).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
