@@ -200,7 +200,7 @@ def silver_zone_lookup(spark, sf_dir):
     """Trips between some zones, from a table laid out by zone."""
     silver = scratch_path(spark, "silver")
     run_silver(spark, _written_bronze(spark, sf_dir), silver)
-    run_zone_layout(spark, silver, rows_per_file=100)
+    run_zone_layout(spark, silver, rows_per_file=2000)
     return read_silver(spark, silver, within={"PULocationID": (3, 4), "DOLocationID": (100, 120)})
 
 
