@@ -18,6 +18,7 @@ from tripmart.llm.common import (
     id_from_text,
     release,
     slices,
+    small_batches,
     stored,
 )
 from tripmart.llm.shingles import mix, shingle_sets
@@ -327,7 +328,9 @@ def ngram_components(
     """
     id_type = docs.select(id_col).schema[0].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    slim = stored(_slim(texts, width, num, den, id_type), "shingles")
+    spark = docs.sparkSession
+    with small_batches(spark):
+        slim = stored(_slim(texts, width, num, den, id_type), "shingles")
     # a linked pair shares a shingle of the shorter prefix of the smaller and the prefix of the other
     shingles = slim.where("n > 0").select(
         "node", "n", "n_index", F.posexplode("prefix").alias("at", "shingle")
@@ -385,7 +388,8 @@ def ngram_components(
         pairs = stored(pairs.select("a", "b").distinct(), f"{label}-pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         wanted = IdFilter.of(nodes.join(bits.select("node", "rep"), "node"), "rep")
-        sets = stored(_whole_sets(texts, wanted, width), f"{label}-sets")
+        with small_batches(spark):
+            sets = stored(_whole_sets(texts, wanted, width), f"{label}-sets")
         joined = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         linked = stored(joined.where(_overlap_is_enough(num, den)).select("a", "b"), f"{label}-links")
         release(sets)
