@@ -23,10 +23,10 @@ from tripmart.llm.common import (
 )
 from tripmart.llm.shingles import mix, shingle_sets
 
-LEAST_BITS, BITS_PER_SHINGLE = 1_024, 3
+LEAST_BITS, BITS_PER_SHINGLE = 512, 2
 FANOUT = 8
 BLOCK = 2_048
-FIRSTS = 3  # first sets that a set is held against before the trees are traversed
+FIRSTS = 2  # first sets that a set is held against before the trees are traversed
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
