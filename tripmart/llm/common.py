@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.config import scratch_path, session_settings
@@ -145,7 +145,13 @@ def connected_components(links: DataFrame, label: str, rounds: int = 60) -> Data
         .distinct(),
         label,
     )
-    before = None
+
+    def state(edges: DataFrame) -> Row:
+        return edges.agg(
+            F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
+        ).first()
+
+    before = state(edges)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v"), F.col("u"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -168,10 +174,7 @@ def connected_components(links: DataFrame, label: str, rounds: int = 60) -> Data
         )
         previous, edges = edges, stored(small, label)
         release(previous)
-        now = edges.agg(
-            F.count("*").alias("n"),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-        ).first()
+        now = state(edges)
         if now == before:
             break
         before = now

@@ -413,7 +413,7 @@ def ngram_components(
         "placed",
     )
     release(forest)
-    release(joined)
+    release(links)
     apart = (
         placed.groupBy("shingle", "tree")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -456,8 +456,10 @@ def ngram_components(
     )
     release(members)
     release(bits)
-    components = connected_components(links.union(more), "components").select("node", "component")
-    release(links)
+    # what the first pass joined is known by its components
+    known = joined.where("node <> component").toDF("a", "b")
+    components = connected_components(known.union(more), "components").select("node", "component")
+    release(joined)
     release(more)
     classes = rows_of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
     named = classes.join(components, "node", "left").withColumn(
