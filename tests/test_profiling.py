@@ -106,6 +106,17 @@ def test_density_is_close_to_the_direct_sum(spark):
     assert profiling.density(frame(spark, [3.0, 3.0]), "v").count() == 0
 
 
+def test_exact_density_is_the_direct_sum(spark):
+    # two values in one bin of a sixteenth of the bandwidth, which a bin at their mean does not keep apart
+    values = np.array([0.0, 0.01, 0.01, 5.0, 40.0, 40.02, 41.0, 100.0])
+    rows = profiling.exact_density(frame(spark, [*values.tolist(), None]), "v").orderBy("point").collect()
+    h = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(0.0, 100.0, 200)
+    direct = np.exp(-0.5 * ((grid[:, None] - values) / h) ** 2).sum(1) * (100.0 / 60) / (h * np.sqrt(2 * np.pi))
+    assert [r["density"] for r in rows] == pytest.approx(direct.tolist(), rel=1e-9)
+    assert profiling.exact_density(frame(spark, [3.0, 3.0]), "v").count() == 0
+
+
 def test_box_statistics(spark):
     df = frame(spark, [1.0, 2.0, 3.0, 4.0, 5.0, 100.0, -90.0, None])
     row = profiling.box_statistics(df, ("v",)).first()

@@ -205,8 +205,29 @@ def density(
     a fixed part of the bandwidth, with the mean of the values in each bin for their place, so
     the error is below a thousandth of the peak whatever the range. Only bins that hold values
     exist, and each meets only the grid points in its reach. Two scans; the first one runs when this
-    is called and brings one row to the driver.
+    is called and brings one row to the driver. ``exact_density`` does without the bins.
     """
+    return _kernel_density(df, column, points, bins_per_bandwidth, shown_bins)
+
+
+def exact_density(
+    df: DataFrame,
+    column: str,
+    points: int = DENSITY_POINTS,
+    shown_bins: int = HISTOGRAM_BINS,
+) -> DataFrame:
+    """``density`` with the kernel summed over all values instead of bins.
+
+    Equal values are combined before their shuffle, and each distinct one meets the grid points in
+    its reach, beyond which the kernel is below the precision of a double. Two scans as well.
+    """
+    return _kernel_density(df, column, points, None, shown_bins)
+
+
+def _kernel_density(
+    df: DataFrame, column: str, points: int, bins_per_bandwidth: int | None, shown_bins: int
+) -> DataFrame:
+    """The kernel summed over bins of a part of the bandwidth, or over the distinct values."""
     value = F.when(F.abs(present(F.col(column))) < math.inf, F.col(column).cast("double"))
     row = df.agg(
         F.count(value).alias("n"),
@@ -218,13 +239,18 @@ def density(
         return _empty(df, "point bigint, x double, density double")
     n, low, high = row["n"], row["low"], row["high"]
     bandwidth = row["std"] * n ** (-1.0 / 5.0)
-    width, step = bandwidth / bins_per_bandwidth, (high - low) / (points - 1)
+    step = (high - low) / (points - 1)
     scale = (high - low) / shown_bins / (bandwidth * math.sqrt(2.0 * math.pi))
+    place = value - low
+    if bins_per_bandwidth is not None:
+        place = F.floor(place / (bandwidth / bins_per_bandwidth))
     binned = (
         df.where(value.isNotNull())
-        .groupBy(F.floor((value - low) / width).alias("bin"))
+        .groupBy(place.alias("bin"))
         .agg(F.count("*").alias("size"), F.avg(value - low).alias("centre"))
     )
+    if bins_per_bandwidth is None:
+        binned = binned.withColumn("centre", F.col("bin"))
     distance = (F.col("point") * step - F.col("centre")) / bandwidth
     reach = DENSITY_REACH * bandwidth
     first = F.greatest(F.lit(0), F.ceil((F.col("centre") - reach) / step)).cast("bigint")
