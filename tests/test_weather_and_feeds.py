@@ -262,6 +262,17 @@ def test_latest_reading_needs_no_nested_loop_and_no_window(spark, trips):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Window" not in plan
 
 
+def test_a_trip_is_not_compared_with_all_readings_of_its_bucket(spark, trips):
+    found = readings(spark, *[(f"2024-03-06 0{s // 3600}:{s // 60 % 60:02d}:{s % 60:02d}", s) for s in range(0, 4 * 3600, 37)])
+    days = [f"2024-03-06 0{s // 3600}:{s // 60 % 60:02d}:{s % 60:02d}" for s in range(0, 7 * 3600, 411)]
+    rows = trips(*[{"pickup_datetime": d} for d in days])
+    direct = [37.0 * min(s // 37, (4 * 3600 - 1) // 37) for s in range(0, 7 * 3600, 411)]
+    expected = [t if s - t <= 3 * 3600 else None for s, t in zip(range(0, 7 * 3600, 411), direct)]
+    assert with_temperature(rows, found) == expected
+    plan = plan_of(with_latest_weather(rows, found, variables=("temperature_2m",), time_col="at"), "simple")
+    assert "filter(" not in plan and "aggregate(" in plan
+
+
 # rejects
 
 

@@ -10,6 +10,9 @@ from tripmart.functions.columns import free_name
 from tripmart.operators.profiling import correlation_matrix
 from tripmart.schema import WEATHER_VARIABLES
 
+MOST_DOUBLINGS = 30  # of a step in an array, so that any length an array can have is covered
+
+
 def unzip_arrays(df: DataFrame, arrays: dict[str, Column], *keep: str) -> DataFrame:
     """One row per position of parallel arrays, with that ``position``.
 
@@ -78,8 +81,8 @@ def with_latest_weather(
     ``readings`` may come at any times, in ``time_col``; of equal times the greatest row counts. Both
     sides are dealt to buckets of time, a reading to all that it can still be valid in, so the equal
     join by bucket finds all there is. The readings of a bucket are one row with a sorted array,
-    bounded by the bucket, in which each trip looks its own one up: trips are neither windowed nor
-    compared in pairs, and adaptive execution broadcasts the buckets or splits the ones with many
+    bounded by the bucket, in which each trip looks its own one up by halving it: trips are neither
+    windowed nor compared in pairs or with all readings of a bucket, and adaptive execution broadcasts the buckets or splits the ones with many
     trips. Every trip is kept, once; without a reading, or without a pickup, the weather and
     ``weather_time`` are null.
     """
@@ -102,11 +105,17 @@ def with_latest_weather(
     pickup = F.unix_micros(F.col("pickup_datetime").cast("timestamp"))
     own_bucket = F.floor(pickup / (bucket * 1_000_000)).cast("bigint")
     joined = trips.withColumn(bucket_col, own_bucket).join(buckets, bucket_col, "left")
-    valid = F.filter(
-        readings_col,
-        lambda r: (r["at"] <= pickup) & (r["at"] >= pickup - tolerance * 1_000_000),
+    # how many readings of the bucket are not after the pickup; 0 where there is none of either
+    until = F.aggregate(
+        F.array(*[F.lit(2**k) for k in reversed(range(MOST_DOUBLINGS))]),
+        F.lit(0),
+        lambda seen, step: F.when(
+            (seen + step <= F.size(readings_col)) & (F.get(readings_col, seen + step - 1)["at"] <= pickup), seen + step
+        ).otherwise(seen),
     )
-    found = joined.withColumn(found_col, F.try_element_at(valid, F.lit(-1)))
+    last_one = joined.withColumn(found_col, F.get(readings_col, until - 1)).drop(readings_col)
+    valid = F.col(found_col)["at"] >= pickup - tolerance * 1_000_000
+    found = last_one.withColumn(found_col, F.when(valid, F.col(found_col)))
     return found.select(
         *trips.columns,
         F.timestamp_micros(F.col(found_col)["at"]).alias("weather_time"),
