@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -262,6 +263,18 @@ def test_zone_layout_keeps_the_rows_and_opens_few_files(spark, trips, tmp_path):
     assert {r["change"] for r in changed_parts(spark, silver, 1, 2).collect()} == {"replaced"}
 
 
+def test_small_files_of_a_layout_share_a_task(spark, trips, tmp_path):
+    silver = str(tmp_path / "s")
+    trips(*[{"PULocationID": z, "fare_amount": 10.0 + z} for z in range(40)]).write.parquet(str(tmp_path / "b"))
+    run_silver(spark, str(tmp_path / "b"), silver)
+    assert run_zone_layout(spark, silver, rows_per_file=5) == 40
+    (found,) = read_version(spark, silver)
+    files = [Path(f.removeprefix("file:")) for f in found.inputFiles()]
+    assert len(files) == 8 and len({f.name.split("-")[1] for f in files}) == 1
+    # a bloom filter is as large as so few rows need
+    assert max(f.stat().st_size for f in files) < 20_000
+
+
 def test_layout_needs_versions(spark, trips, tmp_path):
     write_silver(clean(trips({})), str(tmp_path / "s"))
     with pytest.raises(ValueError, match="without versions"):

@@ -17,6 +17,7 @@ from tripmart.sinks.snapshots import part_folder
 # shuffled bytes per file of the clean table; Spark's default of 64 MB makes files too small
 FILE_SHUFFLE_BYTES = "256m"
 ROWS_PER_FILE = 4_000_000
+ROWS_PER_TASK = 500_000  # of a layout in smaller files
 
 
 def _counted(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
@@ -72,13 +73,16 @@ def write_by_zone(trips: DataFrame, path: str, rows_per_file: int = ROWS_PER_FIL
     """
     place = interleaved(F.col("PULocationID"), F.col("DOLocationID"))
     order = [F.col(c) for c in SILVER_PARTITIONS] + [place, F.col("pickup_datetime")]
-    # as many ranges as files are wanted; a month begins a file of its own in any case
-    n_files = max(1, -(-trips.count() // rows_per_file))
-    dealt = trips.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+    # a task writes its sorted rows in files of the size wanted; a month begins a file of its own in any case
+    n_tasks = max(1, -(-trips.count() // max(rows_per_file, ROWS_PER_TASK)))
+    dealt = trips.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order)
     counted, seen = _counted(dealt, "by-zone")
     writer = counted.write.mode("append").partitionBy(*SILVER_PARTITIONS).option("maxRecordsPerFile", rows_per_file)
     for zone in ("PULocationID", "DOLocationID"):
-        writer = writer.option(f"parquet.bloom.filter.enabled#{zone}", "true")
+        # sized by what a file can hold at most, else each would take a megabyte in the writer
+        writer = writer.option(f"parquet.bloom.filter.enabled#{zone}", "true").option(
+            f"parquet.bloom.filter.expected.ndv#{zone}", rows_per_file
+        )
     writer.parquet(path)
     return seen.get["rows"]
 
