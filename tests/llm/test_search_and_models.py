@@ -175,6 +175,12 @@ def test_most_frequent_words_of_one_count_stay_together(spark):
     assert found == [[], [b"a"], [b"a"], [b"a", b"b", b"c"], [b"a", b"b", b"c", b"d"]]
 
 
+def test_head_words_are_there_where_too_many_words_have_one_count(spark):
+    train = documents(spark, (1, "b a d c"), (2, "f e"))
+    model = class_model.train(train, head_words=3, endings=2, n_classes=4, known_words=5)
+    assert model.known == {} and list(model.units.head) == [b"a", b"b", b"c"]
+
+
 def test_probabilities_add_up_to_one(spark):
     train = documents(spark, (1, "a b a c a b"), (2, "b a d"), (3, None))
     model = class_model.train(train, head_words=2, endings=2, n_classes=4)

@@ -163,6 +163,11 @@ def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return dict(sorted(pairs, key=lambda pair: (-pair[1], pair[0])))
 
 
+def head_of(counts: DataFrame, most: int) -> list[bytes]:
+    """The ``most`` most frequent words, of equal counts those that come first in the alphabet."""
+    return [bytes(row["word"]) for row in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
 def _phi(x: np.ndarray) -> np.ndarray:
     """x log x, 0 at 0."""
     return x * np.log(np.maximum(x, 1.0))
@@ -271,9 +276,9 @@ def train(
     """A model of all given texts: counts of all their words and of all neighbours.
 
     ``head_words``, ``endings`` and ``n_classes`` set the size of the model. What reaches the driver
-    is bounded by them and by ``known_words``, from which the head words are taken: the counts of so
-    many most frequent words, and the table of neighbouring units, on which the exchange runs. Every word has its exact count in
-    a table. Null texts are empty; each text has one end.
+    is bounded by them and by ``known_words``: the head words, the counts of so many most frequent
+    words, and the table of neighbouring units, on which the exchange runs. No word is left out: those that are
+    no head words are clustered by their ending, and every word has its exact count in a table. Null texts are empty; each text has one end.
     """
     ready(docs.sparkSession)
     texts = _texts(docs, text_col)
@@ -281,7 +286,7 @@ def train(
         counts = stored(word_counts(texts), "words")
     whole = counts.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     known = most_frequent(counts, known_words)
-    units = Units({word: 1 + i for i, word in enumerate(list(known)[:head_words])}, endings)
+    units = Units({word: 1 + i for i, word in enumerate(head_of(counts, head_words))}, endings)
     with small_batches(docs.sparkSession):
         pairs = unit_pairs(docs, Lookup(units, known), text_col)
     end_count = int(pairs[:, END].sum())
