@@ -109,12 +109,12 @@ def gold_job_counts(spark, sf_dir):
 def _refreshed(spark, sf_dir):
     """All months stored as cells with one month wrong, then that month refreshed."""
     silver, old, cells = (scratch_path(spark, n) for n in ("silver", "silver", "cells"))
-    trips = inputs.silver_trips(spark, sf_dir)
-    write_silver(trips, silver)
-    write_silver(trips.where("month <> 4 OR total_amount > 50"), old)
+    write_silver(inputs.silver_trips(spark, sf_dir), silver)
+    trips = read_silver(spark, silver)  # cleaned once
+    inputs.write_months(trips.where("month <> 4 OR total_amount > 50"), old)
     sink = KpiSink(path=scratch_path(spark, "gold"))
     run_gold(spark, old, sink, cells=cells)
-    aprils = [(r[0], 4) for r in read_silver(spark, silver).select("year").distinct().collect()]
+    aprils = [(r[0], 4) for r in trips.select("year").distinct().collect()]
     run_gold(spark, silver, sink, months=aprils, cells=cells)
     return sink
 

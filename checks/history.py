@@ -14,7 +14,7 @@ from tripmart.operators import rejects, sketches
 from tripmart.operators.profiling import NUMERIC_COLUMNS, QUARTILES
 from tripmart.plans.gold import refresh_sketches
 from tripmart.sinks.tables import write_silver
-from tripmart.sources.trips import read_bronze
+from tripmart.sources.trips import read_bronze, read_silver
 from tripmart.streaming.copies import read_unique, unique_trips
 from tripmart.streaming.landing import land_new, landed_files
 
@@ -80,13 +80,13 @@ def trips_without_copies_across_runs(spark, sf_dir):
 def _stored_sketches(spark, sf_dir):
     """Sketches of all months with the Aprils wrong, and then the Aprils alone once more."""
     old, silver, stored = (scratch_path(spark, n) for n in ("silver", "silver", "sketches"))
-    trips = inputs.silver_trips(spark, sf_dir)
-    write_silver(trips, silver)
-    write_silver(trips.where("month <> 4 OR PULocationID > 5"), old)
+    write_silver(inputs.silver_trips(spark, sf_dir), silver)
+    trips = read_silver(spark, silver)  # cleaned once
+    inputs.write_months(trips.where("month <> 4 OR PULocationID > 5"), old)
     refresh_sketches(spark, old, stored)
     years = [r[0] for r in trips.select("year").distinct().collect()]
     refresh_sketches(spark, silver, stored, [(y, 4) for y in years])
-    return spark.read.parquet(stored)
+    return spark.read.parquet(stored), trips
 
 
 @check(
@@ -103,17 +103,25 @@ def sketched_quantiles(spark, sf_dir):
 
     The stated error holds in 99 of 100 cases, so twice of it is what is looked at here.
     """
-    found = sketches.sketched_quantiles(_stored_sketches(spark, sf_dir))
-    trips = inputs.stored_silver(spark, sf_dir)
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), present(F.col(c).cast("double")).alias("v")) for c in NUMERIC_COLUMNS])
-    long = trips.select(F.inline(entries)).where("v IS NOT NULL")
-    counted = long.join(F.broadcast(found), "column").groupBy("column", "rank", "nb_values", "rank_error").agg(
-        (F.count_if(F.col("v") < F.col("value")) / F.count("*")).alias("below"),
-        (F.count_if(F.col("v") <= F.col("value")) / F.count("*")).alias("up_to"),
-    )
+    cells, silver = _stored_sketches(spark, sf_dir)
+    found = sketches.sketched_quantiles(cells).collect()  # a row a column and rank
+
+    def counts(row):
+        v, value = present(F.col(row["column"]).cast("double")), F.lit(row["value"]).cast("double")
+        return F.struct(
+            *[F.lit(row[c]).alias(c) for c in ("column", "rank", "nb_values", "rank_error")],
+            F.try_divide(F.count_if(v < value), F.count(v)).alias("below"),
+            F.try_divide(F.count_if(v <= value), F.count(v)).alias("up_to"),
+        )
+
+    if not found:
+        return spark.createDataFrame([], "column string, rank double, nb_values bigint, in_bound boolean")
+    # one scan that keeps a row a task
+    all_counts = silver.agg(F.array(*map(counts, found)).alias("counts"))
+    counted = all_counts.select(F.inline("counts")).where("below IS NOT NULL")
     slack = 2 * F.col("rank_error")
     inside = (F.col("below") - slack <= F.col("rank")) & (F.col("up_to") + slack >= F.col("rank"))
-    return counted.select("column", "rank", "nb_values", inside.alias("in_bound"))
+    return counted.select("column", "rank", F.col("nb_values").cast("bigint"), inside.alias("in_bound"))
 
 
 @check(
@@ -126,7 +134,7 @@ def sketched_quantiles(spark, sf_dir):
 )
 def sketched_distinct_zones(spark, sf_dir):
     """There are fewer zones than a sketch holds, so the counts are exact."""
-    return sketches.sketched_distinct(_stored_sketches(spark, sf_dir))
+    return sketches.sketched_distinct(_stored_sketches(spark, sf_dir)[0])
 
 
 @check(
@@ -146,7 +154,7 @@ def sketched_distinct_zones(spark, sf_dir):
     FROM sides GROUP BY ALL""",
 )
 def sketched_zone_changes(spark, sf_dir):
-    return sketches.distinct_changes(_stored_sketches(spark, sf_dir))
+    return sketches.distinct_changes(_stored_sketches(spark, sf_dir)[0])
 
 
 @check(
@@ -155,7 +163,7 @@ def sketched_zone_changes(spark, sf_dir):
     FROM silver WHERE PULocationID IS NOT NULL GROUP BY 1 ORDER BY nb_trips DESC, value LIMIT 15""",
 )
 def sketched_top_zones(spark, sf_dir):
-    return sketches.sketched_top(_stored_sketches(spark, sf_dir), "PULocationID")
+    return sketches.sketched_top(_stored_sketches(spark, sf_dir)[0], "PULocationID")
 
 
 # rejects

@@ -6,15 +6,17 @@ import math
 from collections.abc import Iterable, Iterator, Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.config import CleaningRules, session_settings
+from tripmart.config import CleaningRules, scratch_path, session_settings
+from tripmart.functions.columns import free_name
 from tripmart.operators.cleaning import clean, picked_up_between, pickup_month
 from tripmart.plans.runs import RunMetrics, measured
 from tripmart.sinks.snapshots import (
     Run,
     abandon,
+    delete_folder,
     has_files,
     is_published,
     part_name,
@@ -24,7 +26,7 @@ from tripmart.sinks.snapshots import (
 )
 from tripmart.sinks.tables import ROWS_PER_FILE, write_by_zone, write_silver
 from tripmart.sources.documents import file_inventory
-from tripmart.sources.trips import read_bronze, read_silver
+from tripmart.sources.trips import LANDED_FILE, read_bronze, read_silver, trips_by_file
 
 Month = tuple[int, int]
 
@@ -32,6 +34,8 @@ Month = tuple[int, int]
 BYTES_PER_TASK = 128 * 1024 * 1024
 # raw bytes that are shuffled together: some thousands of tasks
 BYTES_PER_BATCH = 512 * 1024 * 1024 * 1024
+# scans of the raw rows by all batches together, beyond which the rows are dealt to the batches first
+MOST_SCANS = 4
 
 
 def shuffle_partitions_for(spark: SparkSession, nb_bytes: int) -> int:
@@ -78,6 +82,32 @@ def _days(batch: list[Month]) -> tuple[date, date]:
     return date(first_year, first, 1), date(year + month // 12, month % 12 + 1, 1)
 
 
+def scans_of(trips: DataFrame, batches: list[list[Month]]) -> float:
+    """How often all batches together read the rows, if each opens the files that hold one of its months."""
+    by_file = trips.groupBy(LANDED_FILE).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(_batch_number(trips, batches)).alias("batches")
+    )
+    row = by_file.agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("batches")).alias("read")).first()
+    return row["read"] / row["rows"] if row["rows"] else 0.0
+
+
+def _batch_number(raw: DataFrame, batches: list[list[Month]]) -> Column:
+    """The batch of a row; null without a pickup time."""
+    numbers = {year * 100 + month: n for n, batch in enumerate(batches) for year, month in batch}
+    first = pickup_month(raw)
+    known = F.create_map(*[F.lit(v) for pair in numbers.items() for v in pair])
+    return F.try_element_at(known, F.year(first) * 100 + F.month(first))
+
+
+def _by_batch(raw: DataFrame, batches: list[list[Month]], folder: str) -> list[DataFrame]:
+    """The raw rows of each batch, written in one scan without a shuffle."""
+    number = free_name("_batch", raw.columns)
+    numbered = raw.withColumn(number, _batch_number(raw, batches)).where(F.col(number).isNotNull())
+    numbered.write.partitionBy(number).parquet(folder)
+    spark = raw.sparkSession
+    return [spark.read.schema(raw.schema).parquet(f"{folder}/{number}={n}") for n in range(len(batches))]
+
+
 # columns whose bounds the manifest keeps for each file
 BOUND_COLUMNS = ("pickup_datetime", "PULocationID", "DOLocationID")
 
@@ -122,8 +152,9 @@ def run_silver(
     times partitions. Copies have equal pickup times, so batches of bounded size give the same
     table. All batches are published together as the next version of the table: a reader sees
     the version before until then, and for good if a batch fails. ``replace_all=False`` keeps the
-    months that do not occur in the raw trips. Pickup times are clustered in raw files, so a batch
-    skips the row groups of other months.
+    months that do not occur in the raw trips. Where pickup times are clustered in raw files, a batch
+    skips the row groups of other months; where they are not, so that the batches would read the
+    rows more than a few times, the rows are dealt to the batches in a scan before.
     """
     raw = read_bronze(spark, bronze)
     rows = rows_by_month(raw)
@@ -131,15 +162,23 @@ def run_silver(
 
     def run() -> int:
         begun = _start(spark, silver, replace_all)
+        staged = scratch_path(spark, "batches")
         try:
+            batches = list(batches_of(rows, nb_bytes, batch_bytes))
+            months = [batch for batch, _ in batches]
+            parts = [raw] * len(batches)
+            if len(batches) > MOST_SCANS and scans_of(trips_by_file(spark, bronze), months) > MOST_SCANS:
+                parts = _by_batch(raw, months, staged)
             kept = sum(
-                _clean_batch(raw, begun, rules, batch, size)
-                for batch, size in batches_of(rows, nb_bytes, batch_bytes)
+                _clean_batch(part, begun, rules, batch, size)
+                for part, (batch, size) in zip(parts, batches)
             )
             _publish(raw, begun, rules, None if replace_all else [m for m in rows if m is not None])
         except Exception:
             abandon(spark, begun)
             raise
+        finally:
+            delete_folder(spark, staged)
         return kept
 
     return measured("silver", sum(rows.values()), run)

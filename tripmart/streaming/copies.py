@@ -93,11 +93,13 @@ def read_unique(spark: SparkSession, table: str, schema: T.StructType) -> DataFr
 
 def recover(spark: SparkSession, raw: DataFrame, table: str, schema: T.StructType) -> int:
     """Add the rows that the table lacks; only the months in which ``raw`` has rows are compared."""
-    rows = _keyed(raw).dropDuplicates(list(KEYS))
+    keyed = _keyed(raw)
     month = F.date_format(ARRIVED, "yyyyMM").cast("int")
-    months = [r[0] for r in rows.select(month).distinct().collect()]  # as many as the calendar has
+    months = [r[0] for r in keyed.select(month).distinct().collect()]  # as many as the calendar has
     known = read_unique(spark, table, schema).where(F.col("pickup_month").isin(months)).select(*KEYS)
-    return _append(rows.join(known, list(KEYS), "left_anti"), table, f"late-{uuid.uuid4().hex}")
+    # both are dealt by the keys, so the rows are shuffled once; most are known and need not be told apart
+    lacking = keyed.join(known, list(KEYS), "left_anti").dropDuplicates(list(KEYS))
+    return _append(lacking, table, f"late-{uuid.uuid4().hex}")
 
 
 def _mark(spark: SparkSession, place: str, at: datetime | None = None) -> None:
