@@ -239,6 +239,22 @@ def test_pinned_months_are_the_only_folders_listed(spark, table):
     assert "month=4" not in plan_of(march) and len(march.inputFiles()) == 1
 
 
+@pytest.mark.parametrize("scattered", [True, False])
+def test_scattered_rows_are_dealt_to_the_batches_once(spark, trips, tmp_path, monkeypatch, scattered):
+    months = [{"pickup_datetime": f"2024-{m:02d}-02 10:00:00", "dropoff_datetime": f"2024-{m:02d}-02 10:30:00"} for m in range(1, 8)]
+    rows = [*months, months[2], {"pickup_datetime": None}]
+    for part in [rows] if scattered else [[r] for r in rows]:
+        trips(*part).coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
+    dealt = []
+    by_batch = plan._by_batch
+    monkeypatch.setattr(plan, "_by_batch", lambda *a: dealt.append(a[2]) or by_batch(*a))
+    run_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"), batch_bytes=1)
+    run_silver(spark, str(tmp_path / "b"), str(tmp_path / "whole"))
+    found, whole = (sorted(map(str, read_silver(spark, str(tmp_path / n)).collect())) for n in ("s", "whole"))
+    assert found == whole and len(found) == 7
+    assert len(dealt) == scattered and not any(Path(folder).exists() for folder in dealt)
+
+
 # lookups by zone
 
 
