@@ -10,6 +10,7 @@ from checks.registry import check
 from checks.sql import SILVER
 from tripmart.config import KpiSink, scratch_path
 from tripmart.operators import views
+from tripmart.operators.cleaning import clean
 from tripmart.operators.kpis import (
     CATALOGUE,
     kpi_cells,
@@ -109,7 +110,7 @@ def gold_job_counts(spark, sf_dir):
 def _refreshed(spark, sf_dir):
     """All months stored as cells with one month wrong, then that month refreshed."""
     silver, old, cells = (scratch_path(spark, n) for n in ("silver", "silver", "cells"))
-    write_silver(inputs.silver_trips(spark, sf_dir), silver)
+    write_silver(clean(inputs.bronze_trips(spark, sf_dir), by_time=True), silver, True, True)
     trips = read_silver(spark, silver)  # cleaned once
     inputs.write_months(trips.where("month <> 4 OR total_amount > 50"), old)
     sink = KpiSink(path=scratch_path(spark, "gold"))

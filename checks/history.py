@@ -11,6 +11,7 @@ from checks.sql import BRONZE, COMPLETE, SILVER
 from tripmart.config import CleaningRules, SourceSpec, scratch_path
 from tripmart.functions.numeric import present
 from tripmart.operators import rejects, sketches
+from tripmart.operators.cleaning import clean
 from tripmart.operators.profiling import NUMERIC_COLUMNS, QUARTILES
 from tripmart.plans.gold import refresh_sketches
 from tripmart.sinks.tables import write_silver
@@ -80,7 +81,7 @@ def trips_without_copies_across_runs(spark, sf_dir):
 def _stored_sketches(spark, sf_dir):
     """Sketches of all months with the Aprils wrong, and then the Aprils alone once more."""
     old, silver, stored = (scratch_path(spark, n) for n in ("silver", "silver", "sketches"))
-    write_silver(inputs.silver_trips(spark, sf_dir), silver)
+    write_silver(clean(inputs.bronze_trips(spark, sf_dir), by_time=True), silver, True, True)
     trips = read_silver(spark, silver)  # cleaned once
     inputs.write_months(trips.where("month <> 4 OR PULocationID > 5"), old)
     refresh_sketches(spark, old, stored)

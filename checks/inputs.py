@@ -77,7 +77,7 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         path = scratch_path(spark, "silver")
-        write_silver(silver_trips(spark, sf_dir), path)
+        write_silver(clean(bronze_trips(spark, sf_dir), by_time=True), path, gathered=True)
         _stored[key] = path
     return read_silver(spark, _stored[key])
 

@@ -70,6 +70,28 @@ def test_static_and_dynamic_overwrite(spark, trips, tmp_path, replace_all, left)
     assert stored.where("month = 3").first()["fare_amount"] == 50.0
 
 
+def test_trips_cleaned_in_time_ranges_are_shuffled_once(spark, trips, tmp_path):
+    copy = {"fare_amount": 0.0, "PULocationID": None, "note": None}
+    raw = trips({}, {}, copy, copy | {"fare_amount": -0.0}, APRIL, APRIL | {"fare_amount": None}).repartition(3)
+    cleaned = clean(raw, by_time=True)
+    plan = plan_of(cleaned, "simple")
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan
+    assert cleaned.schema == clean(raw).schema
+    written = write_silver(cleaned, str(tmp_path / "s"), gathered=True)
+    assert (written.rows, written.months) == (3, ((2024, 3), (2024, 4)))
+    stored = read_silver(spark, str(tmp_path / "s"))
+    assert same_rows(clean(raw), stored)
+    assert len(list((tmp_path / "s").glob("year=*/month=*/*.parquet"))) <= 3
+
+
+def test_more_months_than_are_written_side_by_side(spark, trips, tmp_path):
+    days = [f"20{20 + i // 12}-{1 + i % 12:02}-02" for i in range(40)]
+    raw = trips(*[{"pickup_datetime": f"{d} 10:00:00", "dropoff_datetime": f"{d} 10:30:00"} for d in days])
+    written = write_silver(clean(raw, by_time=True), str(tmp_path / "s"), gathered=True)
+    assert written.rows == len(written.months) == 40
+    assert same_rows(clean(raw), read_silver(spark, str(tmp_path / "s")))
+
+
 def test_write_is_split_by_adaptive_execution(spark, trips):
     plan = plan_of(clean(trips({})).hint("rebalance", "year", "month"), "simple")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan

@@ -121,7 +121,8 @@ def _clean_batch(
     with session_settings(
         spark, spark__sql__shuffle__partitions=shuffle_partitions_for(spark, nb_bytes)
     ):
-        return write_silver(clean(trips, rules), run.folder, replace_all=False).rows
+        cleaned = clean(trips, rules, by_time=True)
+        return write_silver(cleaned, run.folder, replace_all=False, gathered=True).rows
 
 
 def _publish(raw: DataFrame, run: Run, rules: CleaningRules, months: Iterable[Month] | None) -> int:

@@ -16,6 +16,10 @@ from tripmart.sinks.snapshots import part_folder
 
 # shuffled bytes per file of the clean table; Spark's default of 64 MB makes files too small
 FILE_SHUFFLE_BYTES = "256m"
+# the same where a task removes copies before it writes, so that its rows fit its memory
+CLEANED_SHUFFLE_BYTES = "64m"
+# months that a task writes side by side without sorting its rows; with more it sorts the rest
+MONTHS_AT_ONCE = 12
 ROWS_PER_FILE = 4_000_000
 ROWS_PER_TASK = 500_000  # of a layout in smaller files
 
@@ -38,18 +42,21 @@ class Written:
     months: tuple[tuple[int, int], ...]
 
 
-def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> Written:
+def write_silver(
+    trips: DataFrame, path: str, replace_all: bool = True, gathered: bool = False
+) -> Written:
     """Write clean trips partitioned by month.
 
     Rows of a month are brought together first, else every task would add a file to every
     month. The rebalance hint leaves it to adaptive execution to cut large months into files
     of the advised size and to join small ones, so no month ends up in one task.
-    ``replace_all=False`` replaces only the months that occur in ``trips``.
+    ``replace_all=False`` replaces only the months that occur in ``trips``. ``gathered`` trips,
+    as of ``clean(raw, by_time=True)``, are in ranges of time already and stay where they are.
     """
-    gathered = trips.hint("rebalance", *SILVER_PARTITIONS)
+    rows = trips if gathered else trips.hint("rebalance", *SILVER_PARTITIONS)
     seen = Observation("silver")
     month = F.col("year") * 100 + F.col("month")
-    counted = gathered.observe(
+    counted = rows.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(month).alias("months")
     )
     writer = (
@@ -58,6 +65,11 @@ def write_silver(trips: DataFrame, path: str, replace_all: bool = True) -> Writt
         .partitionBy(*SILVER_PARTITIONS)
     )
     advised = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": FILE_SHUFFLE_BYTES}
+    if gathered:
+        advised = {
+            "spark__sql__adaptive__advisoryPartitionSizeInBytes": CLEANED_SHUFFLE_BYTES,
+            "spark__sql__maxConcurrentOutputFileWriters": MONTHS_AT_ONCE,
+        }
     with session_settings(trips.sparkSession, **advised):
         writer.parquet(path)
     months = tuple(sorted(divmod(m, 100) for m in seen.get["months"]))
