@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
+from plans import plan_of
 from tripmart.operators import learning
 from tripmart.operators.cleaning import clean
 from tripmart.plans.full_run import run_all
@@ -169,3 +170,21 @@ def test_target_coded_training_is_saved_and_read(spark, trips, tmp_path):
     kept = training.best_pipeline.transform(rows)
     assert sorted(reloaded.select("prediction").collect()) == sorted(kept.select("prediction").collect())
     assert training.sizes["train"] + training.sizes["test"] == 600
+
+
+def test_codes_travel_to_the_rows_and_are_computed_once(trips):
+    train, _ = learning.content_split(learning.training_rows(many(trips, n=200, zones=9)))
+    coded = learning.with_out_of_fold(train, learning.out_of_fold_encodings(learning.target_statistics(train)))
+    plan = plan_of(coded, "simple")
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+    # the rows alone, no statistics
+    assert plan.count("HashAggregate") == plan_of(train, "simple").count("HashAggregate")
+    assert coded.count() == train.count()
+    none = train.limit(0)
+    assert learning.with_out_of_fold(none, learning.out_of_fold_encodings(learning.target_statistics(none))).count() == 0
+
+
+def test_statistics_of_codes_are_counted_once(trips):
+    train, _ = learning.content_split(learning.training_rows(many(trips, n=200, zones=9)))
+    plan = plan_of(learning.out_of_fold_encodings(learning.target_statistics(train)), "simple")
+    assert "FileScan" in plan and "explode" not in plan

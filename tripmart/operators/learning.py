@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tripmart.config import scratch_path
 from tripmart.functions.columns import free_name
 
 # fixed values: what the models learn from, and how
@@ -160,7 +161,11 @@ def out_of_fold_encodings(statistics: DataFrame, smoothing: float = SMOOTHING, f
     Means of few rows are drawn to that of all codes, which weighs as much as ``smoothing`` rows;
     it leaves the fold out too. A code that only its own fold has gets that mean. So no row says
     anything about its own target. A table of codes times folds, which never is on the driver.
+    The statistics are read four times, so they are written once, below the scratch folder.
     """
+    folder = scratch_path(statistics.sparkSession, "statistics")
+    statistics.write.parquet(folder)
+    statistics = statistics.sparkSession.read.schema(statistics.schema).parquet(folder)
     by_code = statistics.groupBy("column", "code").agg(F.sum("nb_rows").alias("rows"), F.sum("total").alias("sum"))
     by_fold = statistics.groupBy("column", "fold").agg(F.sum("nb_rows").alias("fold_rows"), F.sum("total").alias("fold_sum"))
     whole = by_fold.groupBy("column").agg(F.sum("fold_rows").alias("all_rows"), F.sum("fold_sum").alias("all_sum"))
@@ -176,14 +181,32 @@ def out_of_fold_encodings(statistics: DataFrame, smoothing: float = SMOOTHING, f
     return own.select("column", "code", "fold", F.coalesce(encoded, prior).alias("encoded"))
 
 
+def _stored_by_column(encodings: DataFrame, columns: Sequence[str]) -> list[DataFrame]:
+    """The encodings of each column, from a file table written in one run, so that their sizes are known."""
+    spark = encodings.sparkSession
+    number = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
+    folder = scratch_path(spark, "encodings")
+    parts = encodings.select("code", "fold", "encoded", number.alias("part")).where("part > 0")
+    parts.write.partitionBy("part").parquet(folder)
+    whole = spark.read.schema(parts.schema).parquet(folder)
+    known = {row["part"] for row in whole.select("part").distinct().collect()}
+    bare = whole.drop("part").schema
+    return [
+        spark.read.schema(bare).parquet(f"{folder}/part={n}") if n in known else whole.drop("part").limit(0)
+        for n in range(1, len(columns) + 1)
+    ]
+
+
 def with_out_of_fold(train: DataFrame, encodings: DataFrame, columns: Sequence[str] = CATEGORICAL) -> DataFrame:
-    """Train rows with ``<column>_enc`` from the other folds; adaptive execution splits frequent codes."""
+    """Train rows with ``<column>_enc`` from the other folds.
+
+    The encodings are computed once. Those of few codes travel to the rows; only for a column of
+    very many codes are rows shuffled, and adaptive execution splits its frequent codes.
+    """
     fold = free_name("_fold", train.columns)
     rows = train.withColumn(fold, fold_of(train))
-    for name in columns:
-        own = encodings.where(F.col("column") == name).select(
-            F.col("code").alias(f"{name}_code"), F.col("fold").alias(f"{name}_fold"), F.col("encoded").alias(f"{name}_enc")
-        )
+    for name, stored in zip(columns, _stored_by_column(encodings, columns)):
+        own = stored.toDF(f"{name}_code", f"{name}_fold", f"{name}_enc")
         same = (F.col(name).cast("double") == F.col(f"{name}_code")) & (F.col(fold) == F.col(f"{name}_fold"))
         rows = rows.join(own, same).drop(f"{name}_code", f"{name}_fold")
     return rows.drop(fold)
