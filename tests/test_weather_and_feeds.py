@@ -309,6 +309,16 @@ def test_broken_feed_items_are_reported(spark, tmp_path):
     assert sorted(rows) == [("x_1.xml", "unclosed"), ("x_1.xml", "unreadable"), ("x_1.xml", "unreadable_time")]
 
 
+def test_rejected_trips_run_no_method_that_stays_interpreted(spark, trips):
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+        rejected_trips(trips({}))
+        assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
 def test_rejected_trips_can_be_tried_again(spark, trips):
     rows = trips({}, {"fare_amount": -5.0}, {"fare_amount": -5.0}, {"fare_amount": None}, {"fare_amount": 700.0, "note": "x"},
                  {"dropoff_datetime": "2024-03-06 09:00:00", "fare_amount": 900.0})

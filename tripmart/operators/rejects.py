@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.config import CleaningRules, use_utc
+from tripmart.config import CleaningRules, use_compiled_code, use_utc
 from tripmart.functions.columns import free_name
 from tripmart.operators.cleaning import (
     clean,
@@ -58,9 +58,9 @@ def rejected_trips(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
 
     These are the last two columns; an underscore is put before a name that the rows have already.
     Rows read = trips kept + copies + rejected rows. The grouping combines before its shuffle, as
-    the removal of copies does.
+    the removal of copies does. All rules are judged in the scan, which makes a long method.
     """
-    use_utc(raw.sparkSession)
+    use_utc(use_compiled_code(raw.sparkSession))
     rows = rename_present(raw)
     names = [f"`{c}`" for c in rows.columns]
     copies = free_name(COPIES, rows.columns)
