@@ -111,6 +111,70 @@ def test_traversal_prunes_and_loses_nothing():
     assert linked and linked <= found and len(found) < 2 * len(linked) + 20
 
 
+def near_copies_of_one_text(count):
+    """Copies of one text with up to four words changed: many pairs are linked, many almost."""
+    rng = random.Random(7)
+    base = [f"b{k}" for k in range(150)]
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for _ in range(i % 5):
+            words[rng.randrange(len(words))] = f"c{rng.randrange(100)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_a_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch):
+    rows = near_copies_of_one_text(500)
+    checked, stored = [], ngram_join.stored
+
+    def counting(df, label):
+        out = stored(df, label)
+        if label.endswith("-pairs"):
+            checked.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counting)
+    docs = ready(spark).createDataFrame(rows, "doc_id long, text string")
+    out = ngram_join.ngram_components(docs, 3, 90, 100).collect()
+    expected = brute_components(rows, 3, 90, 100)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == expected
+    assert len({c for _, c in expected.values()}) > 50
+    assert sum(checked) < 8 * len(rows)  # over 30,000 pairs of rows are linked
+
+
+def test_bitmaps_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    whole = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
+    for n, cut in ((40, 2), (600, 30), (2900, 200), (1030, 20)):
+        a, b = whole[:n], whole[cut : n - 5]
+        for length in (None, 4):
+            x, y = ngram_join.folded([ngram_join.signature(s) for s in (a, b)], length)
+            assert np.bitwise_count(x ^ y).sum() <= cut + 5
+        x, y = ngram_join.folded([ngram_join.signature(s) for s in (a, b)])
+        assert np.bitwise_count(x ^ y).sum() >= 0.7 * (cut + 5)
+
+
+def test_spanning_pairs_join_what_all_pairs_join():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 400, (2, 900))
+    share = rng.random(900)
+    few = ngram_join.spanning_pairs(x, y, share, 400)
+    pairs = list(zip(x.tolist(), y.tolist()))
+    whole = union_components(range(400), pairs)
+    assert union_components(range(400), [pairs[k] for k in few]) == whole
+    assert len(few) == 400 - len(set(whole.values()))
+    # the nearest ones: a tree of pairs taken in ascending order has the same length
+    total, root = 0.0, {n: n for n in range(400)}
+    for k in np.argsort(share):
+        a, b = root[pairs[k][0]], root[pairs[k][1]]
+        if a != b:
+            total += share[k]
+            root = {n: a if r == b else r for n, r in root.items()}
+    assert math.isclose(share[few].sum(), total)
+    assert not len(ngram_join.spanning_pairs(x[:0], y[:0], share[:0], 400))
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(7777, 5)] + [(3, 3)]
     out = connected_components(ready(spark).createDataFrame(links, "a long, b long"), "test").collect()

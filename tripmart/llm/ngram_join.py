@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import (
@@ -23,23 +23,25 @@ from tripmart.llm.common import (
 )
 from tripmart.llm.shingles import mix, shingle_sets
 
-LEAST_BITS, BITS_PER_SHINGLE = 512, 2
+LEAST_BITS, BITS_PER_SHINGLE = 512, 1
 FANOUT = 8
 BLOCK = 2_048
 FIRSTS = 2  # first sets that a set is held against before the trees are traversed
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The bitmap of a set as 64-bit words: one bit per shingle, at a place that its hash gives.
+    """The bitmap of a set as 64-bit words: whether an odd number of its shingles falls on a place.
 
-    The number of bits is a power of two in proportion to the set, so that large sets do not fill
-    it. Bitmaps of different lengths are comparable once the longer is folded.
+    A shingle of both sets leaves the bits of both as they differ, so two bitmaps differ in no more
+    places than the sets do in shingles, and in almost as many where the sets are near. The number of
+    bits is a power of two in proportion to the set. Bitmaps of different lengths are comparable once
+    the longer is folded.
     """
     width = LEAST_BITS
     while width < BITS_PER_SHINGLE * len(shingles):
         width *= 2
-    bits = np.zeros(width, dtype=np.uint8)
-    bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
+    places = (shingles & np.uint64(width - 1)).astype(np.int64)
+    bits = (np.bincount(places, minlength=width) & 1).astype(np.uint8)
     return np.packbits(bits, bitorder="little").view("<i8")
 
 
@@ -51,7 +53,7 @@ def folded(bitmaps: list[np.ndarray], length: int | None = None) -> np.ndarray:
     for own in np.unique(lengths):
         rows = np.nonzero(lengths == own)[0]
         wide = np.stack([bitmaps[r] for r in rows]).view(np.uint64)
-        out[rows] = np.bitwise_or.reduce(wide.reshape(len(rows), own // length, length), axis=1)
+        out[rows] = np.bitwise_xor.reduce(wide.reshape(len(rows), own // length, length), axis=1)
     return out
 
 
@@ -66,7 +68,7 @@ def kept_for_index(n: int, num: int, den: int) -> int:
 
 
 class SignatureTree:
-    """Levels of nodes over sets: the union of bitmaps, and ranges of sizes, of all sets below.
+    """Levels of nodes over sets: the bits that all sets below have and that any has, and their sizes.
 
     ``levels[0]`` are the sets themselves, in order of component and size so that nodes are alike;
     each node of a level covers ``FANOUT`` of the level below.
@@ -77,33 +79,36 @@ class SignatureTree:
         self.rows = order
         bits = bitmaps[order]
         n = sizes[order].astype(np.int64)
-        # what a set can share beyond the bits it shares: shingles that fell on a bit already set
-        spare = n - np.bitwise_count(bits).sum(1).astype(np.int64)
-        level = (bits, n, n, spare, components[order])
+        level = (bits, bits, n, n, components[order])
         self.levels = [level]
         while len(level[0]) > FANOUT:
             at = np.arange(0, len(level[0]), FANOUT)
             same = np.minimum.reduceat(level[4], at)
             mixed = same != np.maximum.reduceat(level[4], at)
             level = (
-                np.bitwise_or.reduceat(level[0], at, axis=0),
-                np.minimum.reduceat(level[1], at),
-                np.maximum.reduceat(level[2], at),
+                np.bitwise_and.reduceat(level[0], at, axis=0),
+                np.bitwise_or.reduceat(level[1], at, axis=0),
+                np.minimum.reduceat(level[2], at),
                 np.maximum.reduceat(level[3], at),
                 np.where(mixed, -1, same),
             )
             self.levels.append(level)
 
 
+def _few_enough(differ: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether two sets of ``sizes`` together, that differ in so many shingles, are linked."""
+    return differ * (num + den) <= (den - num) * sizes
+
+
 def _possible(x, i, y, j, num: int, den: int) -> np.ndarray:
-    """Which node pairs may hold a linked pair: the most they can share against what it takes."""
-    (bits_x, low_x, high_x, spare_x, comp_x), (bits_y, low_y, high_y, spare_y, comp_y) = x, y
+    """Which node pairs may hold a linked pair: the least they differ against what a link allows."""
+    (all_x, any_x, low_x, high_x, comp_x), (all_y, any_y, low_y, high_y, comp_y) = x, y
     fits = (high_x[i] * den >= num * low_y[j]) & (high_y[j] * den >= num * low_x[i])
     fits &= (comp_x[i] != comp_y[j]) | (comp_x[i] < 0)
     i, j = i[fits], j[fits]
-    shared = np.bitwise_count(bits_x[i] & bits_y[j]).sum(1).astype(np.int64)
-    most = np.minimum(shared + np.minimum(spare_x[i], spare_y[j]), np.minimum(high_x[i], high_y[j]))
-    fits[fits] = most * (num + den) >= num * (low_x[i] + low_y[j])
+    apart = (all_x[i] & ~any_y[j]) | (all_y[j] & ~any_x[i])
+    differ = np.bitwise_count(apart).sum(1).astype(np.int64)
+    fits[fits] = _few_enough(differ, high_x[i] + high_y[j], num, den)
     return fits
 
 
@@ -143,6 +148,36 @@ def dual_traversal(
             open_pairs.append((la, lb - 1, i[inside], down[inside]))
 
 
+def _merged(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The labels once those of ``x`` and ``y`` are one; each is the least place of its group."""
+    while True:
+        least = np.minimum(label[x], label[y])
+        before = label.copy()
+        np.minimum.at(label, before[x], least)
+        np.minimum.at(label, before[y], least)
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
+def spanning_pairs(x: np.ndarray, y: np.ndarray, share: np.ndarray, count: int) -> np.ndarray:
+    """Which of the pairs of numbers below ``count`` join all that the pairs join, nearest first."""
+    order = np.lexsort((y, x, share))
+    label, taken = np.arange(count), []
+    while len(order):
+        order = order[label[x[order]] != label[y[order]]]
+        if not len(order):
+            break
+        # each group takes its nearest pair; places in one order for all make no circle
+        rank, best = np.arange(len(order)), np.full(count, len(order))
+        np.minimum.at(best, label[x[order]], rank)
+        np.minimum.at(best, label[y[order]], rank)
+        new = order[np.unique(best[best < len(order)])]
+        taken.append(new)
+        label = _merged(label, x[new], y[new])
+    return np.sort(np.concatenate(taken)) if taken else np.zeros(0, dtype=np.int64)
+
+
 def _sets(frame: pd.DataFrame, width: int) -> list[np.ndarray]:
     return shingle_sets([(t or "").encode() for t in frame["text"]], width)
 
@@ -206,12 +241,8 @@ def _signatures_allow(pairs: DataFrame, num: int, den: int) -> DataFrame:
                 part = frame[length == own]
                 n_a, n_b = part["n_a"].to_numpy(), part["n_b"].to_numpy()
                 x, y = (folded(list(part[c]), int(own)) for c in ("bits_a", "bits_b"))
-                both = np.bitwise_count(x & y).sum(1).astype(np.int64)
-                spare = np.minimum(
-                    n_a - np.bitwise_count(x).sum(1).astype(np.int64),
-                    n_b - np.bitwise_count(y).sum(1).astype(np.int64),
-                )
-                yield part.loc[(both + spare) * (num + den) >= num * (n_a + n_b), ["a", "b"]]
+                differ = np.bitwise_count(x ^ y).sum(1).astype(np.int64)
+                yield part.loc[_few_enough(differ, n_a + n_b, num, den), ["a", "b"]]
 
     return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(make, "a long, b long")
 
@@ -219,17 +250,22 @@ def _signatures_allow(pairs: DataFrame, num: int, den: int) -> DataFrame:
 class _Bucket:
     """The sets of trees with one first set, each held once, and the pairs found among them so far.
 
-    Near copies share many trees, so a pair is found again and again; it is passed on once.
+    Near copies share many trees and most of their pairs are linked, so a few pairs tell as much as
+    all of them. With ``spanning`` a tree passes on as many pairs as join what its pairs join, the
+    nearest ones, and what they join counts as one component from then on: nothing is lost if every
+    pair passed on turns out to be linked. Without it every pair is passed on, once.
     """
 
     MOST_FOUND = 1_000_000  # then what was passed on is forgotten, and a pair may come twice
 
-    def __init__(self, key: tuple[int, int, int]):
+    def __init__(self, key: tuple[int, int, int], spanning: bool):
         self.key = key
+        self.spanning = spanning
         self.place: dict[int, int] = {}
         self.n: list[int] = []
         self.component: list[int] = []
         self.bits: list[np.ndarray] = []
+        self.label: np.ndarray | None = None
         self.found: set[tuple[int, int]] = set()
 
     def add(self, frame: pd.DataFrame) -> None:
@@ -246,32 +282,54 @@ class _Bucket:
         ours, theirs = np.nonzero(home)[0], np.nonzero(member)[0]
         if not len(ours) or not len(theirs):
             return
+        if self.label is None:  # all sets are known before the first tree comes
+            self.label = np.unique(self.component, return_inverse=True)[1].astype(np.int64)
         at = [self.place[x] for x in node.tolist()]
-        component = np.unique([self.component[x] for x in at], return_inverse=True)[1].astype(np.int64)
-        if component.max() == 0:
+        own, component = np.unique(self.label[at], return_inverse=True)
+        if len(own) == 1:
             return
         n = np.array([self.n[x] for x in at], dtype=np.int64)
         bitmaps = folded([self.bits[x] for x in at])
         trees = [SignatureTree(bitmaps[r], n[r], component[r]) for r in (ours, theirs)]
+        x = y = np.zeros(0, dtype=np.int64)
         new = []
-        for x, y in dual_traversal(*trees, num, den):
-            x, y = ours[x], theirs[y]
-            once = (node[x] < node[y]) | ~is_home[y]
-            low, high = np.minimum(node[x[once]], node[y[once]]), np.maximum(node[x[once]], node[y[once]])
+        for i, j in dual_traversal(*trees, num, den):
+            i, j = ours[i], theirs[j]
+            once = (node[i] < node[j]) | ~is_home[j]
+            if self.spanning:
+                x, y = np.append(x, i[once]), np.append(y, j[once])
+                share = np.bitwise_count(bitmaps[x] ^ bitmaps[y]).sum(1) / (n[x] + n[y])
+                few = spanning_pairs(component[x], component[y], share, len(own))
+                x, y = x[few], y[few]
+                continue
+            low, high = self._ordered(node, i[once], j[once])
             for pair in zip(low.tolist(), high.tolist()):
                 if pair not in self.found:
                     self.found.add(pair)
                     new.append(pair)
         if len(self.found) > self.MOST_FOUND:
             self.found.clear()
+        if len(x):
+            new = zip(*self._ordered(node, x, y))
+            groups = _merged(np.arange(len(own)), component[x], component[y])
+            same = np.arange(int(self.label.max()) + 1)
+            same[own] = own[groups]
+            self.label = same[self.label]
         if new:
-            yield pd.DataFrame(new, columns=["a", "b"])
+            found = pd.DataFrame(new, columns=["a", "b"])
+            yield found.assign(**dict(zip(("first", "i", "j"), self.key)))
+
+    @staticmethod
+    def _ordered(node: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
 
 
 _TREE = ["first", "i", "j", "is_tree", "shingle", "tree"]
 
 
-def _traverse(frames: Iterator[pd.DataFrame], num: int, den: int) -> Iterator[pd.DataFrame]:
+def _traverse(
+    frames: Iterator[pd.DataFrame], num: int, den: int, spanning: bool
+) -> Iterator[pd.DataFrame]:
     """Candidates of sorted rows: of each bucket its sets first, and then its trees one by one."""
     bucket, rest = None, None
     for frame in itertools.chain(frames, [None]):
@@ -290,7 +348,7 @@ def _traverse(frames: Iterator[pd.DataFrame], num: int, den: int) -> Iterator[pd
             head = part.iloc[0]
             key = (int(head["first"]), int(head["i"]), int(head["j"]))
             if bucket is None or bucket.key != key:
-                bucket = _Bucket(key)
+                bucket = _Bucket(key, spanning)
             if head["is_tree"]:
                 yield from bucket.candidates(part, num, den)
             else:
@@ -316,8 +374,11 @@ def ngram_components(
     the next band; the smaller of two has it among its first half already. First every set is held
     against the least first sets of its trees, ``FIRSTS`` at most, which joins a large group of near
     copies by a few pairs a member. Then each tree of more than two with sets in different components
-    is traversed against itself; node pairs are pruned by the most they can share, by size ranges, and
-    where all below is one component already. Every candidate of both passes is checked on whole sets.
+    is traversed against itself; node pairs are pruned by the least they differ, by size ranges, and
+    where all below is one component already. Of the candidates a traversal passes on as many as span
+    them. Every candidate passed on is checked on whole sets; only where one of them is no link the
+    trees are traversed again, with the components known by then, and all candidates are checked. So a
+    large group of near copies costs a few pairs a member and tree, not all pairs.
     Trees over ``block`` sets are traversed in blocks, so none is gathered in a task.
 
     Words are runs of other than ASCII blanks, A-Z in lower case; a text of fewer words than
@@ -335,17 +396,18 @@ def ngram_components(
     shingles = slim.where("n > 0").select(
         "node", "n", "n_index", F.posexplode("prefix").alias("at", "shingle")
     ).select("node", "n", (F.col("at") < F.col("n_index")).alias("indexed"), "shingle")
-    shared = (
-        shingles.groupBy("shingle")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("indexed").alias("indexed"))
-        .where("low <> high and indexed")
-        .select("shingle")
-    )
     band = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * (1 + 1e-9))).cast("int")
-    # equal sets become one member here, before anything is counted
-    members = stored(
-        shingles.join(shared, "shingle").select("shingle", "node", "n", "indexed").distinct(), "members"
+    # equal sets become one member here, before anything is counted; one shuffle serves both steps
+    alike = Window.partitionBy("shingle")
+    shared = (
+        shingles.repartition("shingle")
+        .distinct()
+        .withColumn("low", F.min("node").over(alike))
+        .withColumn("high", F.max("node").over(alike))
+        .withColumn("any_indexed", F.max("indexed").over(alike))
+        .where("low <> high and any_indexed")
     )
+    members = stored(shared.select("shingle", "node", "n", "indexed"), "members")
     # trees: (shingle, band) with the sets of the band, and of the next one as a second role
     roles = F.explode(
         F.array(
@@ -436,31 +498,58 @@ def ngram_components(
         "in-trees",
     )
     release(placed)
-    # a bucket has the trees of one first set; what is known of a set travels to it once, not by tree
-    in_buckets = members.select("first", "i", "j", "node", "component").distinct()
     flags = [F.lit(False).alias(c) for c in ("is_tree", "home", "member", "is_home")]
-    sets = in_buckets.join(bits.select("node", "n", "bits"), "node").select(
-        "first", "i", "j", "node", "n", "component", "bits", F.lit(0).cast("bigint").alias("shingle"),
-        F.lit(0).alias("tree"), *flags,
-    )
     none = F.lit(0).cast("bigint")
-    tasks = members.select(
-        "first", "i", "j", "node", none.alias("n"), none.alias("component"), F.lit(None).cast("array<bigint>").alias("bits"),
-        "shingle", "tree", F.lit(True).alias("is_tree"), "home", "member", "is_home",
-    ).union(sets)
-    more = checked(
-        tasks.repartition("first", "i", "j")
-        .sortWithinPartitions(*_TREE)
-        .mapInPandas(lambda frames: _traverse(frames, num, den), "a long, b long"),
-        "tree",
-    )
-    release(members)
-    release(bits)
-    # what the first pass joined is known by its components
+
+    def candidates(members: DataFrame, spanning: bool) -> DataFrame:
+        """(a, b) and the bucket that they are of."""
+        # a bucket has the trees of one first set; what is known of a set travels to it once, not by tree
+        in_buckets = members.select("first", "i", "j", "node", "component").distinct()
+        sets = in_buckets.join(bits.select("node", "n", "bits"), "node").select(
+            "first", "i", "j", "node", "n", "component", "bits", none.alias("shingle"), F.lit(0).alias("tree"), *flags
+        )
+        tasks = members.select(
+            "first", "i", "j", "node", none.alias("n"), none.alias("component"), F.lit(None).cast("array<bigint>").alias("bits"),
+            "shingle", "tree", F.lit(True).alias("is_tree"), "home", "member", "is_home",
+        ).union(sets)
+        return (
+            tasks.repartition("first", "i", "j")
+            .sortWithinPartitions(*_TREE)
+            .mapInPandas(
+                lambda frames: _traverse(frames, num, den, spanning),
+                "a long, b long, first long, i int, j int",
+            )
+        )
+
+    spanning = stored(candidates(members, True), "spanning")
+    more = checked(spanning, "tree")
+    # what the passes joined so far is known by its components
     known = joined.where("node <> component").toDF("a", "b")
-    components = connected_components(known.union(more), "components").select("node", "component")
+    components = connected_components(known.union(more), "components")
     release(joined)
+    unsure = stored(
+        spanning.join(more, ["a", "b"], "left_anti").select("first", "i", "j").distinct(), "unsure"
+    )
+    release(spanning)
     release(more)
+    if not unsure.isEmpty():
+        again = stored(
+            members.join(unsure, ["first", "i", "j"])
+            .drop("component")
+            .join(components, "node", "left")
+            .withColumn("component", F.coalesce("component", "node")),
+            "again",
+        )
+        rest = checked(candidates(again, False), "rest")
+        release(again)
+        settled = components
+        known = settled.where("node <> component").toDF("a", "b")
+        components = connected_components(known.union(rest), "components")
+        release(settled)
+        release(rest)
+    release(unsure)
+    release(members)
+    release(bits)
     classes = rows_of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
     named = classes.join(components, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
