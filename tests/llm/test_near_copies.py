@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
@@ -143,6 +144,13 @@ def test_a_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch):
     assert sum(checked) < 8 * len(rows)  # over 30,000 pairs of rows are linked
 
 
+def test_partitions_without_buckets_have_no_candidates():
+    columns = ["node", "n", "component", "bits", "home", "member", "is_home", *ngram_join._TREE]
+    for frames in ([], [pd.DataFrame(columns=columns)]):
+        for spanning in (True, False):
+            assert list(ngram_join._traverse(iter(frames), 90, 100, spanning)) == []
+
+
 def test_bitmaps_differ_in_no_more_places_than_sets():
     rng = np.random.default_rng(3)
     whole = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))

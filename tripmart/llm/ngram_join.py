@@ -334,7 +334,11 @@ def _traverse(
     bucket, rest = None, None
     for frame in itertools.chain(frames, [None]):
         if frame is None:
-            frame, cuts = rest, [0, 0 if rest is None else len(rest)]
+            if rest is None:  # a partition without rows, or none left over
+                return
+            frame, cuts = rest, [0, len(rest)]
+        elif frame.empty:
+            continue
         else:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             keys = frame[_TREE].to_numpy(dtype=np.int64)
@@ -353,9 +357,8 @@ def _traverse(
                 yield from bucket.candidates(part, num, den)
             else:
                 bucket.add(part)
-        if frame is not None:
-            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
-            rest = rest if len(rest) else None
+        rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
+        rest = rest if len(rest) else None
 
 
 def ngram_components(
