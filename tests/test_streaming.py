@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +149,62 @@ def test_a_stopped_run_is_made_good(spark, trips, places, monkeypatch):
     assert not os.path.exists(f"{table}/open")
 
 
+def test_the_table_keeps_the_raw_columns_only(spark, trips, places):
+    rows = made(trips, "2024-01-01", "2024-01-02")
+    run(spark, places, rows)
+    stored = spark.read.parquet(f"{places[1]}/rows").columns
+    assert sorted(stored) == sorted([*rows.columns, "batch", "pickup_month"])
+    found = read_unique(spark, places[1], rows.schema)
+    assert found.columns == [*rows.columns, *copies.KEYS, copies.ARRIVED, copies.MONTH]
+    keys = [r.asDict() for r in copies._keyed(rows).select(*copies.KEYS, copies.ARRIVED).collect()]
+    read = [r.asDict() for r in found.select(*copies.KEYS, copies.ARRIVED).collect()]
+    assert sorted(map(str, read)) == sorted(map(str, keys))
+
+
+def test_only_rows_that_can_be_late_are_compared(spark, trips, places, monkeypatch):
+    run(spark, places, made(trips, "2024-01-01", "2024-06-01"))
+    compared, recover = [], copies.recover
+
+    def watched(spark, raw, table, schema, until=None, *rest):
+        compared.append(raw.where(F.col("pickup_datetime") <= until).count())
+        return recover(spark, raw, table, schema, until, *rest)
+
+    monkeypatch.setattr(copies, "recover", watched)
+    days = [f"2024-07-{day:02d}" for day in range(1, 29)]
+    done = run(spark, places, made(trips, "2024-02-01", "2024-02-01", "2024-01-01", *days).coalesce(1))
+    assert compared == [3]  # none of the 28 that came on time
+    assert (done.late_rows, done.recovered_rows, done.rows_out) == (3, 1, 29)
+
+
+def test_late_rows_are_compared_a_few_months_at_a_time(spark, trips, places):
+    run(spark, places, made(trips, "2024-01-01", "2024-03-01"))
+    table = places[1]
+    late = made(trips, *[f"2024-{month:02d}-01" for month in (1, 2, 2, 3, 4, 4, 5)], note="a")
+    assert copies.recover(spark, late, table, late.schema, rows_at_once=3) == 3
+    assert read_unique(spark, table, late.schema).count() == 5
+    written = [p.name for p in Path(table, "rows").iterdir() if p.name.startswith("batch=late-")]
+    assert len(written) == 3
+    assert copies._month_groups([(2, 5), (1, 1), (3, 2), (4, 1)], 4) == [[1], [2], [3, 4]]
+
+
+def test_batches_of_bounded_bytes_leave_no_shuffles(spark, trips, places):
+    folder, table, log = places
+    local = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    for month in (1, 3, 5, 2, 1):
+        made(trips, *[f"2024-{month:02d}-{day:02d}" for day in range(1, 9)]).coalesce(1).write.mode("append").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    before = set(local.rglob("shuffle_*.data"))
+    done = unique_trips(spark, folder, schema, table, log, "20 days", bytes_per_batch=1)
+    until = time.time() + 10  # files are deleted in the background
+    while (left := set(local.rglob("shuffle_*.data")) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert (done.rows_in, done.rows_out) == (40, 32)
+    assert len([p for p in Path(table, "rows").iterdir() if p.name.startswith("batch=")]) >= 5
+    assert read_unique(spark, table, schema).count() == 32
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_rows_without_a_time_and_keys_of_nulls(spark, trips, places):
     rows = trips({"pickup_datetime": None}, {"note": None}, {"tip_amount": None}, {"note": None})
     assert run(spark, places, rows).rows_out == 2

@@ -60,6 +60,13 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return system.exists(place) and len(system.listStatus(place)) > 0
 
 
+def mean_file_bytes(spark: SparkSession, path: str) -> float:
+    """Bytes of the files below a folder, or below all that a pattern matches, divided by their number."""
+    system, place = _file_system(spark, path)
+    found = [system.getContentSummary(status.getPath()) for status in system.globStatus(place) or []]
+    return sum(f.getLength() for f in found) / max(sum(f.getFileCount() for f in found), 1)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it; a missing one is no error."""
     system, place = _file_system(spark, path)

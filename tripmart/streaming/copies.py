@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -12,14 +13,19 @@ from pyspark.sql import types as T
 
 from tripmart.config import session_settings, use_utc
 from tripmart.operators.cleaning import rename_present
-from tripmart.sinks.snapshots import delete_folder, has_files
+from tripmart.sinks.snapshots import delete_folder, has_files, mean_file_bytes
 from tripmart.sources.trips import LANDED_FILE
 from tripmart.streaming.landing import ANY_AGE
 
 KEYS = ("content_a", "content_b")
 ARRIVED = "arrived_at"  # the event time: when the trip began, as a time with a zone
+MONTH = "pickup_month"
 FILE = "__file"
 DELAY = "45 days"
+# what a batch of the stream, and a comparison of late rows, may hold; so neither the state nor a
+# shuffle grows with all that was landed
+BATCH_BYTES = 512 << 20
+COMPARED_ROWS = 16_000_000
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,9 +44,10 @@ class UniqueRun:
         return self.rows_in - self.rows_out
 
 
-def with_content_keys(rows: DataFrame) -> DataFrame:
-    """128 bits that are equal for equal rows, a null being equal to a null only."""
-    values = [c for name in sorted(rows.columns) for c in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]
+def with_content_keys(rows: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """128 bits that are equal for rows equal in ``names``, by default all columns; a null equals a null only."""
+    names = sorted(rows.columns if names is None else names)
+    values = [c for name in names for c in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())]
     return rows.withColumns({key: F.xxhash64(F.lit(salt), *values) for salt, key in enumerate(KEYS)})
 
 
@@ -51,15 +58,24 @@ def _pickup_time(rows: DataFrame) -> Column:
     return pickup.cast("timestamp")
 
 
+def _plain(raw: DataFrame) -> DataFrame:
+    """What the table keeps of raw rows: all but the file they came from and its own columns."""
+    return rename_present(raw).drop(LANDED_FILE, *KEYS, ARRIVED, MONTH)
+
+
 def _keyed(raw: DataFrame) -> DataFrame:
     """Raw rows with their keys and event time; a row without a time is no trip and is left out.
 
     From which file a row came makes no difference between copies.
     """
-    rows = with_content_keys(rename_present(raw).drop(LANDED_FILE))
+    rows = with_content_keys(_plain(raw))
     return rows.withColumn(ARRIVED, _pickup_time(rows)).where(F.col(ARRIVED).isNotNull())
 
 
+def _month() -> Column:
+    return F.date_format(ARRIVED, "yyyyMM").cast("int")
+
+
 def without_copies_in_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
     """The rows of a stream, each once, with keys and event time.
 
@@ -72,34 +88,70 @@ def without_copies_in_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
 
 
 def _append(rows: DataFrame, table: str, batch: str) -> int:
-    """Write a batch under its own name: a batch that is run again replaces itself."""
+    """Write a batch under its own name: a batch that is run again replaces itself.
+
+    Keys and event time follow from the row; they are a third of it and hardly compress, so they
+    are not written.
+    """
     seen = Observation(f"unique-{batch}")
-    month = F.date_format(ARRIVED, "yyyyMM").cast("int")
-    counted = rows.withColumn("pickup_month", month).observe(seen, F.count(F.lit(1)).alias("rows"))
-    path = f"{table}/rows/batch={batch}"
-    counted.write.mode("overwrite").partitionBy("pickup_month").parquet(path)
+    counted = rows.withColumn(MONTH, _month()).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = counted.drop(*KEYS, ARRIVED).write.mode("overwrite").option("compression", "zstd")
+    writer.partitionBy(MONTH).parquet(f"{table}/rows/batch={batch}")
     return seen.get["rows"]
 
 
 def read_unique(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """Raw trips without copies, under their plain column names, with ``content_a``, ``content_b``,
-    ``arrived_at`` and ``pickup_month``."""
-    own = _keyed(spark.createDataFrame([], schema)).schema.add("pickup_month", T.IntegerType())
+    ``arrived_at`` and ``pickup_month``; all but the month are worked out where they are asked for."""
+    plain = _plain(spark.createDataFrame([], schema)).schema
+    own = T.StructType([*plain, T.StructField(MONTH, T.IntegerType())])
     path = f"{table.rstrip('/')}/rows"
-    if not has_files(spark, path):
-        return spark.createDataFrame([], own)
-    return spark.read.schema(own).option("basePath", path).parquet(path).select(*own.names)
-
+    if has_files(spark, path):
+        stored = spark.read.schema(own).option("basePath", path).parquet(path).select(*own.names)
+    else:
+        stored = spark.createDataFrame([], own)
+    rows = with_content_keys(stored, plain.names)
+    return rows.withColumn(ARRIVED, _pickup_time(rows)).select(*plain.names, *KEYS, ARRIVED, MONTH)
+
+
+def _month_groups(counts: Sequence[tuple[int, int]], limit: int) -> list[list[int]]:
+    """Consecutive months with at most ``limit`` rows together; a larger month is alone."""
+    groups: list[list[int]] = []
+    held = 0
+    for month, rows in sorted(counts):
+        if not groups or held + rows > limit:
+            groups.append([])
+            held = 0
+        groups[-1].append(month)
+        held += rows
+    return groups
+
+
+def recover(
+    spark: SparkSession,
+    raw: DataFrame,
+    table: str,
+    schema: T.StructType,
+    until: Column | None = None,
+    rows_at_once: int = COMPARED_ROWS,
+) -> int:
+    """Add the rows that the table lacks, of those with a pickup of ``until`` or before.
 
-def recover(spark: SparkSession, raw: DataFrame, table: str, schema: T.StructType) -> int:
-    """Add the rows that the table lacks; only the months in which ``raw`` has rows are compared."""
+    Only the months in which ``raw`` has such rows are compared. Copies have equal pickups, so a few
+    months at a time are, and what is shuffled at once does not grow with ``raw``.
+    """
     keyed = _keyed(raw)
-    month = F.date_format(ARRIVED, "yyyyMM").cast("int")
-    months = [r[0] for r in keyed.select(month).distinct().collect()]  # as many as the calendar has
-    known = read_unique(spark, table, schema).where(F.col("pickup_month").isin(months)).select(*KEYS)
-    # both are dealt by the keys, so the rows are shuffled once; most are known and need not be told apart
-    lacking = keyed.join(known, list(KEYS), "left_anti").dropDuplicates(list(KEYS))
-    return _append(lacking, table, f"late-{uuid.uuid4().hex}")
+    if until is not None:
+        keyed = keyed.where(F.col(ARRIVED) <= until)
+    counts = keyed.groupBy(_month().alias(MONTH)).count().collect()  # as many as the calendar has
+    added = 0
+    for months in _month_groups(counts, rows_at_once):
+        known = read_unique(spark, table, schema).where(F.col(MONTH).isin(months)).select(*KEYS)
+        own = keyed.where(_month().isin(months))
+        # both are dealt by the keys, so the rows are shuffled once; most are known and need not be told apart
+        lacking = own.join(known, list(KEYS), "left_anti").dropDuplicates(list(KEYS))
+        added += _append(lacking, table, f"late-{uuid.uuid4().hex}")
+    return added
 
 
 def _mark(spark: SparkSession, place: str, at: datetime | None = None) -> None:
@@ -123,14 +175,18 @@ def unique_trips(
     checkpoint: str,
     delay: str = DELAY,
     files_per_batch: int = 1000,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> UniqueRun:
     """Add the rows that were landed since the last run to the table of rows without copies.
 
-    On-time rows go through the state store. The files of a batch in which rows came late are looked
-    at once more: rows whose keys the table lacks are added by a join over their months. So the
-    table is that of a ``distinct`` over everything landed, however late a row is. A run that was
+    On-time rows go through the state store, in batches of at most ``files_per_batch`` files or, where
+    so many would be more, ``bytes_per_batch``. The files of a batch in which rows came late are looked
+    at once more: rows up to its watermark whose keys the table lacks are added by a join over their
+    months. So the table is that of a ``distinct`` over everything landed, however late a row is. A run that was
     stopped between the two has left the folder ``open`` behind, and the next one looks at all files
     since the start of the last run that finished.
+
+    Shuffles and states of batches that are done are deleted while the run goes on.
     """
     use_utc(spark)
     table, landed = table.rstrip("/"), landed.rstrip("/")
@@ -141,12 +197,10 @@ def unique_trips(
     since = _marked(spark, finished)  # files of the time before were all looked at
     began = _marked(spark, opened)
 
-    raw = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("maxFileAge", ANY_AGE)
-        .parquet(landed)
-    )
+    # the source takes one bound only
+    small = mean_file_bytes(spark, landed) * files_per_batch <= bytes_per_batch
+    bound = {"maxFilesPerTrigger": files_per_batch} if small else {"maxBytesPerTrigger": bytes_per_batch}
+    raw = spark.readStream.schema(schema).options(**bound).option("maxFileAge", ANY_AGE).parquet(landed)
     seen = raw.withColumn(FILE, F.col("_metadata.file_path")).observe(
         "arrived", F.count(F.lit(1)).alias("rows"), F.collect_set(FILE).alias("files")
     )
@@ -159,31 +213,38 @@ def unique_trips(
     settings = {
         "spark__sql__streaming__stateStore__providerClass": STATE_STORE,
         "spark__sql__streaming__numRecentProgressUpdates": 100_000,
+        # a run goes on from the last state only, and forgotten keys need no room in it
+        "spark__sql__streaming__minBatchesToRetain": 2,
+        "spark__sql__streaming__stateStore__rocksdb__compactOnCommit": "true",
+        "spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true",
     }
+    rows_in = late = state = recovered = 0
+    files: set[str] = set()
+    passed: set[str] = set()
+    landed_rows = spark.read.schema(schema)
     with session_settings(spark, **settings):
         writer = unique.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
-    rows_in = late = state = 0
-    files: set[str] = set()
-    for progress in query.recentProgress:
-        dropped = sum(store.numRowsDroppedByWatermark for store in progress.stateOperators)
-        late += dropped
-        state = sum(store.numRowsTotal for store in progress.stateOperators)
-        arrived = progress.observedMetrics.get("arrived")
-        if arrived is not None:
-            rows_in += arrived["rows"]
-            files.update(arrived["files"] if dropped else [])
-    landed_rows = spark.read.schema(schema)
-    recovered = 0
-    if interrupted:
-        again = landed_rows.parquet(landed)
-        if since is not None:
-            again = again.where(F.col("_metadata.file_modification_time") >= F.lit(since))
-        recovered = recover(spark, again, table, schema)
-    elif files:
-        again = landed_rows.option("basePath", landed).parquet(*sorted(files))
-        recovered = recover(spark, again, table, schema)
+        for progress in query.recentProgress:
+            dropped = sum(store.numRowsDroppedByWatermark for store in progress.stateOperators)
+            late += dropped
+            state = sum(store.numRowsTotal for store in progress.stateOperators)
+            if dropped:
+                passed.add(progress.eventTime["watermark"])
+            arrived = progress.observedMetrics.get("arrived")
+            if arrived is not None:
+                rows_in += arrived["rows"]
+                files.update(arrived["files"] if dropped else [])
+        if interrupted:
+            again = landed_rows.parquet(landed)
+            if since is not None:
+                again = again.where(F.col("_metadata.file_modification_time") >= F.lit(since))
+            recovered = recover(spark, again, table, schema)
+        elif files:
+            again = landed_rows.option("basePath", landed).parquet(*sorted(files))
+            until = F.array_max(F.array(*[F.lit(at).cast("timestamp") for at in passed]))
+            recovered = recover(spark, again, table, schema, until)
     _mark(spark, finished, began)
     delete_folder(spark, opened)
     return UniqueRun(rows_in, sum(added.values()) + recovered, late, recovered, state)
