@@ -188,3 +188,17 @@ def test_statistics_of_codes_are_counted_once(trips):
     train, _ = learning.content_split(learning.training_rows(many(trips, n=200, zones=9)))
     plan = plan_of(learning.out_of_fold_encodings(learning.target_statistics(train)), "simple")
     assert "FileScan" in plan and "explode" not in plan
+
+
+def test_rows_keep_their_nodes_and_the_forest_is_the_same(trips):
+    """Also over many passes, after which the kept nodes are checkpointed."""
+    train = learning.training_rows(many(trips, zones=40))
+    features = learning.fit_features(train)
+    rows = features.transform(train).select("features", learning.TARGET).persist()
+    forest = learning.estimators(learning.forest_bins(features))[learning.FOREST]
+    assert forest.getCacheNodeIds()
+    forest = forest.copy({forest.numTrees: 4, forest.checkpointInterval: 2, forest.maxMemoryInMB: 1, forest.maxDepth: 6})
+    kept = forest.fit(rows).toDebugString
+    assert kept.count("\n") > 50
+    assert kept.split("\n")[1:] == forest.copy({forest.cacheNodeIds: False}).fit(rows).toDebugString.split("\n")[1:]
+    rows.unpersist()
