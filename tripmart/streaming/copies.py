@@ -22,8 +22,8 @@ ARRIVED = "arrived_at"  # the event time: when the trip began, as a time with a
 MONTH = "pickup_month"
 FILE = "__file"
 DELAY = "45 days"
-# what a batch of the stream, and a comparison of late rows, may hold; so neither the state nor a
-# shuffle grows with all that was landed
+# bytes of files in a batch of the stream and rows in a comparison of late ones, so that neither the
+# state nor a shuffle grows with all that was landed
 BATCH_BYTES = 512 << 20
 COMPARED_ROWS = 16_000_000
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -73,7 +73,7 @@ def _keyed(raw: DataFrame) -> DataFrame:
 
 
 def _month() -> Column:
-    return F.date_format(ARRIVED, "yyyyMM").cast("int")
+    return F.year(ARRIVED) * 100 + F.month(ARRIVED)
 
 
 def without_copies_in_stream(raw: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -138,14 +138,18 @@ def recover(
     """Add the rows that the table lacks, of those with a pickup of ``until`` or before.
 
     Only the months in which ``raw`` has such rows are compared. Copies have equal pickups, so a few
-    months at a time are, and what is shuffled at once does not grow with ``raw``.
+    months at a time are, and what is shuffled at once grows neither with ``raw`` nor with the table.
     """
     keyed = _keyed(raw)
     if until is not None:
         keyed = keyed.where(F.col(ARRIVED) <= until)
-    counts = keyed.groupBy(_month().alias(MONTH)).count().collect()  # as many as the calendar has
+    # as many months as the calendar has; of known rows only the keys are shuffled, so they count half
+    counts = dict(keyed.groupBy(_month().alias(MONTH)).count().collect())
+    unique = read_unique(spark, table, schema)
+    for month, rows in unique.where(F.col(MONTH).isin([*counts])).groupBy(MONTH).count().collect():
+        counts[month] += rows // 2
     added = 0
-    for months in _month_groups(counts, rows_at_once):
+    for months in _month_groups([*counts.items()], rows_at_once):
         known = read_unique(spark, table, schema).where(F.col(MONTH).isin(months)).select(*KEYS)
         own = keyed.where(_month().isin(months))
         # both are dealt by the keys, so the rows are shuffled once; most are known and need not be told apart
